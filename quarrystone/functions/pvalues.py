@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Ship the kernels with the UDF, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -101,13 +102,13 @@ def _chi_square_tail(chi2: np.ndarray, dof: np.ndarray) -> np.ndarray:
     return np.where((dof <= 0) | (chi2 <= 0), 1.0, tail)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
     """Two-sided p-value of a t statistic."""
     return _over_valid(_t_two_sided, t, dof)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi_square_tail(chi2: pd.Series, dof: pd.Series) -> pd.Series:
     """Upper-tail p-value of a chi-square statistic."""
     return _over_valid(_chi_square_tail, chi2, dof)

@@ -56,8 +56,8 @@ def scenario_analysis(
     if not allow_many and base.limit(2).count() != 1:
         raise ValueError("base must hold exactly one row")
     kind = base.schema[variable].dataType
-    sweep = F.array(*[F.lit(v) for v in values])
-    scenarios = base.drop(variable).withColumn(variable, F.explode(sweep).cast(kind))
+    sweep = F.array(*[F.lit(v).cast(kind) for v in values])
+    scenarios = base.drop(variable).withColumn(variable, F.explode(sweep))
     scenarios = scenarios.select(*[ref(c) for c in base.columns])
     predicted = model.transform(scenarios) if hasattr(model, "transform") else model(scenarios)
     kept = base.columns if allow_many else [variable]
