@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_list, attach, canonicalize, ref, require
-from ..plans.ordering import numbered, running_total
+from ..plans.ordering import numbered
+from ..plans.scratch import written
 
 # Rows of the one hash bucket that is ranked; the number of buckets follows from it.
 BUCKET_ROWS = 100_000
@@ -90,68 +91,74 @@ def train_test(
         if smallest is not None and smallest < 2:
             raise ValueError("Every class needs at least two rows")
     takes = split_sizes(df, test_size, stratify)
-    if key is None:
-        return _split_copies(df, takes, classes, random_state)
-    names = require(df, key)
-    seeded = F.xxhash64(*[ref(c) for c in names], F.lit(random_state)) if order_hash is None else order_hash
-    return _split_keyed(df, takes, classes, names, seeded.cast("long"))
-
-
-def _split_keyed(df, takes, classes, names, seeded) -> tuple[DataFrame, DataFrame]:
-    """Find, per class, the last (hash, key) that still belongs to the test part."""
-    rows = df.count()
-    bits = min(max(math.ceil(math.log2(max(rows / BUCKET_ROWS, 1))), 0), 20)
-    spread = df.agg(F.min(seeded).alias("a"), F.max(seeded).alias("b")).first()
-    if spread["a"] is None:
-        return df, df
-    step = max((spread["b"] - spread["a"]) // (1 << bits), 1)
+    if key is not None:
+        names = require(df, key)
+        seeded = F.xxhash64(*[ref(c) for c in names], F.lit(random_state)) if order_hash is None else order_hash
+        placed = _placed(df, F.lit(1), names, seeded, takes, classes)
+        columns = [ref(c) for c in df.columns]
+        return placed.where("__chosen = 0").select(*columns), placed.where("__chosen = 1").select(*columns)
+
+    # Copies cannot be told apart, so identical rows are counted and written once.
+    groups = canonicalize(df).groupBy(*[ref(c) for c in df.columns])
+    distinct = written(groups.agg(F.count("*").alias("__n")))
+    seeded = F.xxhash64(*[ref(c) for c in df.columns], F.lit(random_state))
+    placed = _placed(distinct, F.col("__n"), df.columns, seeded, takes, classes)
+    return _copies(placed, df.columns, F.col("__n") - F.col("__chosen")), _copies(placed, df.columns, F.col("__chosen"))
+
+
+def _placed(df: DataFrame, weight: Column, names, seeded: Column, takes: DataFrame, classes) -> DataFrame:
+    """Add ``__chosen``: how much of each row's weight, in the order of (hash, names), is test.
+
+    Bucket totals locate the bucket in which a class reaches its test size; only the
+    rows of that bucket are put in order, which gives the last (hash, names) that still
+    belongs to the test part.  Everything else is a comparison with it.
+    """
+    seeded = seeded.cast("long")
+    size = df.agg(F.count("*").alias("n"), F.min(seeded).alias("a"), F.max(seeded).alias("b")).first()
+    if not size["n"]:
+        return df.withColumn("__chosen", F.lit(0).cast("long"))
+    bits = min(max(math.ceil(math.log2(max(size["n"] / BUCKET_ROWS, 1))), 0), 20)
+    step = max((size["b"] - size["a"]) // (1 << bits), 1)
     # Wide arithmetic: the hashes span more than a signed 64-bit difference holds.
-    above = seeded.cast("decimal(20,0)") - F.lit(spread["a"]).cast("decimal(20,0)")
+    above = seeded.cast("decimal(20,0)") - F.lit(size["a"]).cast("decimal(20,0)")
     bucket = F.floor(above / F.lit(str(step)).cast("decimal(20,0)")).cast("long") if bits else F.lit(0)
     groups = [ref(c) for c in classes]
-    counts = df.groupBy(*groups, bucket.alias("__bucket")).agg(F.count("*").alias("__n"))
-    # At most 2**20 buckets per class, counted.
+    totals = df.groupBy(*groups, bucket.alias("__bucket")).agg(F.sum(weight).alias("__w"))
+    # At most 2**20 bucket totals per class.
     until = Window.partitionBy(*groups).orderBy("__bucket")
-    reached = attach(counts.withColumn("__upto", F.sum("__n").over(until)), takes, classes)
-    edges = reached.where((F.col("__upto") >= F.col("take")) & (F.col("__upto") - F.col("__n") < F.col("take")))
-    edges = edges.select(*groups, "__bucket", (F.col("take") - F.col("__upto") + F.col("__n")).alias("__want"))
+    reached = attach(totals.withColumn("__upto", F.sum("__w").over(until)), takes.drop("n"), classes)
+    edges = reached.where((F.col("__upto") >= F.col("take")) & (F.col("__upto") - F.col("__w") < F.col("take")))
+    edges = edges.select(*groups, "__bucket", (F.col("take") - F.col("__upto") + F.col("__w")).alias("__want"))
     identity = F.struct(seeded.alias("h"), *[ref(c).alias(f"k{i}") for i, c in enumerate(names)])
-    edge_rows = attach(
-        df.select(*groups, bucket.alias("__bucket"), identity.alias("__id")), edges, [*classes, "__bucket"]
+    rows = df.select(*groups, bucket.alias("__bucket"), identity.alias("__id"), weight.alias("__w"))
+    ordered = Window.partitionBy(*groups).orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    edge_rows = attach(rows, edges, [*classes, "__bucket"]).withColumn("__upto", F.sum("__w").over(ordered))
+    lasts = edge_rows.where(
+        (F.col("__upto") >= F.col("__want")) & (F.col("__upto") - F.col("__w") < F.col("__want"))
+    ).select(
+        *groups, F.col("__id").alias("__last"), (F.col("__want") - F.col("__upto") + F.col("__w")).alias("__part")
     )
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy("__id"))
-    lasts = edge_rows.withColumn("__place", place).where(F.col("__place") == F.col("__want"))
-    lasts = lasts.select(*groups, F.col("__id").alias("__last"))
+    lasts = written(lasts)  # one row per class
+    marked = df.withColumn("__id", identity)
     if classes:
-        marked = attach(df.withColumn("__id", identity), lasts, classes, "left")
-        inside = F.coalesce(F.col("__id") <= F.col("__last"), F.lit(False))
-        flagged = marked.withColumn("__test", inside)
+        marked = attach(marked, lasts, classes, "left")
+        last, part = F.col("__last"), F.col("__part")
     else:
-        last = lasts.select("__last").scalar()
-        flagged = df.withColumn("__test", F.coalesce(identity <= last, F.lit(False)))
-    columns = [ref(c) for c in df.columns]
-    return flagged.where(~F.col("__test")).select(*columns), flagged.where(F.col("__test")).select(*columns)
-
-
-def _split_copies(df, takes, classes, random_state) -> tuple[DataFrame, DataFrame]:
-    """Count identical rows, give each distinct row its place, and share out its copies."""
-    columns = [ref(c) for c in df.columns]
-    distinct = canonicalize(df).groupBy(*columns).agg(F.count("*").alias("__n"))
-    hashed = distinct.withColumn("__hash", F.xxhash64(*columns, F.lit(random_state)))
-    placed = running_total(hashed, ["__hash", *df.columns], "__n", "__upto", classes)
-    shared = attach(placed, takes.drop("n"), classes)
-    before = F.col("__upto") - F.col("__n")
-    chosen = F.least(F.greatest(F.col("take") - before, F.lit(0)), F.col("__n"))
-    shared = shared.withColumn("__chosen", chosen)
-
-    def copies(count: Column) -> DataFrame:
-        # Two generators, so that no array of copies is ever longer than a chunk.
-        chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__count") - 1) / CHUNK)))
-        some = shared.withColumn("__count", count).where("__count > 0").withColumn("__chunk", chunks)
-        size = F.least(F.col("__count") - F.col("__chunk") * CHUNK, F.lit(CHUNK))
-        return some.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*columns)
-
-    return copies(F.col("__n") - F.col("__chosen")), copies(F.col("__chosen"))
+        edge = lasts.select(F.struct("__last", "__part")).scalar()
+        last, part = edge["__last"], edge["__part"]
+    mine = F.col("__id")
+    chosen = F.when(mine < last, weight).when(mine == last, part).otherwise(0).cast("long")
+    return marked.withColumn("__chosen", chosen)
+
+
+def _copies(placed: DataFrame, columns: Sequence[str], count: Column) -> DataFrame:
+    """Each row ``count`` times, from two generators so that no array outgrows a chunk."""
+    some = placed.withColumn("__count", count).where("__count > 0")
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("__count") - 1) / CHUNK))
+    some = some.withColumn("__chunk", F.explode(chunks))
+    size = F.least(F.col("__count") - F.col("__chunk") * CHUNK, F.lit(CHUNK))
+    some = some.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+    return some.select(*[ref(c) for c in columns])
 
 
 def assign_folds(

@@ -15,7 +15,7 @@ _PARTITION_BIT = 33
 # Rows one task sorts inside a block of a framed window.
 BLOCK_ROWS = 500_000
 # Tables of up to this many rows get their running totals from a plain window.
-NATIVE_ROWS = 200_000
+NATIVE_ROWS = 1_000_000
 
 
 def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
@@ -58,14 +58,16 @@ def running_total(
 ) -> DataFrame:
     """Add the running total of ``weight`` per key in the given order, up to and including the row.
 
-    A table of checked size takes a plain window.  A larger one is range-partitioned by
-    key and order, so that a hot key spreads over many partitions; what a key adds up to
-    in its earlier partitions is the offset of each later one.
+    The table is written once and counted.  Up to ``native_rows`` a plain window does.  A
+    larger one is range-partitioned by key and order, so that a hot key spreads over many
+    partitions; what a key adds up to in its earlier partitions is the offset of each
+    later one.
     """
     keys, times = [ref(c) for c in partition_by], [ref(c) for c in order_by]
     until = (Window.unboundedPreceding, Window.currentRow)
     limit = NATIVE_ROWS if native_rows is None else native_rows
-    if df.limit(limit + 1).count() <= limit:
+    df = written(df)
+    if df.count() <= limit:
         return df.withColumn(name, F.sum(weight).over(Window.partitionBy(*keys).orderBy(*times).rowsBetween(*until)))
     part = f"{name}__part"
     # Written once, so that the partition of a row is the same in both uses below.

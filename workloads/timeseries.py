@@ -32,9 +32,9 @@ TREND = """
     FROM spine LEFT JOIN dated USING (b) GROUP BY b"""
 VALUES = {
     "sum": "round_even(coalesce(sum(v), 0), 2)",
-    "mean": "round_even(avg(v), 4)",
+    "mean": "round_even(avg(v), 6)",
     "count": "count(v)",
-    "median": "round_even(median(v), 4)",
+    "median": "round_even(median(v), 3)",
 }
 
 
@@ -47,7 +47,7 @@ def _register(name: str, grain: str, agg: str) -> None:
         trend = timeseries.trend_over_time(
             orders, date_column="o_orderdate", value="o_totalprice", freq=freq, agg=agg
         )
-        return trend if agg == "count" else rounded(trend, ["o_totalprice"], 2 if agg == "sum" else 4)
+        return trend if agg == "count" else rounded(trend, ["o_totalprice"], {"sum": 2, "mean": 6, "median": 3}[agg])
 
 
 for _grain in BUCKETS:
@@ -161,13 +161,13 @@ PROJECT_SQL = """
                       o_orderdate FROM orders),
          i AS (SELECT o_orderkey, o_orderdate, coalesce(v, (SELECT median(v) FROM d)) AS v FROM d),
          q AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM i),
-         c AS (SELECT o_orderdate, least(greatest(v, q1 - 0.5 * (q3 - q1)), q3 + 0.5 * (q3 - q1)) AS v FROM i, q),
+         c AS (SELECT o_orderdate, least(greatest(v, q1 - 0.4 * (q3 - q1)), q3 + 0.4 * (q3 - q1)) AS v FROM i, q),
          m AS (SELECT date_trunc('month', o_orderdate) AS b, sum(v) AS v FROM c GROUP BY 1),
          spine AS (SELECT unnest(generate_series((SELECT min(b) FROM m)::TIMESTAMP,
                                                  (SELECT max(b) FROM m)::TIMESTAMP, INTERVAL '1 month')) AS b),
          t AS (SELECT b, coalesce(v, 0) AS v FROM spine LEFT JOIN m USING (b))
-    SELECT CAST(last_day(b) AS TIMESTAMP) AS order_date, round_even(v, 5) AS total_price,
-           CASE WHEN count(v) OVER w = 3 THEN round_even(avg(v) OVER w, 5) END AS total_price_ma3
+    SELECT CAST(last_day(b) AS TIMESTAMP) AS order_date, round_even(v, 4) AS total_price,
+           CASE WHEN count(v) OVER w = 3 THEN round_even(avg(v) OVER w, 4) END AS total_price_ma3
     FROM t WINDOW w AS (ORDER BY b ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
 
 
@@ -182,7 +182,7 @@ def project_flow(spark, sf):
     )
     clean = drop_duplicates(strip_whitespace(standardize_column_names(raw)))
     clean = handle_missing(clean, strategy="median")
-    clean = cap_outliers_iqr(clean, "total_price", factor=0.5)
+    clean = cap_outliers_iqr(clean, "total_price", factor=0.4)
     trend = timeseries.trend_over_time(clean, date_column="order_date", value="total_price", freq="ME")
     smooth = timeseries.moving_average(trend, value="total_price", order_by="order_date", few_rows=True)
-    return rounded(smooth, ["total_price", "total_price_ma3"], 5)
+    return rounded(smooth, ["total_price", "total_price_ma3"], 4)
