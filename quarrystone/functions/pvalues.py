@@ -21,13 +21,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY = 1e-300
 _STEPS = 3000
-_log_gamma = np.vectorize(math.lgamma, otypes=[float])
 
 
-def _lentz(first: np.ndarray, term) -> np.ndarray:
+def _log_gamma(a: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in a])
+
+
+def _lentz(first: np.ndarray, start: float, term) -> np.ndarray:
     """Modified Lentz evaluation of a continued fraction, element by element."""
     d = 1.0 / np.where(np.abs(first) < _TINY, _TINY, first)
-    c = np.full_like(d, 1.0 / _TINY)
+    c = np.full_like(d, start)
     total = d.copy()
     for step in range(1, _STEPS):
         change = np.ones_like(d)
@@ -54,7 +57,7 @@ def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
         odd = -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1))
         return ((even, 1.0), (odd, 1.0))
 
-    fraction = _lentz(1 - (p + q) * z / (p + 1), term)
+    fraction = _lentz(1 - (p + q) * z / (p + 1), 1.0, term)
     with np.errstate(divide="ignore"):
         log_front = (
             _log_gamma(p + q) - _log_gamma(p) - _log_gamma(q)
@@ -77,7 +80,7 @@ def upper_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
         if np.all(term <= series * 1e-16):
             break
     start = np.where(by_series, a + 2, x) + 1 - a
-    fraction = _lentz(start, lambda i: ((-i * (i - a), start + 2 * i),))
+    fraction = _lentz(start, 1.0 / _TINY, lambda i: ((-i * (i - a), start + 2 * i),))
     front = np.exp(log_front)
     return np.where(by_series, 1 - front * series, front * fraction)
 

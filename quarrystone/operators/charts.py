@@ -33,7 +33,8 @@ def _bin_of(x: Column, low: Column, high: Column, bins: Column | int) -> Column:
     """0-based equal-width bin; the last bin includes its upper edge."""
     count = bins if isinstance(bins, Column) else F.lit(bins)
     place = F.floor((x - low) * count / (high - low))
-    return F.least(F.greatest(place, F.lit(0)), count - 1).cast("int")
+    # greatest and least skip NULLs, which would put a missing value into the first bin.
+    return F.when(x.isNotNull(), F.least(F.greatest(place, F.lit(0)), count - 1).cast("int"))
 
 
 def _edges(low: Column, high: Column) -> list[Column]:

@@ -21,6 +21,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -395,6 +396,8 @@ def cluster_kmeans(
     complete = df.na.drop("any", subset=names)
     prepared = Pipeline(stages=[PrepareColumns(names, [], "mean", True), EncodeColumns()]).fit(complete)
     scaled = prepared.transform(complete)
+    if n_clusters == 1:
+        return _one_cluster(df, prepared, scaled)
     kmeans = KMeans(featuresCol=FEATURES, predictionCol="cluster", k=n_clusters, seed=random_state, maxIter=300, tol=1e-4)
     model = kmeans.fit(scaled)
     labelled = model.transform(scaled)
@@ -410,6 +413,18 @@ def cluster_kmeans(
     }
 
 
+def _one_cluster(df: DataFrame, prepared: PipelineModel, scaled: DataFrame) -> dict:
+    """Everything in one cluster, which Spark's k-means does not accept: squares around the mean."""
+    spread = scaled.agg(F.count("*").alias("n"), Summarizer.variance(F.col(FEATURES)).alias("v")).first()
+    inertia = float(spread["v"].toArray().sum()) * (spread["n"] - 1) if spread["n"] else 0.0
+    return {
+        "labels": scaled.select(*[ref(c) for c in df.columns], F.lit(0).alias("cluster")),
+        "model": prepared,
+        "inertia": round(inertia, 4),
+        "silhouette_squared_euclidean": None,
+    }
+
+
 def get_feature_importance(result: Mapping) -> DataFrame | None:
     """``feature, importance`` of a training result, largest first; None if the model has none.
 
