@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.quantiles import exact_quantiles
-from .columns import attach, exact_sum, number, ref, require, require_numeric, value
+from .columns import exact_sum, number, ref, require, require_numeric, value
 from .moments import skew
 
 Aggregate = str | Callable[[Column], Column]
@@ -55,27 +55,33 @@ def grouped(
     """Group by ``keys`` (missing is a group) and compute ``(column, aggregate, alias)`` triples.
 
     An aggregate is a name, or a function from a Column to an aggregate Column, so
-    grouped-aggregate pandas UDFs work too.  Medians take the exact-quantile plan and
-    join on the keys; everything else is one partial-then-final aggregation.
+    grouped-aggregate pandas UDFs work too.  Medians take the exact-quantile plan, with
+    the other aggregates in the same pass; without a median it is one aggregation.
     """
     require(df, [*keys, *[c for c, _, _ in outputs]])
     medians = {}
-    expressions = []
+    expressions = {}
     for column, how, alias in outputs:
         if how == "median":
             medians[alias] = require_numeric(df, column)
         elif callable(how):
-            expressions.append(how(value(df, column)).alias(alias))
+            expressions[alias] = how(value(df, column))
         elif how in NAMED:
-            expressions.append(NAMED[how](df, column, order_by).alias(alias))
+            expressions[alias] = NAMED[how](df, column, order_by)
         else:
             raise ValueError(f"Unknown aggregate {how!r}; choose one of {[*NAMED, 'median']} or a function")
     groups = [ref(k) for k in keys]
-    result = df.groupBy(*groups).agg(*expressions) if expressions else None
-    if medians:
-        middle = exact_quantiles(df, list(dict.fromkeys(medians.values())), [0.5], keys)
-        middle = middle.select(
-            *groups, *[F.get(ref(c), F.lit(0)).alias(alias) for alias, c in medians.items()]
-        )
-        result = middle if result is None else attach(result, middle, keys)
-    return result.select(*groups, *[ref(alias) for _, _, alias in outputs])
+    if not medians:
+        result = df.groupBy(*groups).agg(*[c.alias(alias) for alias, c in expressions.items()])
+        return result.select(*groups, *[ref(alias) for _, _, alias in outputs])
+    # Distinct names for the medians, which may share theirs with a key or an output.
+    slots = {c: f"__median{i}" for i, c in enumerate(dict.fromkeys(medians.values()))}
+    table = df.withColumns({slot: number(df, c) for c, slot in slots.items()})
+    result = exact_quantiles(table, list(slots.values()), [0.5], keys, along=expressions)
+    return result.select(
+        *groups,
+        *[
+            F.get(slots[medians[alias]], F.lit(0)).alias(alias) if alias in medians else ref(alias)
+            for _, _, alias in outputs
+        ],
+    )

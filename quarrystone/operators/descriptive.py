@@ -52,8 +52,9 @@ def share_of_total(df: DataFrame, *, group_by: str | Sequence[str], value: str)
     keys = require(df, group_by)
     require_numeric(df, value)
     sums = df.groupBy(*[ref(k) for k in keys]).agg(exact_sum(df, value).alias(value))
-    total = df.agg(exact_sum(df, value)).scalar()
-    shares = sums.withColumn("pct_of_total", percent(ref(value), total))
+    # The same aggregate once more: its exchange is reused, so the table is read once.
+    total = sums.agg(F.sum(ref(value))).scalar()
+    shares = sums.withColumn("pct_of_total", percent(ref(value), F.coalesce(total, F.lit(0))))
     return shares.orderBy(F.desc("pct_of_total"), *[ref(k).asc_nulls_last() for k in keys])
 
 

@@ -164,12 +164,9 @@ def contribution_to_change(
     def total(label) -> Column:
         return F.coalesce(F.sum(F.when(period == F.lit(label), amount)), F.lit(0.0))
 
-    def change(groups) -> DataFrame:
-        table = groups.agg(total(period_from).alias("value_from"), total(period_to).alias("value_to"))
-        return table.withColumn("delta", F.col("value_to") - F.col("value_from"))
-
-    overall = change(both.groupBy()).select("delta").scalar()
-    levels = change(both.groupBy(ref(dimension)))
+    sums = both.groupBy(ref(dimension)).agg(total(period_from).alias("value_from"), total(period_to).alias("value_to"))
+    levels = sums.withColumn("delta", F.col("value_to") - F.col("value_from"))
+    overall = levels.agg(F.sum("delta")).scalar()  # reuses the exchange of the sums
     return levels.withColumn(
         "pct_contribution_to_change", percent(F.col("delta"), F.coalesce(overall, F.lit(0.0)))
     ).orderBy(F.abs("delta").desc(), ref(dimension).asc_nulls_last())

@@ -82,12 +82,11 @@ def _numeric_statistics(df: DataFrame, names: Sequence[str], shape: bool) -> Dat
     }
     if shape:
         parts |= {"skew": skew, "kurtosis": kurtosis}
-    moments = df.agg(
-        *[make(number(df, c)).alias(f"s{i}_{stat}") for i, c in enumerate(names) for stat, make in parts.items()]
-    )
-    quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
-    quartiles = quartiles.select(*[ref(c).alias(f"q{i}") for i, c in enumerate(names)])
-    both = moments.crossJoin(F.broadcast(quartiles))  # one row on either side
+    moments = {
+        f"s{i}_{stat}": make(number(df, c)) for i, c in enumerate(names) for stat, make in parts.items()
+    }
+    both = exact_quantiles(df, names, [0.25, 0.5, 0.75], along=moments)
+    both = both.select(*[ref(c).alias(f"q{i}") for i, c in enumerate(names)], *moments)
 
     def row(i: int, name: str):
         own = {stat: F.col(f"s{i}_{stat}") for stat in parts}
@@ -188,7 +187,7 @@ def value_counts(df: DataFrame, column: str, *, normalize: bool = False, dropna:
     ordered = counts.orderBy(F.desc("count"), ref(column).asc_nulls_last())
     if not normalize:
         return ordered
-    total = table.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("count")).scalar()  # reuses the exchange of the counts
     return ordered.select(ref(column), F.try_divide(F.col("count").cast("double"), total).alias("proportion"))
 
 

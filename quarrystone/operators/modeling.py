@@ -37,6 +37,7 @@ from ..functions.columns import (
     text_columns,
 )
 from ..plans.quantiles import exact_quantiles
+from ..plans.scratch import written
 from .cleansing import _modes
 from .splitting import assign_folds, split_features_target, train_test
 
@@ -272,6 +273,8 @@ def cross_validate(
     metrics, name, sign = SCORES[scoring]
     by_class = target if metrics is classification_metrics else None
     folded = assign_folds(df, cv=cv, order_by=order_by, label=by_class)
+    if by_class is not None:
+        folded = written(folded)  # read once per fold and fitting stage
     scores = []
     for k in range(cv):
         model = pipeline.fit(folded.where(F.col("fold") != k).drop("fold"))

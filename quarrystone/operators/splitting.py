@@ -174,12 +174,11 @@ def assign_folds(
     classes, order = require(df, label), require(df, order_by)
     placed = numbered(df, [*classes, *order], "__position")
     if not classes:
-        n = placed.agg(F.count("*")).scalar()
-        base, longer = F.floor(n / cv), n % cv
+        base, longer = divmod(placed.count(), cv)
         head = longer * (base + 1)
         position = F.col("__position")
         fold = F.when(position < head, F.floor(position / (base + 1))).otherwise(
-            longer + F.floor((position - head) / F.greatest(base, F.lit(1)))
+            longer + F.floor((position - head) / max(base, 1))
         )
         return placed.withColumn("fold", fold.cast("int")).drop("__position")
     sizes = placed.groupBy(ref(label)).agg(F.count("*").alias("__n"), F.min("__position").alias("__start"))

@@ -78,16 +78,17 @@ def trend_over_time(
         when = when.try_cast("timestamp")
     dated = df.withColumn("__bucket", calendar.start(when.cast("date"))).where("__bucket is not null")
     buckets = grouped(dated, ["__bucket"], [(value, agg, "__value")], order_by)
-    # The calendar between the first and the last bucket: one row, exploded.
-    span = dated.agg(F.min("__bucket").alias("first"), F.max("__bucket").alias("last"))
-    spine = span.where("first is not null").select(
-        F.explode(F.sequence("first", "last", F.expr(calendar.step))).alias("__day")
-    )
-    joined = spine.join(buckets, F.col("__day") == F.col("__bucket"), "left")
-    filled = F.col("__value")
+    # Each bucket brings the empty ones up to its successor along.  The buckets are one row
+    # per calendar period, few enough for one task to order.
+    following = F.lead("__bucket").over(Window.orderBy("__bucket"))
+    reach = F.sequence("__bucket", following, F.expr(calendar.step))
+    days = F.when(following.isNull(), F.array("__bucket")).otherwise(F.slice(reach, 1, F.size(reach) - 1))
+    spread = buckets.withColumn("__days", days).select("__value", F.posexplode("__days").alias("__place", "__day"))
+    filled = F.when(F.col("__place") == 0, F.col("__value"))
     if agg in EMPTY:
-        filled = F.coalesce(filled, F.lit(EMPTY[agg]).cast(buckets.schema["__value"].dataType))
-    return joined.select(
+        empty = F.lit(EMPTY[agg]).cast(buckets.schema["__value"].dataType)
+        filled = F.when(F.col("__place") == 0, F.col("__value")).otherwise(empty)
+    return spread.select(
         calendar.label(F.col("__day")).cast("timestamp_ntz").alias(date_column), filled.alias(value)
     ).orderBy(ref(date_column))
 

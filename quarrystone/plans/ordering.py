@@ -21,31 +21,30 @@ NATIVE_ROWS = 1_000_000
 def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Add the 0-based position of each row in the total order of ``order_by``.
 
-    The rows are range-partitioned and sorted once and written together with
-    their place in the partition; the partition sizes (one row per partition)
-    then give every partition its offset.  ``order_by`` should identify rows:
-    rows that tie in it share a partition and take an arbitrary order there.
+    The rows are range-partitioned and sorted once and written together with their place
+    in the partition.  The partition sizes (one number per partition) then become an
+    array of offsets inside the plan, so reading positions is a projection.  ``order_by``
+    should identify rows: rows that tie in it take an arbitrary order.
     """
     require(df, order_by)
-    slot, part = f"{name}__slot", f"{name}__part"
+    slot = f"{name}__slot"
     keys = [ref(c) for c in order_by]
     stored = written(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn(slot, F.monotonically_increasing_id())
-    ).withColumn(part, F.shiftright(slot, _PARTITION_BIT))
-    sizes = stored.groupBy(part).agg(F.count("*").alias("__n"))
-    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col(part), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
     )
-    # One row per partition of the range exchange, so the broadcast is bounded.
+    part = F.shiftright(slot, _PARTITION_BIT).cast("int")
+    sizes = dict(stored.groupBy(part.alias("part")).count().collect())
+    offsets, total = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(total)
+        total += sizes.get(p, 0)
+    # One string literal that Spark folds into an array of numbers.
+    table = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
     within = F.col(slot).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1))
-    return (
-        stored.join(F.broadcast(offsets), part)
-        .withColumn(name, F.col("__offset") + within)
-        .drop(slot, part, "__offset")
-    )
+    start = F.get(table, part) if offsets else F.lit(0)
+    return stored.withColumn(name, start + within).drop(slot)
 
 
 def running_total(

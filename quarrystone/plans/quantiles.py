@@ -10,9 +10,9 @@ so the answer is exact; each pass is one partial aggregation over the scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import attach, number, ref, require
@@ -30,26 +30,32 @@ def exact_quantiles(
     probabilities: Sequence[float],
     group_by: Sequence[str] = (),
     native_rows: int | None = None,
+    along: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per group: the keys and, per column, an array of its quantiles.
 
     Linear interpolation between order statistics; missing values are left out
-    and a group without values gives an array of NULLs (or NULL).
+    and a group without values gives an array of NULLs (or NULL).  ``along`` names
+    further aggregates of the table, taken in the same pass where there is one.
     """
     limit = NATIVE_ROWS if native_rows is None else native_rows
     keys = require(df, group_by)
     names = require(df, columns)
-    typed = df.select(*[ref(k) for k in keys], *[number(df, c).alias(f"__q{i}") for i, c in enumerate(names)])
-    slots = [f"__q{i}" for i in range(len(names))]
-    most = F.greatest(*[F.count(s) for s in slots], F.lit(0))
-    sizes = typed.groupBy(*[ref(k) for k in keys]).agg(most.alias("__most"))
+    groups = [ref(k) for k in keys]
+    others = [c.alias(name) for name, c in (along or {}).items()]
+    # Rows bound values, and without keys their count needs no column to be read.
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("__most"))
     largest = sizes.agg(F.max("__most")).first()[0] or 0
+    if largest <= limit:
+        return df.groupBy(*groups).agg(*[_percentile(number(df, c), probabilities).alias(c) for c in names], *others)
+
+    typed = df.select(*groups, *[number(df, c).alias(f"__q{i}") for i, c in enumerate(names)])
+    slots = [f"__q{i}" for i in range(len(names))]
 
     def rename(result: DataFrame) -> DataFrame:
-        return result.select(*[ref(k) for k in keys], *[F.col(s).alias(c) for s, c in zip(slots, names)])
+        named = result.select(*groups, *[F.col(s).alias(c) for s, c in zip(slots, names)])
+        return attach(named, df.groupBy(*groups).agg(*others), keys) if others else named
 
-    if largest <= limit:
-        return rename(_native(typed, keys, slots, probabilities))
     if not keys:
         return rename(_narrowed(typed, keys, slots, probabilities, largest, limit))
     hot = sizes.where(F.col("__most") > limit).select(*[ref(k) for k in keys])
@@ -62,9 +68,12 @@ def exact_quantiles(
     )
 
 
+def _percentile(column: Column, probabilities) -> Column:
+    return F.percentile(column, F.array(*[F.lit(float(p)) for p in probabilities]))
+
+
 def _native(typed: DataFrame, keys, slots, probabilities) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    return typed.groupBy(*[ref(k) for k in keys]).agg(*[F.percentile(s, wanted).alias(s) for s in slots])
+    return typed.groupBy(*[ref(k) for k in keys]).agg(*[_percentile(F.col(s), probabilities).alias(s) for s in slots])
 
 
 def _narrowed(typed: DataFrame, keys, slots, probabilities, largest: int, limit: int) -> DataFrame:

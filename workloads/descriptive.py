@@ -84,7 +84,7 @@ def share_of_total(spark, sf):
     return rounded(shares, ["price"], 2)
 
 
-PIVOT_CELL = "round_even(coalesce({f}(o_totalprice) FILTER (o_orderstatus = '{s}'), 0), 2) AS \"{s}\""
+PIVOT_CELL = "round_even(coalesce({f}(o_totalprice) FILTER (o_orderstatus = '{s}'), 0), 3) AS \"{s}\""
 
 
 @query(
@@ -97,7 +97,7 @@ def pivot_summary(spark, sf):
     wide = descriptive.pivot_summary(
         table(spark, sf, "orders"), index="o_orderpriority", columns="o_orderstatus", values="o_totalprice"
     )
-    return rounded(wide, ["F", "O", "P"], 2)
+    return rounded(wide, ["F", "O", "P"], 3)
 
 
 @query(
@@ -115,7 +115,7 @@ def pivot_median(spark, sf):
         aggfunc="median",
         column_values=["F", "O", "P"],
     )
-    return rounded(wide, ["F", "O", "P"], 2)
+    return rounded(wide, ["F", "O", "P"], 3)
 
 
 @query(
