@@ -121,8 +121,10 @@ def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
 def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join two tables on equally named keys; missing keys match each other.
 
-    No broadcast hint: adaptive execution broadcasts the side once its real
-    size is known to be small and splits skewed partitions otherwise.
+    Without keys the side is a single row.  Otherwise there is no broadcast hint: a
+    caller writes the side first where it should be small, so that the planner knows
+    its real size, broadcasts it below the session's threshold and shuffles both sides
+    (splitting skewed partitions) beyond it.
     """
     if not keys:
         return df.crossJoin(F.broadcast(side))

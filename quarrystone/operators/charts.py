@@ -21,6 +21,7 @@ from ..functions.columns import (
     value,
 )
 from ..plans.quantiles import exact_quantiles
+from ..plans.scratch import written
 from .correlation import correlation_matrix
 from .exploration import value_counts
 
@@ -133,7 +134,7 @@ def density_curve(
         {"__start": start, "__step": (F.col("__most") + cut * F.col("__h") - start) / (points - 1)}
     )
     values = table.groupBy(*groups, "__v").agg(F.count("*").alias("__c"))
-    placed = attach(values, stats, keys).withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    placed = attach(values, written(stats), keys).withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     x = F.col("__start") + F.col("__i") * F.col("__step")
     z = (x - F.col("__v")) / F.col("__h")
     norm = F.col("__n") * F.col("__h") * math.sqrt(2 * math.pi)
@@ -164,7 +165,7 @@ def box_stats(df: DataFrame, *, y: str, x: str | None = None, factor: float = 1.
         (q1 - factor * (q3 - q1)).alias("__lo"),
         (q3 + factor * (q3 - q1)).alias("__hi"),
     )
-    joined = attach(table, fences, keys)
+    joined = attach(table, written(fences), keys)
     inside = F.col("__y").between(F.col("__lo"), F.col("__hi"))
     return joined.groupBy(*groups, "q1", "median", "q3").agg(
         F.count("*").alias("n"),
@@ -181,7 +182,7 @@ def box_outliers(df: DataFrame, *, y: str, x: str | None = None, factor: float =
     fences = exact_quantiles(df, [y], [0.25, 0.75], keys).withColumnRenamed(y, "__q")
     q1, q3 = F.get("__q", F.lit(0)), F.get("__q", F.lit(1))
     reach = factor * (q3 - q1)
-    joined = attach(df, fences, keys)
+    joined = attach(df, written(fences), keys)
     v = number(df, y)
     return joined.where((v < q1 - reach) | (v > q3 + reach)).select(*[ref(c) for c in df.columns])
 

@@ -26,6 +26,7 @@ from ..functions.columns import (
 )
 from ..plans.ordering import numbered
 from ..plans.quantiles import exact_quantiles
+from ..plans.scratch import written
 
 MISSING_STRATEGIES = ("drop_rows", "drop_cols", "mean", "median", "mode", "constant")
 # Distinct values up to which a dictionary is sorted in one task.
@@ -169,8 +170,8 @@ def convert_dtypes(
 
 def _with_code(df: DataFrame, column: str) -> DataFrame:
     code, key = f"{column}_code", unused_name(df, "__category")
-    levels = df.where(~is_missing(df, column)).select(ref(column).alias(key)).distinct()
-    if levels.limit(DICTIONARY_ROWS + 1).count() <= DICTIONARY_ROWS:
+    levels = written(df.where(~is_missing(df, column)).select(ref(column).alias(key)).distinct())
+    if levels.count() <= DICTIONARY_ROWS:
         coded = levels.withColumn(code, F.row_number().over(Window.orderBy(key)) - 1)
         coded = F.broadcast(coded)
     else:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import number, numeric_columns, require, rounded
 from ..functions.moments import pearson
 from ..plans.ranks import average_ranks, concordance
+from ..plans.scratch import written
 
 METHODS = ("pearson", "spearman", "kendall")
 # Column pairs one aggregate carries; more pairs go into further aggregates.
@@ -83,11 +84,16 @@ def _spearman(table: DataFrame, pairs) -> list[DataFrame]:
 
 
 def _ranked(table: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Replace each column by its mean ranks; the rank tables join without a hint."""
+    """Replace each column by its mean ranks.
+
+    The rank tables are written, so the planner broadcasts the short ones and shuffles
+    for the long ones.
+    """
+    joined = table
     for c in names:
-        ranks = average_ranks(table, c).select(F.col("value").alias(f"{c}_v"), F.col("rank").alias(f"{c}_r"))
-        table = table.join(ranks, F.col(c) == F.col(f"{c}_v"))
-    return table.select(*[F.col(f"{c}_r").alias(c) for c in names])
+        ranks = written(average_ranks(table.select(c), c)).select(F.col("value").alias(f"{c}_v"), F.col("rank").alias(f"{c}_r"))
+        joined = joined.join(ranks, F.col(c) == F.col(f"{c}_v"))
+    return joined.select(*[F.col(f"{c}_r").alias(c) for c in names])
 
 
 def _kendall(table: DataFrame, a: str, b: str) -> DataFrame:

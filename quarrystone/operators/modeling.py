@@ -234,7 +234,9 @@ def confusion_matrix(df: DataFrame, *, label: str, prediction: str = "prediction
     """
     cells = _cells(df, label, prediction)
     classes = cells.select(F.explode(F.array("truth", "guess")).alias("c")).distinct()
-    # A confusion matrix has few classes by nature; every class meets every other once.
+    if classes.count() > MOST_CLASSES:
+        raise ValueError(f"A confusion matrix of more than {MOST_CLASSES} classes is not drawn up")
+    # Few classes, then: each of them meets every other once.
     listed = classes.agg(F.sort_array(F.collect_set("c")).alias("all"))
     grid = listed.select(F.explode("all").alias("true"), "all").select("true", F.explode("all").alias("predicted"))
     counts = cells.select(F.col("truth").alias("true"), F.col("guess").alias("predicted"), "n")
@@ -243,6 +245,8 @@ def confusion_matrix(df: DataFrame, *, label: str, prediction: str = "prediction
     ).orderBy("true", "predicted")
 
 
+# Classes a dense confusion matrix is built for.
+MOST_CLASSES = 2_000
 SCORES = {
     "r2": (regression_metrics, "r2", 1),
     "neg_mean_absolute_error": (regression_metrics, "mae", -1),

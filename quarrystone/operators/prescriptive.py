@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import attach, ref, require, rounded
 from ..plans.ordering import running_total
+from ..plans.scratch import written
 
 Rule = Column | str | Callable[[DataFrame], Column]
 
@@ -105,7 +106,7 @@ def optimize_allocation(
         F.sum("__lo").alias("__floor"), F.bool_or(F.col("__lo") > F.col("__hi")).alias("__crossed")
     )
     filled = running_total(table, ["__rank", "option"], "__room", "__upto", keys, native_rows)
-    solved = attach(filled, limits, keys)
+    solved = attach(filled, written(limits), keys)
     spent = F.col("__upto") - F.col("__room")
     left = F.greatest(F.col("__budget") - F.col("__floor") - spent, F.lit(0.0))
     feasible = ~F.col("__crossed") & (F.col("__floor") <= F.col("__budget"))

@@ -132,7 +132,7 @@ def _placed(df: DataFrame, weight: Column, names, seeded: Column, takes: DataFra
     identity = F.struct(seeded.alias("h"), *[ref(c).alias(f"k{i}") for i, c in enumerate(names)])
     rows = df.select(*groups, bucket.alias("__bucket"), identity.alias("__id"), weight.alias("__w"))
     ordered = Window.partitionBy(*groups).orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
-    edge_rows = attach(rows, edges, [*classes, "__bucket"]).withColumn("__upto", F.sum("__w").over(ordered))
+    edge_rows = attach(rows, written(edges), [*classes, "__bucket"]).withColumn("__upto", F.sum("__w").over(ordered))
     lasts = edge_rows.where(
         (F.col("__upto") >= F.col("__want")) & (F.col("__upto") - F.col("__w") < F.col("__want"))
     ).select(
@@ -182,7 +182,7 @@ def assign_folds(
         )
         return placed.withColumn("fold", fold.cast("int")).drop("__position")
     sizes = placed.groupBy(ref(label)).agg(F.count("*").alias("__n"), F.min("__position").alias("__start"))
-    marked = attach(placed, sizes, classes)
+    marked = attach(placed, written(sizes), classes)
     # Of the class's n positions in label order, fold i gets those equal to i modulo cv.
     base, longer = F.floor(F.col("__n") / cv), F.col("__n") % cv
     at = F.col("__position") - F.col("__start")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.aggregates import EMPTY, Aggregate, grouped
 from ..functions.columns import attach, number, ref, require, require_numeric
 from ..plans.ordering import framed, numbered
+from ..plans.scratch import written
 
 
 @dataclass(frozen=True)
@@ -192,7 +193,7 @@ def seasonal_decompose(
 
     seasonal = F.col("seasonal")
     resid = observed - trend - seasonal if additive else F.try_divide(F.try_divide(observed, trend), seasonal)
-    result = attach(trended, phases, [*series, "__phase"])
+    result = attach(trended, written(phases), [*series, "__phase"])
     return result.withColumn("resid", resid).select(
         *[ref(c) for c in series],
         *[ref(c) for c in times if c not in series],

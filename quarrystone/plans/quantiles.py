@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import attach, number, ref, require
+from .scratch import written
 
-# A group of up to this many values is handed to the built-in percentile.
+# A whole column, and a group, of up to this many values goes to the built-in percentile.
 NATIVE_ROWS = 1_000_000
+NATIVE_GROUP_ROWS = 250_000
 # Cut points a sketch yields, and its rank error as a fraction 1/accuracy.
 CUTS = 1000
 ACCURACY = 10_000
@@ -38,8 +40,8 @@ def exact_quantiles(
     and a group without values gives an array of NULLs (or NULL).  ``along`` names
     further aggregates of the table, taken in the same pass where there is one.
     """
-    limit = NATIVE_ROWS if native_rows is None else native_rows
     keys = require(df, group_by)
+    limit = native_rows if native_rows is not None else NATIVE_GROUP_ROWS if keys else NATIVE_ROWS
     names = require(df, columns)
     groups = [ref(k) for k in keys]
     others = [c.alias(name) for name, c in (along or {}).items()]
@@ -58,7 +60,7 @@ def exact_quantiles(
 
     if not keys:
         return rename(_narrowed(typed, keys, slots, probabilities, largest, limit))
-    hot = sizes.where(F.col("__most") > limit).select(*[ref(k) for k in keys])
+    hot = written(sizes.where(F.col("__most") > limit).select(*[ref(k) for k in keys]))
     small = attach(typed, hot, keys, "left_anti")
     large = attach(typed, hot, keys, "left_semi")
     return rename(
@@ -111,7 +113,8 @@ def _narrowed(typed: DataFrame, keys, slots, probabilities, largest: int, limit:
         F.lit(None).cast("double").alias("__hi"),
         "__grid",
     )
-    state = _tighten(state)
+    # Written, so that the planner knows how small the brackets are.
+    state = written(_tighten(state))
 
     remaining = largest * 4 / CUTS
     while remaining > limit:
@@ -119,13 +122,12 @@ def _narrowed(typed: DataFrame, keys, slots, probabilities, largest: int, limit:
         inside = (F.col("__lo").isNull() | (F.col("__v") >= F.col("__lo"))) & (
             F.col("__hi").isNull() | (F.col("__v") <= F.col("__hi"))
         )
-        state = _tighten(
-            seen.groupBy(*[ref(k) for k in series], "__t", "__place", "__k0", "__k1", "__lo", "__hi").agg(
-                F.count_if(F.col("__v") < F.col("__lo")).alias("__below"),
-                F.count_if(inside).alias("__m"),
-                sketch(F.when(inside, F.col("__v"))).alias("__grid"),
-            )
+        narrowed = seen.groupBy(*[ref(k) for k in series], "__t", "__place", "__k0", "__k1", "__lo", "__hi").agg(
+            F.count_if(F.col("__v") < F.col("__lo")).alias("__below"),
+            F.count_if(inside).alias("__m"),
+            sketch(F.when(inside, F.col("__v"))).alias("__grid"),
         )
+        state = written(_tighten(narrowed))
         remaining = remaining * 4 / CUTS
 
     # Last pass: everything below the bracket is one count, the inside a histogram.
