@@ -389,4 +389,6 @@ def clean_pipeline(
     result = df.transform(standardize_column_names).transform(strip_whitespace)
     if drop_dupes:
         result = drop_duplicates(result)
+    if missing_strategy in ("drop_cols", "mean", "median", "mode"):
+        result = written(result)  # read for its statistics and again to be filled
     return handle_missing(result, strategy=missing_strategy)

@@ -342,6 +342,7 @@ def train_regressor(
         raise ValueError(f"Unknown regression model: {model!r}")
     parts = split_features_target(df, target, drop=drop)
     train, test = train_test(df, test_size=test_size, random_state=random_state, key=key)
+    train = written(train)  # every fitting stage scans it
     stages = build_model_pipeline(
         regressor(model, target, random_state, params), build_preprocessor(df, parts.features)
     )
@@ -373,6 +374,7 @@ def train_classifier(
         raise ValueError(f"Unknown classification model: {model!r}")
     parts = split_features_target(df, target, drop=drop)
     train, test = train_test(df, test_size=test_size, random_state=random_state, stratify=target, key=key)
+    train = written(train)  # every fitting stage scans it
     sizes = train.agg(F.count("*").alias("n"), F.count_distinct(ref(target)).alias("k")).first()
     indexer = StringIndexer(inputCol=target, outputCol=LABEL, stringOrderType="alphabetAsc").fit(df)
     estimator = classifier(model, sizes["n"], sizes["k"], random_state, params)

@@ -99,10 +99,12 @@ def train_test(
         return placed.where("__chosen = 0").select(*columns), placed.where("__chosen = 1").select(*columns)
 
     # Copies cannot be told apart, so identical rows are counted and written once.
-    groups = canonicalize(df).groupBy(*[ref(c) for c in df.columns])
-    distinct = written(groups.agg(F.count("*").alias("__n")))
-    seeded = F.xxhash64(*[ref(c) for c in df.columns], F.lit(random_state))
-    placed = _placed(distinct, F.col("__n"), df.columns, seeded, takes, classes)
+    columns = [ref(c) for c in df.columns]
+    distinct = canonicalize(df).groupBy(*columns).agg(F.count("*").alias("__n"))
+    distinct = written(distinct.withColumn("__hash", F.xxhash64(*columns, F.lit(random_state))))
+    placed = _placed(distinct, F.col("__n"), df.columns, F.col("__hash"), takes, classes)
+    if distinct.agg(F.max("__n")).first()[0] == 1:
+        return placed.where("__chosen = 0").select(*columns), placed.where("__chosen = 1").select(*columns)
     return _copies(placed, df.columns, F.col("__n") - F.col("__chosen")), _copies(placed, df.columns, F.col("__chosen"))
 
 

@@ -1,7 +1,8 @@
 """Exact interpolated quantiles that never gather a large group in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one hash map.
-That is the right plan for groups of a checked size and is used for those.  A
+That is the right plan for groups of a checked size or with few distinct values and
+is used for those.  A
 larger group is narrowed instead: a bounded sketch gives cut points, the two cuts
 around each wanted rank become its bracket, and the next pass sketches only the
 bracket.  The last pass counts below the bracket and sorts the little inside it,
@@ -10,7 +11,10 @@ so the answer is exact; each pass is one partial aggregation over the scan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +23,10 @@ from ..functions.columns import attach, number, ref, require
 from .scratch import written
 
 # A whole column, and a group, of up to this many values goes to the built-in percentile.
-NATIVE_ROWS = 1_000_000
+NATIVE_ROWS = 200_000
 NATIVE_GROUP_ROWS = 250_000
+# So does a longer one of up to about this many distinct values, by a sketch.
+NATIVE_VALUES = 50_000
 # Cut points a sketch yields, and its rank error as a fraction 1/accuracy.
 CUTS = 1000
 ACCURACY = 10_000
@@ -48,26 +54,35 @@ def exact_quantiles(
     # Rows bound values, and without keys their count needs no column to be read.
     sizes = df.groupBy(*groups).agg(F.count("*").alias("__most"))
     largest = sizes.agg(F.max("__most")).first()[0] or 0
-    if largest <= limit:
-        return df.groupBy(*groups).agg(*[_percentile(number(df, c), probabilities).alias(c) for c in names], *others)
-
-    typed = df.select(*groups, *[number(df, c).alias(f"__q{i}") for i, c in enumerate(names)])
-    slots = [f"__q{i}" for i in range(len(names))]
-
-    def rename(result: DataFrame) -> DataFrame:
-        named = result.select(*groups, *[F.col(s).alias(c) for s, c in zip(slots, names)])
-        return attach(named, df.groupBy(*groups).agg(*others), keys) if others else named
+    long: list[str] = []
+    if largest > limit:
+        # What percentile holds in memory is distinct values, so a long column of few
+        # values is still its case.
+        seen = df.groupBy(*groups).agg(*[F.approx_count_distinct(number(df, c)).alias(f"__d{i}") for i, c in enumerate(names)])
+        widest = seen.agg(*[F.max(f"__d{i}") for i in range(len(names))]).first()
+        long = [c for c, width in zip(names, widest) if (width or 0) > min(NATIVE_VALUES, limit)]
+    short = [_percentile(number(df, c), probabilities).alias(c) for c in names if c not in long]
+    direct = df.groupBy(*groups).agg(*short, *others) if short or others or not long else None
+    if not long:
+        return direct
 
+    typed = df.select(*groups, *[number(df, c).alias(f"__q{i}") for i, c in enumerate(long)])
+    slots = [f"__q{i}" for i in range(len(long))]
     if not keys:
-        return rename(_narrowed(typed, keys, slots, probabilities, largest, limit))
-    hot = written(sizes.where(F.col("__most") > limit).select(*[ref(k) for k in keys]))
-    small = attach(typed, hot, keys, "left_anti")
-    large = attach(typed, hot, keys, "left_semi")
-    return rename(
-        _native(small, keys, slots, probabilities).unionByName(
+        whole = _whole(typed, slots, probabilities, largest, limit)
+        narrowed = df.sparkSession.range(1).select(
+            *[F.array(*[F.lit(v).cast("double") for v in whole[s]]).alias(c) for s, c in zip(slots, long)]
+        )
+    else:
+        hot = written(sizes.where(F.col("__most") > limit).select(*groups))
+        small = attach(typed, hot, keys, "left_anti")
+        large = attach(typed, hot, keys, "left_semi")
+        both = _native(small, keys, slots, probabilities).unionByName(
             _narrowed(large, keys, slots, probabilities, largest, limit)
         )
-    )
+        narrowed = both.select(*groups, *[F.col(s).alias(c) for s, c in zip(slots, long)])
+    result = narrowed if direct is None else attach(narrowed, direct, keys)
+    return result.select(*groups, *[ref(c) for c in names], *[ref(name) for name in along or {}])
 
 
 def _percentile(column: Column, probabilities) -> Column:
@@ -78,6 +93,109 @@ def _native(typed: DataFrame, keys, slots, probabilities) -> DataFrame:
     return typed.groupBy(*[ref(k) for k in keys]).agg(*[_percentile(F.col(s), probabilities).alias(s) for s in slots])
 
 
+@dataclass
+class _Target:
+    """A wanted quantile of one column and the bracket its order statistics lie in."""
+
+    slot: str
+    place: float
+    low: float | None = None
+    high: float | None = None
+    below: int = 0
+
+    def inside(self) -> Column:
+        v = F.col(self.slot)
+        held = v.isNotNull()
+        if self.low is not None:
+            held = held & (v >= F.lit(self.low))
+        if self.high is not None:
+            held = held & (v <= F.lit(self.high))
+        return held
+
+    def under(self) -> Column:
+        return F.count_if(F.col(self.slot) < F.lit(self.low)) if self.low is not None else F.lit(0).cast("long")
+
+    def tighten(self, cuts: Sequence[float], below: int, held: int) -> None:
+        """Take the cuts one step outside the two wanted ranks; see ``_tighten``."""
+        left = math.floor((math.floor(self.place) - below) * CUTS / held) - 1
+        right = math.ceil((math.ceil(self.place) - below + 1) * CUTS / held) + 1
+        if left > 0:
+            self.low = cuts[left]
+        if right < CUTS:
+            self.high = cuts[right]
+
+
+def _whole(typed: DataFrame, slots, probabilities, largest: int, limit: int) -> dict[str, list[float | None]]:
+    """Quantiles of whole columns.  The brackets are a few numbers, so they are literals
+    in plain aggregations: no join, no row is multiplied."""
+    grid = F.array(*[F.lit(i / CUTS) for i in range(CUTS + 1)])
+
+    def sketch(column: Column) -> Column:
+        return F.approx_percentile(column, grid, ACCURACY)
+
+    first = typed.agg(*[f.alias(f"{s}{k}") for s in slots for k, f in (("n", F.count(s)), ("g", sketch(F.col(s))))]).first()
+    targets = []
+    for s in slots:
+        n = first[f"{s}n"]
+        for p in probabilities if n else ():
+            target = _Target(s, (n - 1) * p)
+            target.tighten(first[f"{s}g"], 0, n)
+            targets.append(target)
+    remaining = largest * 4 / CUTS
+    while remaining > limit:
+        parts = [
+            f.alias(f"{i}{k}")
+            for i, t in enumerate(targets)
+            for k, f in (("b", t.under()), ("m", F.count_if(t.inside())), ("g", sketch(F.when(t.inside(), F.col(t.slot)))))
+        ]
+        seen = typed.agg(*parts).first()
+        for i, t in enumerate(targets):
+            t.tighten(seen[f"{i}g"], seen[f"{i}b"], seen[f"{i}m"])
+        remaining = remaining * 4 / CUTS
+
+    counts = typed.agg(
+        F.count("*"),
+        *[f.alias(f"{k}{i}") for i, t in enumerate(targets) for k, f in (("b", t.under()), ("m", F.count_if(t.inside())))],
+    ).first()
+    quantiles: dict[str, list[float | None]] = {s: [] for s in slots}
+    open_targets = []
+    for i, t in enumerate(targets):
+        t.below = counts[f"b{i}"]
+        if not t.below <= math.floor(t.place) <= math.ceil(t.place) < t.below + counts[f"m{i}"]:
+            raise RuntimeError("quantile bracket missed its rank")
+        if t.low is None or t.low != t.high:
+            open_targets.append(i)
+    found = _picked(typed, {i: targets[i] for i in open_targets}) if open_targets else {}
+    for i, t in enumerate(targets):
+        low, high = found.get(i, (t.low, t.high))  # a bracket of one value needs no look inside
+        weight = t.place - math.floor(t.place)
+        quantiles[t.slot].append(low * (1 - weight) + high * weight)
+    return {s: q or [None] * len(probabilities) for s, q in quantiles.items()}
+
+
+def _picked(typed: DataFrame, targets: dict[int, _Target]) -> dict[int, tuple[float, float]]:
+    """The two order statistics of each target, from a histogram of its bracket."""
+    held = [F.when(t.inside(), F.struct(F.lit(i).alias("t"), F.col(t.slot).alias("x"))) for i, t in targets.items()]
+    # Most rows lie in no bracket and leave before the array of candidates is built.
+    some = typed.where(reduce(Column.__or__, [t.inside() for t in targets.values()]))
+    near = some.select(F.explode(F.array(*held)).alias("e")).where("e is not null")
+    histogram = near.groupBy("e.t", "e.x").agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("t").orderBy("x"))
+    places = F.map_from_arrays(
+        F.array(*[F.lit(i) for i in targets]), F.array(*[F.lit(t.place - t.below) for t in targets.values()])
+    )
+    place = F.element_at(places, F.col("t"))
+    picked = (
+        histogram.withColumn("upto", upto)
+        .groupBy("t")
+        .agg(
+            F.min(F.when(F.col("upto") > F.floor(place), F.col("x"))).alias("low"),
+            F.min(F.when(F.col("upto") > F.ceil(place), F.col("x"))).alias("high"),
+        )
+    )
+    return {r["t"]: (r["low"], r["high"]) for r in picked.collect()}  # one row per target
+
+
 def _narrowed(typed: DataFrame, keys, slots, probabilities, largest: int, limit: int) -> DataFrame:
     long = typed.select(
         *[ref(k) for k in keys],
@@ -150,8 +268,7 @@ def _narrowed(typed: DataFrame, keys, slots, probabilities, largest: int, limit:
         F.col("__low") * (1 - weight) + F.col("__high") * weight,
     ).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
     wide = picked.select(*[ref(k) for k in series], "__t", answer.alias("__a"))
-    groups = [ref(k) for k in keys]
-    return wide.groupBy(*groups).agg(
+    return wide.groupBy(*[ref(k) for k in keys]).agg(
         *[
             F.array(
                 *[

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarrystone.operators import timeseries
+from quarrystone.plans.scratch import written
 from quarrystone.operators.cleansing import (
     cap_outliers_iqr,
     drop_duplicates,
@@ -181,7 +182,7 @@ def project_flow(spark, sf):
         F.concat(F.lit(" "), "o_orderpriority").alias("Priority"),
     )
     clean = drop_duplicates(strip_whitespace(standardize_column_names(raw)))
-    clean = handle_missing(clean, strategy="median")
+    clean = handle_missing(written(clean), strategy="median")
     clean = cap_outliers_iqr(clean, "total_price", factor=0.4)
     trend = timeseries.trend_over_time(clean, date_column="order_date", value="total_price", freq="ME")
     smooth = timeseries.moving_average(trend, value="total_price", order_by="order_date", few_rows=True)
