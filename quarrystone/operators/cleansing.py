@@ -159,7 +159,7 @@ def convert_dtypes(
             if datetime_formats:
                 attempts = [F.try_to_timestamp(text, F.lit(f)) for f in datetime_formats]
             else:
-                attempts = [text.try_cast("timestamp")]
+                attempts = [text.try_cast("timestamp_ntz")]
             text = F.coalesce(*attempts)
         converted[c] = text.cast("timestamp_ntz")
     result = df.withColumns(converted) if converted else df

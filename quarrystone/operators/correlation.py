@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ from ..plans.ranks import average_ranks, concordance
 from ..plans.scratch import written
 
 METHODS = ("pearson", "spearman", "kendall")
-# Column pairs one aggregate carries; more pairs go into further aggregates.
-PAIRS_PER_PASS = 200
+# Column pairs one aggregate carries in generated code; more pairs go through matrices.
+PAIRS_PER_PASS = 40
 
 
 def _check(method: str) -> None:
@@ -53,16 +55,55 @@ def correlate_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str
 
 
 def _pearson(table: DataFrame, pairs) -> list[DataFrame]:
-    results = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start : start + PAIRS_PER_PASS]
-        wide = table.agg(*[pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(part)])
-        rows = [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("correlation"))
-            for i, (a, b) in enumerate(part)
-        ]
-        results.append(wide.select(F.inline(F.array(*rows))))
-    return results
+    if len(pairs) > PAIRS_PER_PASS:
+        return [_cross_products(table, pairs)]
+    wide = table.agg(*[pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    rows = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("correlation"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return [wide.select(F.inline(F.array(*rows)))] if rows else []
+
+
+def _cross_products(table: DataFrame, pairs) -> DataFrame:
+    """Pearson's r of many pairs from matrix products.
+
+    Each task adds up the products of its column blocks, one matrix per sum, and gives
+    one row per pair; a missing value takes part in no product of its row.  Columns are
+    shifted by their means first, which keeps the sums well conditioned.
+    """
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    means = table.agg(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in names]).first()
+    centre = np.array(list(means), dtype=float)
+    at = {c: i for i, c in enumerate(names)}
+    left, right = np.array([at[a] for a, _ in pairs]), np.array([at[b] for _, b in pairs])
+
+    def products(batches):
+        total = np.zeros((4, len(centre), len(centre)))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            present = ~np.isnan(x)
+            z, m = np.where(present, x - centre, 0.0), present.astype(float)
+            total += np.stack([m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z])
+        n, one, square, cross = total
+        yield pd.DataFrame({
+            "p": np.arange(len(left)), "n": n[left, right], "sx": one[left, right], "sy": one[right, left],
+            "sxx": square[left, right], "syy": square[right, left], "sxy": cross[left, right],
+        })
+
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    parts = table.select(*names).mapInPandas(products, "p int, " + ", ".join(f"{c} double" for c in sums))
+    added = parts.groupBy("p").agg(*[F.sum(c).alias(c) for c in sums])
+
+    def spread(one: str, square: str):
+        squares = F.col(square) - F.try_divide(F.col(one) * F.col(one), F.col("n"))
+        # What rounding leaves of a constant column is no spread.
+        return F.when(squares > F.col(square) * 1e-12, squares)
+
+    covariance = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    r = F.try_divide(covariance, F.sqrt(spread("sx", "sxx")) * F.sqrt(spread("sy", "syy")))
+    first, second = (F.array(*[F.lit(pair[k]) for pair in pairs]) for k in (0, 1))
+    return added.select(F.get(first, "p").alias("a"), F.get(second, "p").alias("b"), r.alias("correlation"))
 
 
 def _spearman(table: DataFrame, pairs) -> list[DataFrame]:

@@ -76,7 +76,7 @@ def trend_over_time(
     calendar = FREQUENCIES[freq]
     when = ref(date_column)
     if isinstance(df.schema[date_column].dataType, T.StringType):
-        when = when.try_cast("timestamp")
+        when = when.try_cast("timestamp_ntz")
     dated = df.withColumn("__bucket", calendar.start(when.cast("date"))).where("__bucket is not null")
     buckets = grouped(dated, ["__bucket"], [(value, agg, "__value")], order_by)
     # Each bucket brings the empty ones up to its successor along.  The buckets are one row

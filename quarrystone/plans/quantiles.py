@@ -81,7 +81,11 @@ def exact_quantiles(
             _narrowed(large, keys, slots, probabilities, largest, limit)
         )
         narrowed = both.select(*groups, *[F.col(s).alias(c) for s, c in zip(slots, long)])
-    result = narrowed if direct is None else attach(narrowed, direct, keys)
+    if keys:
+        # From the groups outwards: one without any value is not among the narrowed.
+        result = attach(sizes.select(*groups) if direct is None else direct, narrowed, keys, "left")
+    else:
+        result = narrowed if direct is None else attach(narrowed, direct, keys)
     return result.select(*groups, *[ref(c) for c in names], *[ref(name) for name in along or {}])
 
 

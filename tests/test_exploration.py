@@ -64,7 +64,9 @@ def test_correlation_matrix_and_top_pairs(clean_df):
     }
 
 
-def test_constant_column_has_no_correlation(spark):
+@pytest.mark.parametrize("pairs_per_pass", [40, 0])
+def test_constant_column_has_no_correlation(spark, pairs_per_pass, monkeypatch):
+    monkeypatch.setattr(correlation, "PAIRS_PER_PASS", pairs_per_pass)
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0), (1.0, 3.0)], "a double, b double")
     for method in correlation.METHODS:
         rows = correlation.correlation_matrix(df, method=method).collect()

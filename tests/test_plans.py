@@ -47,6 +47,19 @@ def test_quantiles_without_values(spark):
     assert got["b"] == [1.0] and (got["a"] is None or got["a"] == [None])
 
 
+@pytest.mark.parametrize("along", [False, True])
+def test_hot_groups_without_values_are_kept(spark, along):
+    df = spark.range(300).select(
+        F.when(F.col("id") < 100, "empty").when(F.col("id") < 290, "full").otherwise("few").alias("k"),
+        F.when(F.col("id") >= 100, F.col("id").cast("double")).alias("x"),
+    )
+    extra = {"n": F.count("*")} if along else None
+    rows = {r["k"]: r for r in quantiles.exact_quantiles(df, ["x"], [0.5], ["k"], native_rows=20, along=extra).collect()}
+    assert rows["full"]["x"] == [194.5] and rows["few"]["x"] == [294.5]
+    assert rows["empty"]["x"] is None or rows["empty"]["x"] == [None]
+    assert not along or {k: r["n"] for k, r in rows.items()} == {"empty": 100, "full": 190, "few": 10}
+
+
 def test_numbered_is_the_sorted_position(skewed):
     frame, df = skewed
     got = ordering.numbered(df, ["key", "id"], "at").toPandas().sort_values("at")
@@ -114,7 +127,9 @@ def test_concordant_pairs_kernel_with_weights():
 
 
 @pytest.mark.parametrize("method", ["pearson", "spearman"])
-def test_correlation_uses_pairwise_complete_rows(skewed, method):
+@pytest.mark.parametrize("pairs_per_pass", [40, 0])
+def test_correlation_uses_pairwise_complete_rows(skewed, method, pairs_per_pass, monkeypatch):
+    monkeypatch.setattr(correlation, "PAIRS_PER_PASS", pairs_per_pass)
     frame, df = skewed
     columns = ["id", "x", "y"]
     matrix = correlation.correlation_matrix(df.select(*columns), method=method, digits=None)
