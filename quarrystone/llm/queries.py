@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_files
+from . import packing, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -17,3 +17,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 @query("op3_token_files")
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op10_pattern_packing")
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
