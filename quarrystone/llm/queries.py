@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import langid, packing, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -22,3 +22,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pattern_packing")
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
