@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, token_files
+from . import langid, packing, quality, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -27,3 +27,9 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_pu")
+def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
