@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, quality, token_files
+from . import langid, linededup, packing, quality, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -33,3 +33,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_line_spread", linededup.SQL)
+def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return linededup.remove_boilerplate(docs).drop("source")
