@@ -75,3 +75,41 @@ def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def crc(ids: np.ndarray) -> int:
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
+    """The rows of a partition sorted by a bigint key, cut between groups; holds one batch and one group."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows = pa.Table.from_batches(held)
+        keys = rows.column(key).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield rows.slice(0, cut).combine_chunks()
+            held = rows.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def group_starts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins, and the number of keys at the end."""
+    new = np.ones(len(keys) + 1, bool)
+    new[1:-1] = keys[1:] != keys[:-1]
+    return np.flatnonzero(new)
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n places the smallest place connected to it by the pairs (a, b)."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label

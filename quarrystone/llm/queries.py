@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, linededup, packing, quality, token_files
+from . import langid, linededup, ngram_join, packing, quality, token_files
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -39,3 +39,8 @@ def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return linededup.remove_boilerplate(docs).drop("source")
+
+
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
