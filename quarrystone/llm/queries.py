@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, linededup, ngram_join, packing, quality, token_files
+from . import langid, linededup, ngram_join, packing, quality, token_files, vector_join
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -44,3 +44,8 @@ def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_vector_join")
+def op2_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.similar_vectors(table(spark, sf_dir, "embeddings"))
