@@ -5,13 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, linededup, ngram_join, packing, quality, token_files, vector_join
+from . import langid, linededup, ngram_join, packing, pieces, quality, token_files, topk, vector_join
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @query("op3_token_files")
@@ -49,3 +50,13 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_vector_join")
 def op2_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_exact_top_k")
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_unigram_pieces")
+def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digests(table(spark, sf_dir, "documents"), PIECE_BPE)

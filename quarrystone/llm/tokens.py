@@ -28,14 +28,46 @@ CALL_WORDS = 8_192
 _BLANK = r"[\s\v\x{85}\p{Z}\x1c-\x1f]"
 
 
-class Encoder:
+class WordTable:
+    """Ids of distinct words, remembered in Arrow and numpy arrays up to a bound."""
+
+    def __init__(self, cache_words: int = CACHE_WORDS) -> None:
+        self.cache_words = cache_words
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.pool, self.starts, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end and how many belong to each."""
+        raise NotImplementedError
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where each distinct word stands in the table, after adding those it lacks."""
+        if len(self.words) > self.cache_words:
+            self._forget()
+        found = pc.index_in(words, value_set=self.words)
+        places, new = pc.fill_null(found, 0).to_numpy().astype(np.int64), pc.is_null(found)
+        missing = words.filter(new)
+        if len(missing):
+            places[new.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(missing))
+            ids, counts = self.encode_words(missing)
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
+            self.counts, self.pool = np.concatenate([self.counts, counts]), np.concatenate([self.pool, ids])
+            self.words = pa.concat_arrays([self.words, missing])
+        return places
+
+
+class Encoder(WordTable):
     """Ids without special tokens, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
+        super().__init__(cache_words)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library, self.cache_words = Tokenizer.from_file(path), cache_words
+        self.library = Tokenizer.from_file(path)
         layout = json.loads(self.library.to_str())
         before = layout.get("pre_tokenizer") or {}
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
@@ -51,17 +83,13 @@ class Encoder:
         for piece, i in vocabulary.items():
             self.width[i] = len(piece)  # a byte-level piece has one character for each byte
         self.odd = "|".join([f"{_BLANK} | {_BLANK}|^ | $", *map(re.escape, added)])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words = pa.array([], pa.string())
-        self.pool, self.starts, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, each with a space in front, and how many belong to each."""
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """With a space in front of each."""
+        words = words.to_pylist()
         calls = [words[i : i + CALL_WORDS] for i in range(0, len(words), CALL_WORDS)]
         ids = self.whole(["".join([" " + w for w in call]) for call in calls])
         counts = []
@@ -75,30 +103,12 @@ class Encoder:
             counts.append(np.diff(last, prepend=-1))
         return np.concatenate(ids), np.concatenate(counts)
 
-    def _add(self, words: pa.Array) -> None:
-        ids, counts = self._joined(words.to_pylist())
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
-        self.counts, self.pool = np.concatenate([self.counts, counts]), np.concatenate([self.pool, ids])
-        self.words = pa.concat_arrays([self.words, words])
-
-    def _places(self, words: pa.Array) -> np.ndarray:
-        """Where each distinct word stands in the table, after adding those it lacks."""
-        if len(self.words) > self.cache_words:
-            self._forget()
-        found = pc.index_in(words, value_set=self.words)
-        places, new = pc.fill_null(found, 0).to_numpy().astype(np.int64), pc.is_null(found)
-        missing = words.filter(new)
-        if len(missing):
-            places[new.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(missing))
-            self._add(missing)
-        return places
-
     def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.split_pattern(texts, " ")
         offsets = split.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]
         words = split.flatten().dictionary_encode()
-        places = self._places(words.dictionary)[words.indices.to_numpy()]
+        places = self.places(words.dictionary)[words.indices.to_numpy()]
         # The first word of a text has no space in front.
         first = pc.take(words.dictionary, words.indices.take(pa.array(offsets[:-1]))).dictionary_encode()
         heads = self.whole(first.dictionary.to_pylist())
