@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, linededup, ngram_join, packing, pieces, quality, token_files, topk, vector_join
+from . import langid, linededup, ngram_join, packing, pieces, quality, quotes, token_files, topk, vector_join
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -60,3 +60,8 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_unigram_pieces")
 def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+@query("op4_quotation_links")
+def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotations(table(spark, sf_dir, "conversations"))
