@@ -211,20 +211,23 @@ def train(rows: list, seed: int = 7) -> Model | None:
     return model
 
 
+def predict(model: Model | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text the place of its language (one past the last: undetermined), the score, and whether it is rejected."""
+    letters = pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False).to_numpy(zero_copy_only=False)
+    best, score = np.full(len(texts), len(model.languages) if model else 0), np.zeros(len(texts))
+    if model:
+        found = model.probabilities(score_sums(texts, model.rows))
+        best, score = np.where(letters, found.argmax(1), best), np.where(letters, found.max(1), 0.0)
+    return best, score, ~letters | (score < (model.threshold if model else 1.0))
+
+
 def _predict(model: Model | None):
     names = pa.array([*(model.languages if model else []), UNDETERMINED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in slices(batch, 2):
-                texts = some.column(2)
-                letters = pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False).to_numpy(zero_copy_only=False)
-                best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
-                if model:
-                    found = model.probabilities(score_sums(texts, model.rows))
-                    best = np.where(letters, found.argmax(1), best)
-                    score = np.where(letters, found.max(1), 0.0)
-                rejected = ~letters | (score < (model.threshold if model else 1.0))
+                best, score, rejected = predict(model, some.column(2))
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), names.take(pa.array(best)), pa.array(score), pa.array(rejected)],
                     ["doc_id", "held_out", "lang_pred", "score", "rejected"],
@@ -233,6 +236,25 @@ def _predict(model: Model | None):
     return run
 
 
+def recognised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows that are not rejected, with their columns as they are; decided row by row, without a join.
+
+    Without any labelled document there is nothing to recognise by, and only texts without a letter go.
+    """
+    require(docs, id_col, text_col, lang_col)
+    model = train(_sample(docs, id_col, text_col, lang_col))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, place):
+                texts = some.column(place)
+                letters = pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False)
+                yield some.filter(pa.array(~predict(model, texts)[2]) if model else letters)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of every row; learned from the rows themselves.
 

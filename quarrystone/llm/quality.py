@@ -255,3 +255,17 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         ref(text_col).alias("text"),
     )
     return whole.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+
+
+def kept(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows whose text reaches the threshold, with their columns as they are; decided row by row, without a join."""
+    require(docs, text_col)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, place):
+                stays = model.score(features(some.column(place))) >= THRESHOLD if model else np.ones(some.num_rows, bool)
+                yield some.filter(pa.array(stays))
+
+    return docs.mapInArrow(run, docs.schema)
