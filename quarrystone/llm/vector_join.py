@@ -27,8 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from ..plans.scratch import written
 from .common import group_starts, hash_sample, ref, require, roots, whole_groups
@@ -42,7 +44,7 @@ LIST_SIZE, MAX_LISTS = 200, 4_096
 SUBSPACES, CODES = 8, 256
 COARSE_STEPS, CODE_STEPS = 8, 6
 # How far over a border a list is still probed, in standard deviations of a shift spread over so many dimensions.
-SPREADS, SPREAD_DIMENSIONS = 4.0, 32
+SPREADS, SPREAD_DIMENSIONS = 2.5, 64
 MEMBER_BLOCK, PROBE_BLOCK = 1_024, 2_048
 
 
@@ -95,44 +97,48 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-300)
 
 
-def _scaled(width: int):
+def _scaled(width: int, kind: str):
+    """The components as they came, and a hash of the vector scaled to length one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            x = matrix(batch.column(1), width)
+            digests = [xxhash.xxh128_digest(u.tobytes()) for u in _unit(x) + 0.0]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), binaries(_unit(matrix(batch.column(1), width)))], ["id", "unit"]
+                [batch.column(0), pa.array(digests, pa.binary()), binaries(x.astype(kind))], ["id", "digest", "vector"]
             )
 
     return run
 
 
-def _placed(index: Index):
+def _units(column: pa.Array | pa.ChunkedArray, kind: str, width: int) -> np.ndarray:
+    return _unit(rows(column, kind, width).astype(np.float64))
+
+
+def _placed(index: Index, kind: str):
     """Own list and probed lists of each vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 some = batch.slice(a, 2048)
-                own, near = index.probes(rows(some.column(1), "<f8", index.width))
+                own, near = index.probes(_units(some.column(1), kind, index.width))
                 probes = [np.flatnonzero(r) for r in near]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column(0), some.column(1), some.column(2), pa.array(own.astype(np.int64)),
-                        pa.array(probes, pa.list_(pa.int64())),
-                    ],
-                    ["id", "unit", "copies", "own", "probes"],
-                )
+                    [*some.columns, pa.array(own.astype(np.int64)), pa.array(probes, pa.list_(pa.int64()))],
+                    ["id", "vector", "copies", "own", "probes"],
+                )
 
     return run
 
 
-def _scan(index: Index, threshold: float):
+def _scan(index: Index, kind: str, threshold: float):
     """In each cell: probing vectors against members, by table lookup and then exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 0):
             cell, where, side, ids, copies, own = (table.column(k).to_numpy() for k in range(6))
-            unit = rows(table.column(7), "<f8", index.width)
-            probes = table.column(6).to_pylist()
+            unit = _units(table.column(6), kind, index.width)
             bounds = group_starts(cell)
             out: list[list[np.ndarray]] = [[], [], []]
             for a, b in zip(bounds, bounds[1:]):
@@ -157,7 +163,8 @@ def _scan(index: Index, threshold: float):
                 if not len(q):
                     continue
                 # The member counts the probing vector here only if it does not find it in that one's own list.
-                back = np.array([own[i] not in probes[j] for i, j in zip(q, m)], bool)
+                sought, which = np.unique(m, return_inverse=True)
+                back = ~index.probes(unit[sought])[1][which, own[q]]
                 known, place = np.unique(ids[a:b], return_inverse=True)
                 links = np.zeros(len(known), np.int64)
                 np.add.at(links, place[q - a], copies[m])
@@ -173,9 +180,9 @@ def _scan(index: Index, threshold: float):
 
 
 def _cells(placed: DataFrame) -> DataFrame:
-    """cell, list, side (0 member, 1 probing), id, copies, own, probes, unit."""
-    base = placed.select("id", "copies", "own", "probes", "unit")
-    seeking = base.withColumn("list", F.explode("probes"))
+    """cell, list, side (0 member, 1 probing), id, copies, own, vector."""
+    base = placed.select("id", "copies", "own", "vector")
+    seeking = placed.select("id", "copies", "own", "vector", F.explode("probes").alias("list"))
     sizes = (
         seeking.groupBy("list")
         .agg(F.count("*").alias("seekers"), F.sum((F.col("own") == F.col("list")).cast("bigint")).alias("members"))
@@ -193,7 +200,7 @@ def _cells(placed: DataFrame) -> DataFrame:
         pair = ("block", "other") if number == 0 else ("other", "block")
         return cut.select(
             F.xxhash64("list", *pair).alias("cell"), "list", F.lit(number).alias("side"),
-            "id", "copies", "own", "probes", "unit",
+            "id", "copies", "own", "vector",
         )
 
     members = side(base.withColumn("list", F.col("own")), 0, "member_blocks", "probe_blocks")
@@ -208,15 +215,14 @@ def similar_vectors(
     own = df.select(ref(id_col).cast("bigint").alias("id"), ref(vector_col).alias("vector")).where("id is not null")
     width = -(-max(dimension(own, "vector"), 1) // SUBSPACES) * SUBSPACES
     usable = own.where(valid("vector") & F.exists("vector", lambda x: x != 0))
-    scaled = usable.mapInArrow(_scaled(width), "id bigint, unit binary")
-    hashes = [F.xxhash64("unit").alias("f1"), F.xxhash64(F.lit("2"), "unit").alias("f2")]
-    known = written(
-        scaled.select("id", F.struct(*hashes, "unit").alias("s")).groupBy("id").agg(F.min("s").alias("s"))
-        .select("id", "s.*")
-    )
-    classes = written(known.groupBy("f1", "f2").agg(F.min("id").alias("rep_id"), F.count("*").alias("copies")))
+    # Single-precision input stays so on its way; all arithmetic is in double precision.
+    kind = "<f4" if isinstance(own.schema["vector"].dataType.elementType, FloatType) else "<f8"
+    scaled = usable.mapInArrow(_scaled(width, kind), "id bigint, digest binary, vector binary")
+    least = F.min(F.struct("digest", "vector")).alias("s")
+    known = written(scaled.groupBy("id").agg(least).select("id", "s.*"))
+    classes = written(known.groupBy("digest").agg(F.min("id").alias("rep_id"), F.count("*").alias("copies")))
     reps = written(
-        known.join(classes.select(F.col("rep_id").alias("id"), "copies"), "id").select("id", "unit", "copies")
+        known.join(classes.select(F.col("rep_id").alias("id"), "copies"), "id").select("id", "vector", "copies")
     )
     total = reps.count()
     ids = own.select("id").distinct()
@@ -225,21 +231,21 @@ def similar_vectors(
             F.col("id").alias("vec_id"), F.lit(0).cast("bigint").alias("n_links"),
             F.col("id").alias("component_id"), F.lit(True).alias("kept"),
         )
-    sample = sorted((r.id, bytes(r.unit)) for r in hash_sample(reps.select("id", "unit"), "id", SAMPLE, total).collect())
-    index = train(np.frombuffer(b"".join(u for _, u in sample), "<f8").reshape(-1, width), total, threshold)
-    placed = written(
-        reps.mapInArrow(_placed(index), "id bigint, unit binary, copies bigint, own bigint, probes array<bigint>")
-    )
+    chosen = hash_sample(reps.select("id", "vector"), "id", SAMPLE, total).collect()
+    sample = np.frombuffer(b"".join(v for _, v in sorted((r.id, bytes(r.vector)) for r in chosen)), kind)
+    index = train(_unit(sample.reshape(-1, width).astype(np.float64)), total, threshold)
+    schema = "id bigint, vector binary, copies bigint, own bigint, probes array<bigint>"
+    placed = written(reps.mapInArrow(_placed(index, kind), schema))
     ordered = _cells(placed).repartition("cell").sortWithinPartitions("cell", "side")
-    decided = written(ordered.mapInArrow(_scan(index, threshold), "id bigint, root bigint, links bigint"))
+    decided = written(ordered.mapInArrow(_scan(index, kind, threshold), "id bigint, root bigint, links bigint"))
     linked = decided.groupBy("id").agg(F.sum("links").alias("links"))
     joined = components(decided.select(F.col("id").alias("a"), F.col("root").alias("b")))
     found = joined.withColumnRenamed("node", "id").join(linked, "id", "left")
     by_class = classes.join(found, classes.rep_id == found.id, "left").select(
-        "f1", "f2", F.coalesce("component", "rep_id").alias("component_id"),
+        "digest", F.coalesce("component", "rep_id").alias("component_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    by_id = known.select("id", "f1", "f2").join(by_class, ["f1", "f2"]).select("id", "component_id", "n_links")
+    by_id = known.select("id", "digest").join(by_class, "digest").select("id", "component_id", "n_links")
     result = ids.join(by_id, "id", "left")
     component = F.coalesce("component_id", "id")
     return result.select(
