@@ -33,9 +33,10 @@ from .common import hash_sample, id_remainder, ref, require, slices, text_bytes
 # Bounds of the two samples.
 POSITIVE_DOCS, UNLABELLED_DOCS = 2_000, 4_000
 THRESHOLD = 0.3
-EPOCHS, BATCH, RATE, DECAY = 100, 256, 0.02, 1e-5
+EPOCHS, BATCH, RATE, DECAY = 60, 256, 0.01, 5e-3
 # Cuts whose estimated errors differ by less count as equally good; the chosen one keeps so far below the highest.
-EQUAL, MARGIN = 2e-4, 0.5
+# Where the least errors would cost more than LOST of the trusted positives, the cut stays below those.
+EQUAL, MARGIN, LOST = 2e-4, 0.5, 0.005
 # The unlabelled part may fall below zero by so much before a step climbs back.
 SLACK = 0.0
 # Shares of positives above a score from which the prior is read.
@@ -192,7 +193,8 @@ def cut(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
     u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
     errors = prior * (1 - p) + np.maximum(u - prior * p, 0)
     best = cuts[errors <= errors.min() + EQUAL]
-    return float(max(best[0], best[-1] - MARGIN))
+    top = min(best[-1], np.quantile(positive, LOST))
+    return float(min(max(best[0], top - MARGIN), top))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
