@@ -33,6 +33,8 @@ SECOND_LENGTHS, THIRD_LENGTHS = 24, 4
 # Sequences a pattern may leave unfilled by so many tokens.
 WASTE = 2
 FIT_STEPS = 400
+# Pattern sizes that are fitted one after the other; of these plans the one with the fewest sequences is taken.
+FITS = (((2, 3, 4),), ((2,), (2, 3, 4)))
 
 PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, place bigint"
@@ -154,11 +156,18 @@ class Plan:
         return self.first_sequence[run] + rank - self.first_rank[run], self.offset[run]
 
 
+def _packed(histogram: np.ndarray, capacity: int, fits: tuple[tuple[int, ...], ...]) -> list[tuple[list[int], int]]:
+    left, out = histogram.astype(np.int64).copy(), []
+    for sizes in fits:
+        chosen = patterns(left, capacity)
+        chosen = chosen[np.isin((chosen > 0).sum(1), sizes)]
+        out += rounded(chosen, fit(chosen, left), left)
+    return out + best_fit(left, capacity)
+
+
 def plan(histogram: np.ndarray, capacity: int) -> Plan:
     """``histogram[n]`` pieces have length n, for n below the capacity."""
-    left = histogram.astype(np.int64).copy()
-    chosen = patterns(left, capacity)
-    packed = rounded(chosen, fit(chosen, left), left) + best_fit(left, capacity)
+    packed = min((_packed(histogram, capacity, f) for f in FITS), key=lambda p: sum(count for _, count in p))
     taken = np.zeros(len(histogram), np.int64)
     runs, sequence = [], 0
     for pattern, count in packed:
