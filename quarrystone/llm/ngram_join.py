@@ -40,7 +40,7 @@ from .shingles import mixed, shingle_sets
 THRESHOLD, RECALL = 0.8, 0.999
 POSITIONS = 64
 # Largest bucket that is compared by brute force, and levels after which a bucket counts as one group.
-SMALL, MAX_DEPTH = 96, 5
+SMALL, MAX_DEPTH = 96, 4
 # Levels that the first round of runs allows for.
 PLANNED_DEPTH = 3
 # A pair whose samples agree on fewer positions than this share has next to no chance (5 standard deviations).
