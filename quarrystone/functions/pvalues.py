@@ -21,6 +21,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY = 1e-300
 _STEPS = 3000
+# Beyond these parameters asymptotic forms are exact to about ten digits, and series grow long.
+_LARGE_GAMMA, _LARGE_DOF = 5e4, 1e6
 
 
 def _log_gamma(a: np.ndarray) -> np.ndarray:
@@ -42,8 +44,8 @@ def _lentz(first: np.ndarray, start: float, term) -> np.ndarray:
             change = c * d
             total = total * change
         if np.all(np.abs(change - 1.0) < 1e-15):
-            break
-    return total
+            return total
+    raise ArithmeticError("A continued fraction did not converge")
 
 
 def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -67,8 +69,30 @@ def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(mirrored, 1 - result, result)
 
 
+def _erfc(x: np.ndarray) -> np.ndarray:
+    return np.array([math.erfc(v) for v in x])
+
+
+def _large_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Q(a, x) for large a: the uniform expansion around the normal tail, with its first correction."""
+    delta = (x - a) / a
+    eta = np.sign(delta) * np.sqrt(np.maximum(2 * (delta - np.log1p(delta)), 0))
+    near = np.abs(delta) < 1e-4
+    with np.errstate(divide="ignore", invalid="ignore"):
+        correction = np.where(near, -1 / 3 + eta / 12, 1 / delta - 1 / eta)
+    return 0.5 * _erfc(eta * np.sqrt(a / 2)) + np.exp(-a * eta * eta / 2) / np.sqrt(2 * np.pi * a) * correction
+
+
 def upper_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Regularised upper incomplete gamma function Q(a, x)."""
+    result, large = np.empty_like(a), a > _LARGE_GAMMA
+    result[large] = np.clip(_large_gamma(a[large], np.maximum(x[large], 1e-300)), 0, 1)
+    if not large.all():
+        result[~large] = _small_gamma(a[~large], x[~large])
+    return result
+
+
+def _small_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     with np.errstate(divide="ignore"):
         log_front = a * np.log(x) - x - _log_gamma(a)
     by_series = x < a + 1
@@ -79,6 +103,8 @@ def upper_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
         series = series + term
         if np.all(term <= series * 1e-16):
             break
+    else:
+        raise ArithmeticError("A series did not converge")
     start = np.where(by_series, a + 2, x) + 1 - a
     fraction = _lentz(start, 1.0 / _TINY, lambda i: ((-i * (i - a), start + 2 * i),))
     front = np.exp(log_front)
@@ -96,7 +122,14 @@ def _over_valid(kernel, *inputs: pd.Series) -> pd.Series:
 
 
 def _t_two_sided(t: np.ndarray, dof: np.ndarray) -> np.ndarray:
-    return incomplete_beta(dof / 2, np.full_like(dof, 0.5), dof / (dof + t * t))
+    # For many degrees of freedom the normal tail of a corrected statistic.
+    large = dof > _LARGE_DOF
+    corrected = np.abs(t) * (1 - 1 / (4 * dof)) / np.sqrt(1 + t * t / (2 * dof))
+    result = _erfc(corrected / math.sqrt(2))
+    if not large.all():
+        few, d = t[~large], dof[~large]
+        result[~large] = incomplete_beta(d / 2, np.full_like(d, 0.5), d / (d + few * few))
+    return result
 
 
 def _chi_square_tail(chi2: np.ndarray, dof: np.ndarray) -> np.ndarray:

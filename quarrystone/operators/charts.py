@@ -176,9 +176,11 @@ def box_stats(df: DataFrame, *, y: str, x: str | None = None, factor: float = 1.
 
 
 def box_outliers(df: DataFrame, *, y: str, x: str | None = None, factor: float = 1.5) -> DataFrame:
-    """The rows a box plot draws as single points."""
+    """The rows a box plot draws as single points; rows without a level of ``x`` have no box."""
     keys = require(df, x) if x is not None else []
     require_numeric(df, y)
+    for k in keys:
+        df = df.where(~is_missing(df, k))
     fences = exact_quantiles(df, [y], [0.25, 0.75], keys).withColumnRenamed(y, "__q")
     q1, q3 = F.get("__q", F.lit(0)), F.get("__q", F.lit(1))
     reach = factor * (q3 - q1)

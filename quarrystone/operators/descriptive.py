@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import Aggregate, aggregate_name, grouped
-from ..functions.columns import as_list, exact_sum, percent, ref, require, require_numeric, value
+from ..functions.columns import as_list, exact_sum, is_missing, percent, ref, require, require_numeric, value
+from ..plans.scratch import written
 
 
 def aggregate(
@@ -71,10 +72,15 @@ def pivot_summary(
     """Cross-tabulate a metric; absent combinations are 0, missing keys are left out.
 
     ``column_values`` fixes the output columns and keeps the plan lazy; without it one
-    job lists them.  Several pivot columns are joined with ``_``.
+    job lists them.  Several pivot columns are joined with ``_``; headings that then coincide raise.
     """
     cells = pivot_cells(df, index=index, columns=columns, values=values, aggfunc=aggfunc, order_by=order_by)
     rows = as_list(index)
+    if len(as_list(columns)) > 1:
+        cells = written(cells)
+        shared = cells.groupBy(*[ref(k) for k in rows], "pivot_key").count().where("count > 1").first()
+        if shared:
+            raise ValueError(f"Several combinations of {as_list(columns)} share the heading {shared['pivot_key']!r}")
     groups = cells.groupBy(*[ref(k) for k in rows])
     wide = groups.pivot("pivot_key", list(column_values)) if column_values is not None else groups.pivot("pivot_key")
     return wide.agg(F.first("cell")).na.fill(0).orderBy(*[ref(k) for k in rows])
@@ -91,10 +97,13 @@ def pivot_cells(
 ) -> DataFrame:
     """The pivot in long form (index, ``pivot_key``, ``cell``), for any number of columns."""
     rows, across = require(df, index), require(df, columns)
-    keyed = df.where(" and ".join(f"`{k}` is not null" for k in [*rows, *across]))
+    keyed = df
+    for k in [*rows, *across]:
+        keyed = keyed.where(~is_missing(df, k))
+    # Grouped by the columns, not by the heading: two combinations may share one.
+    keys = list(dict.fromkeys([*rows, *across]))
+    cells = grouped(keyed, keys, [(values, aggfunc, "cell")], order_by).where(F.col("cell").isNotNull())
     key = ref(across[0]) if len(across) == 1 else F.concat_ws("_", *[ref(c) for c in across])
-    keyed = keyed.withColumn("pivot_key", key)
-    cells = grouped(keyed, [*rows, "pivot_key"], [(values, aggfunc, "cell")], order_by)
-    return cells.where(F.col("cell").isNotNull())
+    return cells.select(*[ref(k) for k in rows], key.alias("pivot_key"), "cell")
 
 

@@ -134,13 +134,19 @@ def _placed(df: DataFrame, weight: Column, names, seeded: Column, takes: DataFra
     identity = F.struct(seeded.alias("h"), *[ref(c).alias(f"k{i}") for i, c in enumerate(names)])
     rows = df.select(*groups, bucket.alias("__bucket"), identity.alias("__id"), weight.alias("__w"))
     ordered = Window.partitionBy(*groups).orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
-    edge_rows = attach(rows, written(edges), [*classes, "__bucket"]).withColumn("__upto", F.sum("__w").over(ordered))
+    same = Window.partitionBy(*groups, "__id")
+    edge_rows = attach(rows, written(edges), [*classes, "__bucket"]).withColumns(
+        {"__upto": F.sum("__w").over(ordered), "__same": F.count("*").over(same)}
+    )
     lasts = edge_rows.where(
         (F.col("__upto") >= F.col("__want")) & (F.col("__upto") - F.col("__w") < F.col("__want"))
     ).select(
-        *groups, F.col("__id").alias("__last"), (F.col("__want") - F.col("__upto") + F.col("__w")).alias("__part")
+        *groups, F.col("__id").alias("__last"), (F.col("__want") - F.col("__upto") + F.col("__w")).alias("__part"), "__same"
     )
     lasts = written(lasts)  # one row per class
+    if not lasts.where("__same > 1").isEmpty():
+        raise ValueError("Several rows have the key at the edge of the test part; the key must identify rows")
+    lasts = lasts.drop("__same")
     marked = df.withColumn("__id", identity)
     if classes:
         marked = attach(marked, lasts, classes, "left")
