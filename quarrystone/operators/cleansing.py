@@ -257,7 +257,7 @@ def handle_missing(
         return canonicalize(df).drop(*[c for c, gap in zip(names, found) if gap])
     if strategy == "constant":
         if fill_value is None:
-            raise ValueError("strategy='constant' requires a fill_value")
+            raise ValueError("A constant needs its fill_value")
         fills = {c: _constant(df, c, fill_value) for c in names}
     elif strategy == "mode":
         fills = _modes(df, names)

@@ -200,7 +200,7 @@ def correlation_with_target(df: DataFrame, target: str, *, method: str = "pearso
     """``feature, correlation`` of every other numeric column with the target, strongest first."""
     names = numeric_columns(df)
     if target not in names:
-        raise ValueError(f"Target '{target}' must be a numeric column.")
+        raise ValueError(f"{target!r} is not among the numeric columns")
     pairs = correlate_pairs(df, [(c, target) for c in names if c != target], method)
     ranked = pairs.select(F.col("feature_1").alias("feature"), "correlation")
     return ranked.orderBy(F.abs("correlation").desc_nulls_last(), "feature")

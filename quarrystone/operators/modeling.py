@@ -299,7 +299,7 @@ def regressor(model: str, target: str, seed: int, params: Mapping | None = None)
         return RandomForestRegressor(**columns, seed=seed, **(FOREST | {"featureSubsetStrategy": "all"} | extra))
     if model == "gradient_boosting":
         return GBTRegressor(**columns, seed=seed, **(BOOSTED | extra))
-    raise ValueError(f"Unknown regression model: {model!r}")
+    raise ValueError(f"{model!r} names none of the regression models")
 
 
 def classifier(model: str, rows: int, classes: int, seed: int, params: Mapping | None = None) -> Estimator:
@@ -314,7 +314,7 @@ def classifier(model: str, rows: int, classes: int, seed: int, params: Mapping |
     if model == "gradient_boosting":
         boosted = GBTClassifier(**columns, seed=seed, **(BOOSTED | extra))
         return boosted if classes <= 2 else OneVsRest(classifier=boosted, **columns)
-    raise ValueError(f"Unknown classification model: {model!r}")
+    raise ValueError(f"{model!r} names none of the classification models")
 
 
 REGRESSORS = ("linear", "random_forest", "gradient_boosting")
@@ -339,7 +339,7 @@ def train_regressor(
     unless it is also wanted: list it in ``drop`` to leave it out.
     """
     if model not in REGRESSORS:
-        raise ValueError(f"Unknown regression model: {model!r}")
+        raise ValueError(f"{model!r} names none of the regression models")
     parts = split_features_target(df, target, drop=drop)
     train, test = train_test(df, test_size=test_size, random_state=random_state, key=key)
     train = written(train)  # every fitting stage scans it
@@ -371,7 +371,7 @@ def train_classifier(
     ``predictions`` carries ``predicted_label``; ``confusion_matrix`` is in long form.
     """
     if model not in CLASSIFIERS:
-        raise ValueError(f"Unknown classification model: {model!r}")
+        raise ValueError(f"{model!r} names none of the classification models")
     parts = split_features_target(df, target, drop=drop)
     train, test = train_test(df, test_size=test_size, random_state=random_state, stratify=target, key=key)
     train = written(train)  # every fitting stage scans it

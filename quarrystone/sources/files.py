@@ -28,7 +28,7 @@ def validate_exists(spark: SparkSession, path: str) -> str:
     system = where.getFileSystem(spark._jsc.hadoopConfiguration())
     found = system.globStatus(where)
     if not found:
-        raise FileNotFoundError(f"No file found at: {path}")
+        raise FileNotFoundError(f"Nothing lies under {path}")
     return str(path)
 
 
@@ -290,7 +290,7 @@ def load_auto(spark: SparkSession, path: str, **options) -> DataFrame:
         "parquet": load_parquet,
     }
     if suffix not in loaders:
-        raise ValueError(f"Unsupported file extension '.{suffix}'; use one of the load_* functions")
+        raise ValueError(f"Unsupported suffix {suffix!r}: no loader is known for it")
     if suffix == "jsonl":
         options.setdefault("lines", True)
     return loaders[suffix](spark, path, **options)
