@@ -7,7 +7,7 @@ import decimal
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +29,6 @@ from ..plans.quantiles import exact_quantiles
 from ..plans.scratch import written
 
 MISSING_STRATEGIES = ("drop_rows", "drop_cols", "mean", "median", "mode", "constant")
-# Distinct values up to which a dictionary is sorted in one task.
-DICTIONARY_ROWS = 100_000
 
 
 # ---------------------------------------------------------------- diagnosis
@@ -170,13 +168,8 @@ def convert_dtypes(
 
 def _with_code(df: DataFrame, column: str) -> DataFrame:
     code, key = f"{column}_code", unused_name(df, "__category")
-    levels = written(df.where(~is_missing(df, column)).select(ref(column).alias(key)).distinct())
-    if levels.count() <= DICTIONARY_ROWS:
-        coded = levels.withColumn(code, F.row_number().over(Window.orderBy(key)) - 1)
-        coded = F.broadcast(coded)
-    else:
-        coded = numbered(levels, [key], code)
-    coded = coded.withColumn(code, F.col(code).cast("int"))
+    levels = df.where(~is_missing(df, column)).select(ref(column).alias(key)).distinct()
+    coded = numbered(levels, [key], code).withColumn(code, F.col(code).cast("int"))
     joined = df.join(coded, ref(column) == F.col(key), "left")
     return joined.select(*[ref(c) for c in df.columns], ref(code))
 

@@ -8,7 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number, numeric_columns, require, rounded
@@ -66,44 +66,75 @@ def _pearson(table: DataFrame, pairs) -> list[DataFrame]:
 
 
 def _cross_products(table: DataFrame, pairs) -> DataFrame:
-    """Pearson's r of many pairs from matrix products.
+    """Pearson's r of many pairs from central moments of each pair's own complete rows.
 
-    Each task adds up the products of its column blocks, one matrix per sum, and gives
-    one row per pair; a missing value takes part in no product of its row.  Columns are
-    shifted by their means first, which keeps the sums well conditioned.
+    A task takes the columns without gaps in a batch through one matrix product and the
+    other pairs one by one, adds batches up and gives one row per pair.  Values are
+    shifted by one of their own first, so that a constant column has no spread at all.
     """
     names = list(dict.fromkeys(c for pair in pairs for c in pair))
-    means = table.agg(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in names]).first()
-    centre = np.array(list(means), dtype=float)
     at = {c: i for i, c in enumerate(names)}
     left, right = np.array([at[a] for a, _ in pairs]), np.array([at[b] for _, b in pairs])
 
-    def products(batches):
-        total = np.zeros((4, len(centre), len(centre)))
+    def centred(x):
+        shifted = x - x[0]
+        mean = shifted.mean(0)
+        return x[0] + mean, shifted - mean
+
+    def batch_moments(x):
+        present = ~np.isnan(x)
+        full, found = present.all(0), np.zeros((6, len(left)))
+        whole = full[left] & full[right]
+        if whole.any():
+            place = np.cumsum(full) - 1
+            mean, z = centred(x[:, full])
+            products = z.T @ z
+            a, b = place[left[whole]], place[right[whole]]
+            found[:, whole] = [
+                np.full(len(a), len(x)), mean[a], mean[b], products[a, a], products[b, b], products[a, b]
+            ]
+        for p in np.flatnonzero(~whole):
+            rows = present[:, left[p]] & present[:, right[p]]
+            if rows.any():
+                mean, z = centred(x[rows][:, [left[p], right[p]]])
+                products = z.T @ z
+                found[:, p] = rows.sum(), *mean, products[0, 0], products[1, 1], products[0, 1]
+        return found
+
+    def moments(batches):
+        total = np.zeros((6, len(left)))
         for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            present = ~np.isnan(x)
-            z, m = np.where(present, x - centre, 0.0), present.astype(float)
-            total += np.stack([m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z])
-        n, one, square, cross = total
-        yield pd.DataFrame({
-            "p": np.arange(len(left)), "n": n[left, right], "sx": one[left, right], "sy": one[right, left],
-            "sxx": square[left, right], "syy": square[right, left], "sxy": cross[left, right],
-        })
-
-    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
-    parts = table.select(*names).mapInPandas(products, "p int, " + ", ".join(f"{c} double" for c in sums))
-    added = parts.groupBy("p").agg(*[F.sum(c).alias(c) for c in sums])
-
-    def spread(one: str, square: str):
-        squares = F.col(square) - F.try_divide(F.col(one) * F.col(one), F.col("n"))
-        # What rounding leaves of a constant column is no spread.
-        return F.when(squares > F.col(square) * 1e-12, squares)
-
-    covariance = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
-    r = F.try_divide(covariance, F.sqrt(spread("sx", "sxx")) * F.sqrt(spread("sy", "syy")))
-    first, second = (F.array(*[F.lit(pair[k]) for pair in pairs]) for k in (0, 1))
-    return added.select(F.get(first, "p").alias("a"), F.get(second, "p").alias("b"), r.alias("correlation"))
+            if not len(batch):
+                continue
+            new = batch_moments(batch.to_numpy(dtype=float))
+            n = np.maximum(total[0] + new[0], 1)
+            apart, weight = new[1:3] - total[1:3], total[0] * new[0] / n
+            between = [apart[0] * apart[0] * weight, apart[1] * apart[1] * weight, apart[0] * apart[1] * weight]
+            total[1:3] = np.where(total[0] > 0, total[1:3] + apart * new[0] / n, new[1:3])
+            total[3:] += new[3:] + between
+            total[0] += new[0]
+        some = np.flatnonzero(total[0])
+        yield pd.DataFrame({"p": some} | {c: total[k][some] for k, c in enumerate(sums)})
+
+    sums = ("n", "mx", "my", "sxx", "syy", "sxy")
+    parts = table.select(*names).mapInPandas(moments, "p int, " + ", ".join(f"{c} double" for c in sums))
+    # The parts of a pair are as many as there were tasks.
+    pair = Window.partitionBy("p")
+    apart = parts.withColumns({c: F.col(c) - F.min(c).over(pair) for c in ("mx", "my")})
+    mean = {c: F.sum(F.col(c) * F.col("n")).over(pair) / F.sum("n").over(pair) for c in ("mx", "my")}
+    off = apart.withColumns({c: F.col(c) - mean[c] for c in mean})
+
+    def added(square: str, a: str, b: str) -> Column:
+        return F.sum(F.col(square) + F.col("n") * F.col(a) * F.col(b))
+
+    r = F.try_divide(
+        added("sxy", "mx", "my"), F.sqrt(added("sxx", "mx", "mx")) * F.sqrt(added("syy", "my", "my"))
+    )
+    found = off.groupBy("p").agg(r.alias("r"))
+    # A pair without one complete row is in no part.
+    listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(pairs)])
+    every = table.sparkSession.range(1).select(F.inline(listed))
+    return every.join(found, F.col("i") == F.col("p"), "left").select("a", "b", F.col("r").alias("correlation"))
 
 
 def _spearman(table: DataFrame, pairs) -> list[DataFrame]:

@@ -227,26 +227,28 @@ def _cells(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return pairs.na.drop().groupBy("truth", "guess").agg(F.count("*").alias("n"))
 
 
-def confusion_matrix(df: DataFrame, *, label: str, prediction: str = "prediction") -> DataFrame:
-    """Counts by ``true`` and ``predicted`` class, zeros included, over all classes seen.
+def confusion_matrix(
+    df: DataFrame, *, label: str, prediction: str = "prediction", zeros: bool = True
+) -> DataFrame:
+    """Counts by ``true`` and ``predicted`` class over all classes seen.
 
     Long form; classes are compared as text, so both columns should spell them alike.
+    With ``zeros`` every class meets every other, which squares the number of classes;
+    without, only the cells that occur are there.
     """
     cells = _cells(df, label, prediction)
-    classes = cells.select(F.explode(F.array("truth", "guess")).alias("c")).distinct()
-    if classes.count() > MOST_CLASSES:
-        raise ValueError(f"A confusion matrix of more than {MOST_CLASSES} classes is not drawn up")
-    # Few classes, then: each of them meets every other once.
-    listed = classes.agg(F.sort_array(F.collect_set("c")).alias("all"))
-    grid = listed.select(F.explode("all").alias("true"), "all").select("true", F.explode("all").alias("predicted"))
     counts = cells.select(F.col("truth").alias("true"), F.col("guess").alias("predicted"), "n")
+    if not zeros:
+        return counts.withColumnRenamed("n", "count").orderBy("true", "predicted")
+    classes = cells.select(F.explode(F.array("truth", "guess")).alias("true")).distinct()
+    # The list is the root of the rows asked for.
+    listed = classes.agg(F.sort_array(F.collect_set("true"))).scalar()
+    grid = classes.withColumn("predicted", F.explode(listed))
     return grid.join(counts, ["true", "predicted"], "left").select(
         "true", "predicted", F.coalesce("n", F.lit(0)).alias("count")
     ).orderBy("true", "predicted")
 
 
-# Classes a dense confusion matrix is built for.
-MOST_CLASSES = 2_000
 SCORES = {
     "r2": (regression_metrics, "r2", 1),
     "neg_mean_absolute_error": (regression_metrics, "mae", -1),

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import attach, ref, require
 from .scratch import written
@@ -14,8 +15,11 @@ from .scratch import written
 _PARTITION_BIT = 33
 # Rows one task sorts inside a block of a framed window.
 BLOCK_ROWS = 500_000
-# Tables of up to this many rows get their running totals from a plain window.
-NATIVE_ROWS = 1_000_000
+
+
+def _spread(df: DataFrame) -> Column:
+    """A hash of the row, so that rows that tie in an order still go to many ranges."""
+    return F.xxhash64(*[ref(f.name) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
 
 
 def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
@@ -24,11 +28,11 @@ def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     The rows are range-partitioned and sorted once and written together with their place
     in the partition.  The partition sizes (one number per partition) then become an
     array of offsets inside the plan, so reading positions is a projection.  ``order_by``
-    should identify rows: rows that tie in it take an arbitrary order.
+    should identify rows: rows that tie in it are put in the order of a hash of their values.
     """
     require(df, order_by)
     slot = f"{name}__slot"
-    keys = [ref(c) for c in order_by]
+    keys = [*[ref(c) for c in order_by], _spread(df)]
     stored = written(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
@@ -57,17 +61,18 @@ def running_total(
 ) -> DataFrame:
     """Add the running total of ``weight`` per key in the given order, up to and including the row.
 
-    The table is written once and counted.  Up to ``native_rows`` a plain window does.  A
-    larger one is range-partitioned by key and order, so that a hot key spreads over many
+    The table is range-partitioned by key and order, so that a hot key spreads over many
     partitions; what a key adds up to in its earlier partitions is the offset of each
-    later one.
+    later one.  A caller that knows its table to be short may pass ``native_rows``: up to so
+    many a plain window does.
     """
-    keys, times = [ref(c) for c in partition_by], [ref(c) for c in order_by]
+    keys, times = [ref(c) for c in partition_by], [*[ref(c) for c in order_by], _spread(df)]
     until = (Window.unboundedPreceding, Window.currentRow)
-    limit = NATIVE_ROWS if native_rows is None else native_rows
-    df = written(df)
-    if df.count() <= limit:
-        return df.withColumn(name, F.sum(weight).over(Window.partitionBy(*keys).orderBy(*times).rowsBetween(*until)))
+    if native_rows is not None:
+        df = written(df)
+        if df.count() <= native_rows:
+            plain = Window.partitionBy(*keys).orderBy(*times).rowsBetween(*until)
+            return df.withColumn(name, F.sum(weight).over(plain))
     part = f"{name}__part"
     # Written once, so that the partition of a row is the same in both uses below.
     stored = written(df.repartitionByRange(*keys, *times).withColumn(part, F.spark_partition_id()))

@@ -2,7 +2,8 @@
 
 Some shapes need an intermediate result that stays the same however often it is
 read, even when an executor is lost in between.  It is written as Parquet under
-``spark.checkpoint.dir`` and read back, which also cuts its lineage.
+``spark.checkpoint.dir`` and read back, which also cuts its lineage.  All tables of a session
+lie in one folder, which ``clear`` removes once their results are no longer needed.
 """
 
 from __future__ import annotations
@@ -22,7 +23,14 @@ def scratch_folder(spark: SparkSession) -> str:
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="quarrystone-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/quarrystone/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/quarrystone/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this session has written; results that still read from it become unusable."""
+    own = scratch_folder(spark).rsplit("/", 1)[0]
+    where = spark._jvm.org.apache.hadoop.fs.Path(own)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ref, require
-from .files import MISSING_TEXTS, _inferred, validate_exists
+from ..plans.scratch import written
+from .files import MISSING_TEXTS, _inferred, _names_in_order, validate_exists
 
 # Executors need no copy of the package to parse workbooks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -127,23 +128,39 @@ def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(_parse, CELL_ROWS)
 
 
+def _headings(cells: Column) -> Column:
+    """Names of one header row: empty ones by place, repeated ones numbered."""
+    named = F.transform(cells, lambda c, i: F.coalesce(c, F.concat(F.lit("Unnamed: "), i.cast("string"))))
+
+    def numbered(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(named, F.lit(1), i), lambda other: other == name))
+        return F.when(before == 0, name).otherwise(F.concat(name, F.lit("."), before.cast("string")))
+
+    return F.transform(named, numbered)
+
+
 def _sheet_table(rows: DataFrame, header: int | None, usecols, parse_dates) -> DataFrame:
     if header is None:
         width = rows.agg(F.max(F.size("cells"))).first()[0] or 0
         names: list[str] = [str(i) for i in range(width)]
         body = rows
     else:
-        top = rows.where(F.col("row_no") == header).select("cells").first()
-        if top is None:
+        # Every workbook has its own header; a name is one column wherever it stands.
+        heads = written(rows.where(F.col("row_no") == header).select("path", _headings(F.col("cells")).alias("names")))
+        places = heads.select(F.posexplode("names").alias("place", "name"))
+        names = _names_in_order(places)
+        if not names:
             raise ValueError(f"No header at row {header}")
-        names = [c if c is not None else f"Unnamed: {i}" for i, c in enumerate(top["cells"])]
-        body = rows.where(F.col("row_no") > header)
+        body = rows.where(F.col("row_no") > header).join(heads, "path")
+        at = lambda n: F.get("cells", F.array_position("names", F.lit(n)).cast("int") - 1)
+        body = body.select(F.array(*[at(n) for n in names]).alias("cells"))
     texts = body.select(
         *[
             F.when(~F.get("cells", F.lit(i)).isin(*MISSING_TEXTS), F.get("cells", F.lit(i))).alias(n)
             for i, n in enumerate(names)
         ]
-    ).na.drop("all")
+    )
+    texts = texts.where(F.coalesce(*[ref(c) for c in texts.columns]).isNotNull())
     if isinstance(usecols, str):
         chosen: list[str] = []
         for part in usecols.split(","):
@@ -170,17 +187,17 @@ def load_excel(
     usecols: str | Sequence[str] | None = None,
     parse_dates: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One sheet, by name or 0-based place, of a workbook (or of many alike).
+    """One sheet, by name or 0-based place, of a workbook or of many, whose columns meet by name.
 
     ``usecols`` is a list of names or letters such as ``"A:C,F"``.
     """
-    rows = read_workbooks(spark, path)
+    rows = written(read_workbooks(spark, path))
     key = "sheet_no" if isinstance(sheet_name, int) else "sheet"
     return _sheet_table(rows.where(F.col(key) == F.lit(sheet_name)), header, usecols, parse_dates)
 
 
 def load_excel_all_sheets(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Every sheet by name."""
-    rows = read_workbooks(spark, path)
+    rows = written(read_workbooks(spark, path))
     sheets = rows.groupBy("sheet").agg(F.min("sheet_no").alias("place")).orderBy("place", "sheet").collect()
     return {s["sheet"]: _sheet_table(rows.where(F.col("sheet") == s["sheet"]), 0, None, None) for s in sheets}

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import ref, require
+from ..plans.scratch import written
 
 # The texts a CSV reader of the Python stack takes for missing.
 MISSING_TEXTS = (
@@ -105,19 +108,55 @@ def load_csv(
     ``header`` is the number of the header line (lines above it are skipped) or ``None``
     for files without one, whose columns are named 0, 1, 2...  The usual missing texts
     become NULL.  Types are inferred in one pass unless ``schema`` is given.  Quoted
-    newlines need ``multi_line``, which reads each file in one task.
+    newlines need ``multi_line``, which reads each file in one task.  A row with fewer fields
+    than the header ends in missing values, one with more raises when it is read.
+    ``nrows`` takes the first rows of the files in the order of their names.
     """
     validate_exists(spark, path)
-    raw = _read_delimited(spark, path, sep, encoding, header, multi_line)
-    if usecols is not None:
+
+    def chosen(where: str) -> DataFrame:
+        raw = _read_delimited(spark, where, sep, encoding, header, multi_line)
+        if usecols is None:
+            return raw
         wanted = set(require(raw, usecols))
-        raw = raw.select(*[ref(c) for c in raw.columns if c in wanted])
-    if nrows is not None:
-        raw = raw.limit(nrows)
+        return raw.select(*[ref(c) for c in raw.columns if c in wanted])
+
+    raw = chosen(path) if nrows is None else _first_rows(spark, path, chosen, nrows)
     return _typed(raw, spark, schema, parse_dates)
 
 
-def _read_delimited(spark, path, sep, encoding, header, multi_line) -> DataFrame:
+def _first_rows(spark: SparkSession, path: str, read: Callable[[str], DataFrame], rows: int) -> DataFrame:
+    """The first rows, file by file and written once, so that types are those of the rows returned."""
+    if rows < 0:
+        raise ValueError("nrows must not be negative")
+    parts, missing = [], rows
+    for file in sorted(spark.read.format("binaryFile").load(path).inputFiles()):
+        parts.append(written(read(file).limit(missing)))
+        missing -= parts[-1].count()
+        if not missing:
+            break
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _checked(rows: DataFrame, sep: str, width: int, needs_sep: bool) -> DataFrame:
+    """Raise on rows with more fields than names, or (``needs_sep``) with no separator at all.
+
+    ``rows`` has the raw text in ``__bad``, at least of each row of another width.
+    """
+    bare = F.regexp_replace("__bad", '"(?:[^"]|"")*"', "")
+    fields = F.size(F.split(bare, re.escape(sep), -1))
+    fits = fields <= width
+    if needs_sep and width > 1:
+        fits = fits & (fields > 1)
+    message = F.concat(F.lit(f"A row does not have the {width} fields of the header: "), F.substring("__bad", 1, 200))
+    # Spark reads the raw text only next to a parsed column, so good rows look at one; they all pass.
+    some = ref(rows.columns[0])
+    good = some.isNull() | (F.length(some) >= 0)
+    passes = F.when(F.col("__bad").isNull(), good).when(fits, True).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.where(passes).drop("__bad")
+
+
+def _read_delimited(spark, path, sep, encoding, header, multi_line, needs_sep=False) -> DataFrame:
     reader = (
         spark.read.option("sep", sep)
         .option("encoding", encoding)
@@ -125,13 +164,23 @@ def _read_delimited(spark, path, sep, encoding, header, multi_line) -> DataFrame
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "__bad")
+        # With pruning a row is only as wide as the columns read, and none is too long.
+        .option("columnPruning", False)
     )
+
+    def with_bad(names: Sequence[str]) -> T.StructType:
+        return T.StructType([T.StructField(n, T.StringType()) for n in [*names, "__bad"]])
+
     if header is None:
-        plain = reader.csv(path)
-        return plain.toDF(*[str(i) for i in range(len(plain.columns))])
+        names = reader.csv(path).columns
+        plain = _checked(reader.schema(with_bad(names)).csv(path), sep, len(names), needs_sep)
+        return plain.toDF(*[str(i) for i in range(len(names))])
     if header == 0:
         # Every file's own header is compared with the first one's; another order or name raises.
-        return reader.option("header", True).option("enforceSchema", False).csv(path)
+        reader = reader.option("header", True).option("enforceSchema", False)
+        names = reader.csv(path).columns
+        return _checked(reader.schema(with_bad(names)).csv(path), sep, len(names), needs_sep)
     if header < 0:
         raise ValueError("header must be a line number or None")
     # Lines above the header are junk of any width, so the names come from a look at the
@@ -153,10 +202,11 @@ def _read_delimited(spark, path, sep, encoding, header, multi_line) -> DataFrame
                 passed[file] = passed.get(file, 0) + count
             yield batch.loc[(batch["start"] > 0) | (number > header), ["value"]]
 
-    fields = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    parsed = F.from_csv("value", fields.simpleString(), {"sep": sep, "quote": '"', "escape": '"'})
+    fields = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+    parsed = F.from_csv("value", fields, {"sep": sep, "quote": '"', "escape": '"'})
     body = lines.mapInPandas(without_head, "value string").where(F.length("value") > 0)
-    return body.select(parsed.alias("r")).select("r.*")
+    rows = body.select(parsed.alias("r"), F.col("value").alias("__bad")).select("r.*", "__bad")
+    return _checked(rows, sep, len(names), needs_sep)
 
 
 def load_text(
@@ -171,11 +221,13 @@ def load_text(
 ) -> DataFrame:
     """Delimited text whose separator is found from its first lines unless given.
 
+    A separator found so must be in every row: one without it raises when it is read.
     ``column_names`` names the columns of a file without a header (``header="infer"``
     then means no header line).
     """
     validate_exists(spark, path)
-    if sep is None:
+    guessed = sep is None
+    if guessed:
         sample = "\n".join(_head(spark, path, encoding, SNIFF_LINES))
         try:
             sep = csv.Sniffer().sniff(sample, delimiters=",;\t|: ").delimiter
@@ -183,7 +235,7 @@ def load_text(
             raise ValueError(f"Could not find the delimiter of {path}; pass sep") from failure
     if header == "infer":
         header = None if column_names is not None else 0
-    raw = _read_delimited(spark, path, sep, encoding, header, False)
+    raw = _read_delimited(spark, path, sep, encoding, header, False, needs_sep=guessed)
     if column_names is not None:
         if len(column_names) != len(raw.columns):
             raise ValueError(f"{len(column_names)} names for {len(raw.columns)} columns")
@@ -242,29 +294,35 @@ def _unfolded(documents: DataFrame, orient: str) -> DataFrame:
         else:
             nested = nested.select("__doc", F.col("outer").alias("index"), F.col("inner").alias("name"), "cell",
                                    F.col("p").alias("row"), F.col("q").alias("place"))
-        order = nested.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()
-        names = [r["name"] for r in order]
+        names = _names_in_order(nested)
         wide = nested.groupBy("__doc", "index").pivot("name", names).agg(F.first("cell"))
         table = wide.select("index", *[ref(n) for n in names])
     elif orient == "table":
-        head = doc.select(F.from_json(text, "struct<schema:struct<fields:array<struct<name:string,type:string>>>>").alias("d"))
-        fields = head.select("d.schema.fields").first()["fields"]
+        shape = "struct<schema:struct<fields:array<struct<name:string,type:string>>>>"
+        names = _names_in_order(doc.select(F.posexplode(F.from_json(text, shape)["schema"]["fields"]["name"]).alias("place", "name")))
         rows = doc.select(F.explode(F.from_json(text, "struct<data:array<map<string,string>>>")["data"]).alias("r"))
-        table = rows.select(*[F.element_at("r", F.lit(f["name"])).alias(f["name"]) for f in fields])
+        table = rows.select(*[F.element_at("r", F.lit(n)).alias(n) for n in names])
+    elif orient == "split":
+        # Every document has its own order of columns.
+        shape = "struct<columns:array<string>,index:array<string>,data:array<array<string>>>"
+        parts = doc.select(F.from_json(text, shape).alias("d")).select("d.columns", "d.data")
+        names = _names_in_order(parts.select(F.posexplode("columns").alias("place", "name")))
+        rows = parts.select("columns", F.explode("data").alias("r")).select(F.map_from_arrays("columns", "r").alias("r"))
+        table = rows.select(*[F.element_at("r", F.lit(n)).alias(n) for n in names])
     else:
-        if orient == "split":
-            shape = "struct<columns:array<string>,index:array<string>,data:array<array<string>>>"
-            first = doc.select(F.from_json(text, shape)["columns"].alias("c")).first()["c"]
-            rows = doc.select(F.explode(F.from_json(text, shape)["data"]).alias("r"))
-        else:
-            rows = doc.select(F.explode(F.from_json(text, "array<array<string>>")).alias("r"))
-            width = rows.agg(F.max(F.size("r"))).first()[0] or 0
-            first = [str(i) for i in range(width)]
-        table = rows.select(*[F.get("r", F.lit(i)).alias(n) for i, n in enumerate(first)])
+        rows = doc.select(F.explode(F.from_json(text, "array<array<string>>")).alias("r"))
+        width = rows.agg(F.max(F.size("r"))).first()[0] or 0
+        table = rows.select(*[F.get("r", F.lit(i)).alias(str(i)) for i in range(width)])
     kinds = _inferred(table, table.columns)
     return table.select(*[ref(c).try_cast(kinds[c]).alias(c) for c in table.columns])
 
 
+def _names_in_order(named: DataFrame) -> list[str]:
+    """Column names of all documents, by the first place each has in one of them."""
+    order = named.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()
+    return [r["name"] for r in order]
+
+
 def load_parquet(spark: SparkSession, path: str, *, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet, reading only the listed columns."""
     validate_exists(spark, path)

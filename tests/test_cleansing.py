@@ -71,8 +71,7 @@ def test_convert_dates_with_formats(spark):
     assert values(out, "d") == [datetime.datetime(2023, 12, 31), datetime.datetime(2024, 1, 5)]
 
 
-def test_large_dictionaries_take_the_distributed_path(spark, monkeypatch):
-    monkeypatch.setattr(cleansing, "DICTIONARY_ROWS", 10)
+def test_large_dictionaries_take_the_distributed_path(spark):
     df = spark.range(200).select(F.format_string("%03d", F.col("id") % 50).alias("k"))
     rows = cleansing.convert_dtypes(df, to_category=["k"]).collect()
     assert len(rows) == 200 and all(int(r["k"]) == r["k_code"] for r in rows)
