@@ -23,7 +23,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
@@ -332,18 +332,19 @@ def train_regressor(
     random_state: int = 42,
     drop: Sequence[str] | None = None,
     key: str | Sequence[str] | None = None,
+    order_hash: Column | None = None,
     params: Mapping | None = None,
 ) -> dict:
     """Split, prepare, fit and score a regression.
 
     Returns ``pipeline`` (fitted), ``metrics`` (one row), and ``predictions``, the test
-    rows with ``prediction``.  ``key`` identifies rows for the split and is no feature
-    unless it is also wanted: list it in ``drop`` to leave it out.
+    rows with ``prediction``.  ``key`` identifies rows for the split, which ``order_hash`` may
+    order; list it in ``drop`` unless it is a feature as well.
     """
     if model not in REGRESSORS:
         raise ValueError(f"{model!r} names none of the regression models")
     parts = split_features_target(df, target, drop=drop)
-    train, test = train_test(df, test_size=test_size, random_state=random_state, key=key)
+    train, test = train_test(df, test_size=test_size, random_state=random_state, key=key, order_hash=order_hash)
     train = written(train)  # every fitting stage scans it
     stages = build_model_pipeline(
         regressor(model, target, random_state, params), build_preprocessor(df, parts.features)
@@ -366,6 +367,7 @@ def train_classifier(
     random_state: int = 42,
     drop: Sequence[str] | None = None,
     key: str | Sequence[str] | None = None,
+    order_hash: Column | None = None,
     params: Mapping | None = None,
 ) -> dict:
     """Like :func:`train_regressor`, split by class, for a categorical target.
@@ -375,7 +377,9 @@ def train_classifier(
     if model not in CLASSIFIERS:
         raise ValueError(f"{model!r} names none of the classification models")
     parts = split_features_target(df, target, drop=drop)
-    train, test = train_test(df, test_size=test_size, random_state=random_state, stratify=target, key=key)
+    train, test = train_test(
+        df, test_size=test_size, random_state=random_state, stratify=target, key=key, order_hash=order_hash
+    )
     train = written(train)  # every fitting stage scans it
     sizes = train.agg(F.count("*").alias("n"), F.count_distinct(ref(target)).alias("k")).first()
     indexer = StringIndexer(inputCol=target, outputCol=LABEL, stringOrderType="alphabetAsc").fit(df)

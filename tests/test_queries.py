@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, database
+from workloads import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,6 +14,11 @@ def link():
     return database(SF_DIR)
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_query_has_an_oracle(name):
+    assert name in ORACLES
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, link, name):
     assert compare(spark, link, SF_DIR, name) == ""

@@ -155,74 +155,157 @@ def regression_metrics(spark, sf):
     return modeling.regression_metrics(lines, label="l_extendedprice")
 
 
-def _line_features(spark, sf):
-    return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
-        "l_returnflag", "l_extendedprice",
-    )
+KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LINE_HASH_SQL = f"(l_orderkey * {MIX}) % {RANGE}"
+# The test part by the hash both engines share, then the columns the models see.
+LINES_SPLIT = f"""
+    SELECT *, row_number() OVER (ORDER BY {LINE_HASH_SQL}, {", ".join(KEY)}) <= ceil(round(count(*) OVER () * 0.2, 9)) AS test
+    FROM (SELECT {", ".join(KEY)}, {{columns}} FROM lineitem)"""
+METRICS = """round_even(1 - sum(pow(y - f, 2)) / (var_pop(y) * count(*)), 4) AS r2, round_even(avg(abs(y - f)), 4) AS mae,
+             round_even(sqrt(avg(pow(y - f, 2))), 4) AS rmse"""
+LINE_FIT = f"""
+    WITH p AS ({LINES_SPLIT.format(columns="l_quantity AS x, l_extendedprice AS y")}),
+         m AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b, stddev_pop(x) AS sd FROM p WHERE NOT test),
+         e AS (SELECT y, a * x + b AS f FROM p CROSS JOIN m WHERE test)
+    """
 
 
-KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+def _prices(spark, sf):
+    return table(spark, sf, "lineitem").select(*KEY, "l_quantity", "l_extendedprice")
 
 
-def _regression(spark, sf, model, **params):
+def _price_line(spark, sf):
     return modeling.train_regressor(
-        _line_features(spark, sf), "l_extendedprice", model=model, drop=KEY, params=params
+        _prices(spark, sf), "l_extendedprice", model="linear", drop=KEY, key=KEY, order_hash=_mixed("l_orderkey")
     )
 
 
-@query("train_linear")
+@query("train_linear", LINE_FIT + f"SELECT {METRICS} FROM e")
 def train_linear(spark, sf):
-    return _regression(spark, sf, "linear")["metrics"]
+    return _price_line(spark, sf)["metrics"]
 
 
-@query("train_forest")
-def train_forest(spark, sf):
-    return _regression(spark, sf, "random_forest", numTrees=20, maxDepth=5)["metrics"]
+@query(
+    "feature_importance",
+    LINE_FIT + "SELECT 'numeric__l_quantity' AS feature, round_even(abs(a) * sd, 4) AS importance FROM m",
+)
+def feature_importance(spark, sf):
+    return rounded(modeling.get_feature_importance(_price_line(spark, sf)), ["importance"], 4)
 
 
-@query("train_boosted")
-def train_boosted(spark, sf):
-    return _regression(spark, sf, "gradient_boosting", maxIter=10)["metrics"]
+# A target that is a rule on two features is met exactly on rows the model has not seen.
+STEPS = "CASE WHEN l_linenumber > 3 THEN 10.0 ELSE 20.0 END + CASE WHEN l_returnflag = 'R' THEN 5.0 ELSE 0.0 END"
+STEPS_FIT = f"""
+    WITH p AS ({LINES_SPLIT.format(columns=f"l_returnflag, l_linenumber AS line, ({STEPS})::DOUBLE AS y")}),
+         m AS (SELECT l_returnflag, line, avg(y) AS f FROM p WHERE NOT test GROUP BY ALL)
+    SELECT {METRICS} FROM p JOIN m USING (l_returnflag, line) WHERE test"""
 
 
-@query("feature_importance")
-def feature_importance(spark, sf):
-    return rounded(modeling.get_feature_importance(_regression(spark, sf, "linear")), ["importance"], 4)
+def _stepped(spark, sf, model):
+    lines = table(spark, sf, "lineitem").select(
+        *KEY, "l_returnflag", F.col("l_linenumber").alias("line"), "l_quantity", F.expr(STEPS).cast("double").alias("step")
+    )
+    return modeling.train_regressor(
+        lines, "step", model=model, drop=KEY, key=KEY, order_hash=_mixed("l_orderkey")
+    )
 
 
-def _text_features(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    return documents.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+@query("train_forest", STEPS_FIT)
+def train_forest(spark, sf):
+    return _stepped(spark, sf, "random_forest")["metrics"]
 
 
-def _classification(spark, sf, model, **params):
+@query("train_boosted", STEPS_FIT)
+def train_boosted(spark, sf):
+    return _stepped(spark, sf, "gradient_boosting")["metrics"]
+
+
+SOON = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'soon' ELSE 'later' END"
+# Every test row meets the class of the training rows with its priority.
+SOON_FIT = f"""
+    WITH r AS (SELECT o_orderkey, o_orderpriority, {SOON} AS y FROM orders),
+         c AS (SELECT y, count(*) AS n FROM r GROUP BY 1),
+         w AS (SELECT *, ceil(sum(n) OVER () * 0.2) AS take_all, ceil(sum(n) OVER () * 0.2) * n / sum(n) OVER () AS quota FROM c),
+         t AS (SELECT y, floor(quota) + CASE WHEN row_number() OVER (ORDER BY quota - floor(quota) DESC, y)
+                      <= take_all - sum(floor(quota)) OVER () THEN 1 ELSE 0 END AS take FROM w),
+         s AS (SELECT r.*, row_number() OVER (PARTITION BY r.y ORDER BY {HASH_SQL}, o_orderkey) <= take AS test
+               FROM r JOIN t ON r.y = t.y),
+         m AS (SELECT o_orderpriority, mode(y) AS f FROM s WHERE NOT test GROUP BY 1),
+         e AS (SELECT y, f FROM s JOIN m USING (o_orderpriority) WHERE test)
+    """
+SOON_CELLS = SOON_FIT + """SELECT a.y AS "true", b.y AS predicted, count(e.y) AS count
+    FROM c a CROSS JOIN c b LEFT JOIN e ON e.y = a.y AND e.f = b.y GROUP BY ALL"""
+
+
+def _soon(spark, sf, model):
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", F.expr(SOON).alias("due")
+    )
     return modeling.train_classifier(
-        _text_features(spark, sf), "quality", model=model, drop=["doc_id", "source"], key="doc_id", params=params
+        orders, "due", model=model, drop=["o_orderkey"], key="o_orderkey", order_hash=_mixed("o_orderkey")
     )
 
 
-@query("train_logistic")
+@query(
+    "train_logistic",
+    SOON_FIT + """SELECT avg((y = f)::INTEGER) AS accuracy, avg((y = f)::INTEGER) AS precision_weighted,
+                         avg((y = f)::INTEGER) AS recall_weighted, avg((y = f)::INTEGER) AS f1_weighted FROM e""",
+)
 def train_logistic(spark, sf):
-    return _classification(spark, sf, "logistic")["metrics"]
+    return _soon(spark, sf, "logistic")["metrics"]
 
 
-@query("train_forest_classifier")
+@query("train_forest_classifier", SOON_CELLS)
 def train_forest_classifier(spark, sf):
-    return _classification(spark, sf, "random_forest", numTrees=20, maxDepth=5)["confusion_matrix"]
+    return _soon(spark, sf, "random_forest")["confusion_matrix"]
+
+
+@query("train_boosted_classifier", SOON_CELLS)
+def train_boosted_classifier(spark, sf):
+    return _soon(spark, sf, "gradient_boosting")["confusion_matrix"]
 
 
-@query("kmeans_sizes")
+@query(
+    "kmeans_sizes",
+    """WITH p AS (SELECT p_partkey % 4 AS g, 1000 * (p_partkey % 2) + p_size AS x, 1000 * (p_partkey % 4 // 2) + p_size AS y
+                  FROM part),
+            z AS (SELECT g, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y FROM p),
+            c AS (SELECT g, count(*) AS n, avg(x) AS cx, avg(y) AS cy, var_pop(x) + var_pop(y) AS v FROM z GROUP BY g),
+            s AS (SELECT z.i, max(CASE WHEN z.g = c.g THEN (pow(z.x - cx, 2) + pow(z.y - cy, 2) + v) * n / (n - 1) END) AS a,
+                         min(CASE WHEN z.g <> c.g THEN pow(z.x - cx, 2) + pow(z.y - cy, 2) + v END) AS b
+                  FROM (SELECT *, row_number() OVER () AS i FROM z) z CROSS JOIN c GROUP BY 1)
+       SELECT g AS first_group, g AS last_group, n, round_even((SELECT sum(n * v) FROM c), 4) AS inertia,
+              round_even((SELECT avg((b - a) / greatest(a, b)) FROM s), 4) AS silhouette FROM c""",
+)
 def kmeans_sizes(spark, sf):
-    result = modeling.cluster_kmeans(
-        table(spark, sf, "part"), n_clusters=4, features=["p_size", "p_retailprice"]
+    group = F.col("p_partkey") % 4
+    parts = table(spark, sf, "part").select(
+        group.alias("g"),
+        (1000 * (F.col("p_partkey") % 2) + F.col("p_size")).alias("x"),
+        (1000 * F.floor(group / 2) + F.col("p_size")).alias("y"),
+    )
+    result = modeling.cluster_kmeans(parts, n_clusters=4, features=["x", "y"])
+    sizes = result["labels"].groupBy("cluster").agg(
+        F.min("g").alias("first_group"), F.max("g").alias("last_group"), F.count("*").alias("n")
+    )
+    return sizes.drop("cluster").withColumns(
+        {"inertia": F.lit(result["inertia"]), "silhouette": F.lit(result["silhouette_squared_euclidean"])}
     )
-    return result["labels"].groupBy("cluster").agg(F.count("*").alias("n"))
 
 
-@query("cross_validated_linear")
+@query(
+    "cross_validated_linear",
+    f"""WITH q AS (SELECT l_quantity AS x, l_extendedprice AS y, count(*) OVER () AS n,
+                          row_number() OVER (ORDER BY {", ".join(KEY)}, l_quantity, l_extendedprice) - 1 AS p FROM lineitem),
+             g AS (SELECT x, y, CAST(CASE WHEN p < (n % 3) * (n // 3 + 1) THEN p // (n // 3 + 1)
+                          ELSE (n % 3) + (p - (n % 3) * (n // 3 + 1)) // (n // 3) END AS INTEGER) AS fold FROM q),
+             m AS (SELECT k, regr_slope(y, x) AS a, regr_intercept(y, x) AS b
+                   FROM g JOIN range(3) r(k) ON fold <> k GROUP BY k)
+        SELECT fold, round_even(1 - sum(pow(y - a * x - b, 2)) / (var_pop(y) * count(*)), 4) AS score
+        FROM g JOIN m ON fold = k GROUP BY fold""",
+)
 def cross_validated_linear(spark, sf):
-    lines = _line_features(spark, sf)
+    lines = _prices(spark, sf)
     parts = splitting.split_features_target(lines, "l_extendedprice", drop=KEY)
     stages = modeling.build_model_pipeline(
         modeling.regressor("linear", "l_extendedprice", 42), modeling.build_preprocessor(lines, parts.features)
@@ -232,11 +315,13 @@ def cross_validated_linear(spark, sf):
     return spark.createDataFrame(rows, "fold int, score double")
 
 
-@query("model_round_trip", "SELECT CAST(0 AS BIGINT) AS changed_predictions")
+@query("model_round_trip", LINE_FIT + f"SELECT {METRICS}, 0::BIGINT AS changed_predictions FROM e")
 def model_round_trip(spark, sf):
-    result = _regression(spark, sf, "linear")
+    """The metrics of a model that was saved and loaded, and how many predictions that changed."""
+    result = _price_line(spark, sf)
     again = modeling.load_model(modeling.save_model(result["pipeline"], scratch_folder(spark)))
     test = result["predictions"]
-    plain = test.select(*_line_features(spark, sf).columns, F.col("prediction").alias("before"))
-    compared = again.transform(plain)
-    return compared.agg(F.count_if(F.col("prediction") != F.col("before")).alias("changed_predictions"))
+    compared = again.transform(test.select(*KEY, "l_quantity", "l_extendedprice", F.col("prediction").alias("before")))
+    changed = compared.agg(F.count_if(F.col("prediction") != F.col("before"))).scalar()
+    metrics = modeling.regression_metrics(compared, label="l_extendedprice")
+    return metrics.withColumn("changed_predictions", changed)
