@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import as_list, ref, require
@@ -49,6 +50,7 @@ def consume(
     batch_size: int = 100,
     max_batches: int | None = None,
     available_now: bool = True,
+    checkpoint: str | None = None,
 ) -> int:
     """Call ``handler`` with batches of exactly ``batch_size`` rows; return the rows handled.
 
@@ -57,11 +59,15 @@ def consume(
     over when the stream ends.  ``order_by`` orders rows within an epoch (an offset or an
     event id).  With ``max_batches`` the query is stopped after that many.  A replayed
     epoch repeats its batches, so a handler should write idempotently.
+
+    A later call with the same ``checkpoint`` folder carries on where this one stopped: at the
+    offsets of the last whole epoch, with the rows that were read but not handled in front.
     """
     _check(batch_size, max_batches)
-    order = require(stream, order_by)
-    left_over: list[DataFrame] = []
-    finished = {"rows": 0, "batches": 0}
+    spark, order = stream.sparkSession, require(stream, order_by)
+    folder = checkpoint.rstrip("/") if checkpoint is not None else scratch_folder(spark)
+    kept = T.StructType([*stream.schema.fields, T.StructField("__position", T.LongType())])
+    finished = {"rows": 0, "batches": 0, "stop": False}
 
     def full() -> bool:
         return max_batches is not None and finished["batches"] >= max_batches
@@ -72,36 +78,47 @@ def consume(
         finished["rows"] += rows
         finished["batches"] += 1
 
-    def epoch(batch: DataFrame, _epoch_id: int) -> None:
-        if full():
-            return
+    def remainder(number: int | None) -> DataFrame:
+        if number is None:
+            return spark.createDataFrame([], kept)
+        return spark.read.schema(kept).parquet(f"{folder}/left/{number}")
+
+    def handle(placed: DataFrame, number: int, whole_only: bool) -> None:
+        """Hand over batches and write what stays behind as the remainder after this epoch."""
+        first, total = 0, placed.count()
+        while not full() and total - first >= (batch_size if whole_only else 1):
+            rows = min(batch_size, total - first)
+            hand_over(placed, first, rows)
+            first += rows
+        rest = placed.where(F.col("__position") >= first).withColumn("__position", F.col("__position") - first)
+        rest.write.mode("overwrite").parquet(f"{folder}/left/{number}")
+
+    def epoch(batch: DataFrame, epoch_id: int) -> None:
+        carried = remainder(_latest(spark, f"{folder}/left", epoch_id))
         fresh = numbered(batch, order, "__position")
-        carried = 0
-        if left_over:
-            carried = left_over[0].count()
-            fresh = left_over[0].unionByName(fresh.withColumn("__position", F.col("__position") + carried))
-        placed = written(fresh)
-        total = placed.count()
-        for first in range(0, total - batch_size + 1, batch_size):
-            if full():
-                return
-            hand_over(placed, first, batch_size)
-        used = total - total % batch_size
-        left_over[:] = []
-        if total > used:
-            rest = placed.where(F.col("__position") >= used)
-            left_over.append(written(rest.withColumn("__position", F.col("__position") - used)))
-
-    writer = stream.writeStream.foreachBatch(epoch)
-    writer = writer.option("checkpointLocation", scratch_folder(stream.sparkSession))
+        behind = F.col("__position") + carried.count()
+        handle(written(carried.unionByName(fresh.withColumn("__position", behind))), epoch_id, True)
+        finished["stop"] = full()
+
+    writer = stream.writeStream.foreachBatch(epoch).option("checkpointLocation", f"{folder}/offsets")
     if available_now:
         writer = writer.trigger(availableNow=True)
-    _finish(writer.start(), full)
-    if left_over and not full():
-        hand_over(left_over[0], 0, left_over[0].count())
+    _finish(writer.start(), lambda: finished["stop"])
+    last = _latest(spark, f"{folder}/left")
+    if last is not None and not full():
+        handle(written(remainder(last)), last, False)
     return finished["rows"]
 
 
+def _latest(spark: SparkSession, folder: str, before: int | None = None) -> int | None:
+    """The largest epoch number (below ``before``) that something complete is written for."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    pattern = fs.Path(f"{folder}/*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    numbers = [int(f.getPath().getParent().getName()) for f in found]
+    return max([n for n in numbers if before is None or n < before], default=None)
+
+
 def stream_to_dataframe(stream: DataFrame, *, limit: int, available_now: bool = True) -> DataFrame:
     """The first ``limit`` messages of a stream as a table; empty if none arrive."""
     if limit < 0:
@@ -145,28 +162,28 @@ def running_totals(
     return stream.groupBy(*[ref(k) for k in keys]).agg(F.sum(amount).alias(name))
 
 
-def final_state(aggregate: DataFrame) -> DataFrame:
+def final_state(aggregate: DataFrame, *, checkpoint: str | None = None) -> DataFrame:
     """Run a streaming aggregate over all available input and return its final result.
 
     In complete mode every epoch replaces the table, each under its own path so that a
-    replay overwrites only itself.
+    replay overwrites only itself.  With a ``checkpoint`` folder a later call reads only
+    what has come since and adds it to the state kept there.
     """
     spark = aggregate.sparkSession
-    target = scratch_folder(spark)
-    epochs: list[int] = []
+    folder = checkpoint.rstrip("/") if checkpoint is not None else scratch_folder(spark)
 
     def epoch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/{epoch_id}")
-        epochs.append(epoch_id)
+        batch.write.mode("overwrite").parquet(f"{folder}/state/{epoch_id}")
 
     query = (
         aggregate.writeStream.outputMode("complete")
         .foreachBatch(epoch)
-        .option("checkpointLocation", scratch_folder(spark))
+        .option("checkpointLocation", f"{folder}/offsets")
         .trigger(availableNow=True)
         .start()
     )
     _finish(query)
-    if not epochs:
+    last = _latest(spark, f"{folder}/state")
+    if last is None:
         return spark.createDataFrame([], aggregate.schema)
-    return spark.read.schema(aggregate.schema).parquet(f"{target}/{epochs[-1]}")
+    return spark.read.schema(aggregate.schema).parquet(f"{folder}/state/{last}")

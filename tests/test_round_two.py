@@ -8,6 +8,7 @@ from quarrystone.operators import charts, correlation, descriptive, modeling, sp
 from quarrystone.plans import ordering, scratch
 from quarrystone.sources.excel import load_excel
 from quarrystone.sources.files import load_csv, load_json, load_text
+from quarrystone.streaming import batches
 
 from test_sources import write_workbook
 
@@ -156,3 +157,49 @@ def test_written_tables_can_be_cleared(spark, tmp_path, monkeypatch):
     assert scratch.written(spark.range(3)).count() == 3
     scratch.clear(spark)
     assert not (tmp_path / "base" / "quarrystone" / "app").exists()
+
+
+def _files_stream(spark, folder):
+    return spark.readStream.schema("id bigint, v bigint").option("maxFilesPerTrigger", 1).json(str(folder))
+
+
+def _write_ids(folder, name, ids):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(f'{{"id": {i}, "v": 1}}\n' for i in ids))
+
+
+def test_consume_carries_on_where_it_stopped(spark, tmp_path):
+    source, seen = tmp_path / "in", []
+    for k in range(3):
+        _write_ids(source, f"{k}.json", range(10 * k, 10 * k + 10))
+
+    def keep(batch):
+        seen.append(sorted(r.id for r in batch.collect()))
+
+    def run(**options):
+        return batches.consume(
+            _files_stream(spark, source), keep, order_by=["id"], batch_size=4, checkpoint=str(tmp_path / "at"), **options
+        )
+
+    assert run(max_batches=1) == 4 and len(seen) == 1
+    run()
+    assert sorted({i for batch in seen for i in batch}) == list(range(30))
+    assert all(len(batch) == 4 for batch in seen[:-1])
+    before = len(seen)
+    assert run() == 0
+    _write_ids(source, "3.json", range(30, 35))
+    assert run() == 5 and [len(b) for b in seen[before:]] == [4, 1]
+
+
+def test_final_state_adds_to_what_it_had(spark, tmp_path):
+    source = tmp_path / "in"
+    _write_ids(source, "0.json", range(4))
+
+    def total():
+        sums = batches.running_totals(_files_stream(spark, source), group_by="v", value="id")
+        return batches.final_state(sums, checkpoint=str(tmp_path / "at")).first()["total"]
+
+    assert total() == 6
+    assert total() == 6
+    _write_ids(source, "1.json", [10])
+    assert total() == 16
