@@ -30,8 +30,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go from all documents but their home."""
-    return linededup.remove_boilerplate(docs).select(*docs.columns)
+    """Boilerplate lines, short ones too, go from all documents but their home."""
+    return linededup.remove_boilerplate(docs, min_words=1).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,9 +6,10 @@ threshold get an exact distinct count; clear cases do not.  A boilerplate line g
 document but its home, the document with the smallest id that holds it, so that no passage is lost
 altogether.
 
-Lines are compared trimmed of blanks and in lower case.  Lines of fewer than ``min_words`` words are common
-speech rather than boilerplate and stay.  A line repeated inside documents of a few sites only is none
-either.
+Lines are compared trimmed of blanks and in lower case.  Lines of fewer than ``min_words`` words, told apart
+by blanks, stay.  With ``min_words=1``, as in the pipeline, spread alone decides: every line counts that is not
+white space only, however short and in any script.  A line repeated inside documents of a few sites only is no
+boilerplate.
 
 Defined results: a null text comes back null with 0 lines, an empty text has one empty line; a null site
 is one site of its own; rows that repeat a document id are cleaned each, by the same lines; a document
@@ -51,6 +52,8 @@ def _norm(line: Column) -> Column:
 
 
 def _long_enough(norm: Column, min_words: int) -> Column:
+    if min_words <= 1:
+        return norm.rlike(r"(?U)\S")
     return F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) >= min_words - 1
 
 

@@ -118,6 +118,19 @@ def test_boilerplate_lines(spark):
         linededup.remove_boilerplate(none.withColumn("n_lines", F.lit(1)))
 
 
+def test_pipeline_lines_go_by_spread_alone(spark):
+    short, unspaced, tabbed = "All rights reserved.", "版权所有不得转载", "home\tabout\tcontact"
+    wide = [short, unspaced, tabbed, "ok"]
+    rows = [(i, "\n".join([f"own {i}", "", *wide, "\t", "near"]), "en", f"s{i % 10}", 1) for i in range(30)]
+    rows += [(100 + i, "Nine sites\nnear", "en", f"s{i % 9}", 1) for i in range(30)]
+    rows += [(200, None, "en", "s1", 1), (201, f" {short.upper()} ", "en", None, 1)]
+    found = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, DOCS), TABLES).collect()}
+    assert found[0] == rows[0][1]
+    assert all(found[i] == f"own {i}\n\n\t" for i in range(1, 30))
+    assert all(found[i] == "Nine sites" for i in range(100, 130))
+    assert found[200] is None and found[201] == ""
+
+
 MESSAGES = "conv_id bigint, turn bigint, role string, text string, depth string"
 
 
