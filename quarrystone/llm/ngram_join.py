@@ -5,9 +5,10 @@ sampled tokens (the token that is least under one random function per position;
 token with the probability of their Jaccard similarity).  A run starts with all sets in one bucket and splits
 recursively: the path to a bucket chooses one or two positions, 1/threshold on average, and the sets
 go to one child bucket for each of them and its token.  Buckets of up to ``SMALL`` sets are compared
-by brute force on their samples, larger ones are split again.  At the threshold, a pair survives k levels of
-a run with a probability that follows from the recursion, and runs are repeated until what all runs
-miss is below 1 - recall at the depth that was needed; sets from deeper buckets get more runs.
+by brute force on their samples, larger ones are split again.  All runs draw from the same samples, so a pair
+at the threshold whose samples happen to agree less is weak in every run.  Runs are therefore repeated until what
+they miss, averaged over the agreements that may come, is below 1 - recall at the depth that was needed; sets from
+deeper buckets get more runs.
 
 What may be similar is then joined into groups, and every pair inside a group is decided exactly
 on the full sets, in cells: a large group is cut into blocks by a hash, and each pair of blocks is one cell, so no
@@ -45,6 +46,8 @@ SMALL, MAX_DEPTH = 96, 4
 PLANNED_DEPTH = 3
 # A pair whose samples agree on fewer positions than this share has next to no chance (5 standard deviations).
 SAMPLE_SHARE = 0.55
+# Drawn agreements that the miss is averaged over, and the most runs that are considered.
+AGREEMENTS, MAX_RUNS = 20_000, 64
 # A block of a group holds about so many documents or shingles.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 1 << 20
 TEXT_BYTES = 1 << 20
@@ -62,8 +65,28 @@ def survival(depth: int, threshold: float) -> float:
     return s
 
 
+def missed(depth: int, threshold: float, most: int) -> np.ndarray:
+    """The chance that a pair at the threshold shares no bucket after so many levels, by 1 to ``most`` runs.
+
+    Averaged over drawn agreements of the samples.  The first positions of each run are known; those of
+    deeper levels depend on the tokens, so a pair meets them with its own share of agreement.
+    """
+    agree = np.random.default_rng(23).random((AGREEMENTS, POSITIONS)) < threshold
+    share, s = agree.mean(1), 1.0
+    for _ in range(depth - 1):
+        s = 1 - (1 - share * s) * (1 - (1 / THRESHOLD - 1) * share * s)
+    first, second, both = _positions(np.arange(most, dtype=np.uint64))
+    lost = (1 - agree[:, first] * np.reshape(s, (-1, 1))) * (1 - both * agree[:, second] * np.reshape(s, (-1, 1)))
+    lost = np.cumprod(lost, axis=1)
+    lost[agree.sum(1) < math.ceil(SAMPLE_SHARE * POSITIONS)] = 1  # met, but not taken for alike
+    return lost.mean(0)
+
+
 def runs_needed(depth: int, threshold: float, recall: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(depth, threshold)))
+    enough = np.flatnonzero(missed(depth, threshold, MAX_RUNS) <= 1 - recall)
+    if not len(enough):
+        raise ValueError(f"The samples do not allow a recall of {recall}")
+    return int(enough[0]) + 1
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,13 +133,18 @@ def _start(runs: range):
     return run
 
 
-def _children(path: np.ndarray, samples: np.ndarray, ids: pa.Array) -> Iterator[pa.RecordBatch]:
-    """One child bucket for a position of each path, and for some paths a second."""
+def _positions(path: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first and the second position that each path chooses, and whether it takes the second too."""
     draw = mixed(path + np.uint64(0xA0761D6478BD642F))
     first = (draw % np.uint64(POSITIONS)).astype(np.int64)
     step = ((draw >> np.uint64(16)) % np.uint64(POSITIONS - 1)).astype(np.int64) + 1
-    second = (first + step) % POSITIONS
     both = (draw >> np.uint64(40)).astype(float) / (1 << 24) < 1 / THRESHOLD - 1
+    return first, (first + step) % POSITIONS, both
+
+
+def _children(path: np.ndarray, samples: np.ndarray, ids: pa.Array) -> Iterator[pa.RecordBatch]:
+    """One child bucket for a position of each path, and for some paths a second."""
+    first, second, both = _positions(path)
     for position, some in ((first, slice(None)), (second, both)):
         row = np.arange(len(path))[some]
         token = samples[row, position[some]].astype(np.uint64)

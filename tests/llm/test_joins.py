@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,24 @@ def test_runs_reach_the_recall():
     assert ngram_join.survival(1, 0.8) == pytest.approx(0.84)
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+def test_planted_pairs_are_found_at_every_depth(depth):
+    pairs, rng = 20_000, np.random.default_rng(depth)
+    x, other = rng.integers(0, 1 << 32, (2, pairs, ngram_join.POSITIONS), dtype=np.uint32)
+    both = np.concatenate([x, np.where(rng.random(x.shape) < 0.8, x, other)])
+    found = np.zeros(pairs, bool)
+    for run in range(ngram_join.runs_needed(depth, 0.8, 0.999)):
+        path, ids = np.full(2 * pairs, run, np.uint64), np.arange(2 * pairs)
+        for _ in range(depth):
+            children = list(ngram_join._children(path, both[ids], pa.array(ids)))
+            path = np.concatenate([c.column(0).to_numpy().view(np.uint64) for c in children])
+            ids = np.concatenate([c.column(1).to_numpy() for c in children])
+        ends = path ^ ngram_join.mixed((ids % pairs).astype(np.uint64))  # the bucket, and which pair
+        met = np.intersect1d(ends[ids < pairs], ends[ids >= pairs])
+        found[ids[np.isin(ends, met)] % pairs] = True
+    assert (~found).mean() <= 0.0015  # 0.001, and over two standard deviations of 20,000 pairs
+
+
 def test_empty_joins(spark):
     assert ngram_join.similar_documents(spark.createDataFrame([], DOCS)).collect() == []
     none = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
