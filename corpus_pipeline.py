@@ -35,10 +35,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays, the one with the smallest id."""
-    groups = ngram_join.similar_documents(docs)
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs.doc_id == F.col("__gone"), "left_anti")
+    """One row of each group of similar ones stays, the one with the smallest id.
+
+    Rows that repeat an id are judged each by its own text; of rows with the same id and text one stays.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    groups = ngram_join.similar_documents(keyed, id_col="__key").select(F.col("doc_id").alias("__key"), "class_id")
+    ids = keyed.groupBy("__key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("id").isNull(), "id", "__key")).alias("least")
+    first = groups.join(ids, "__key").groupBy("class_id").agg(least).select("least.__key")
+    left = keyed.join(groups.select("__key").join(first, "__key", "left_anti"), "__key", "left_anti")
+    repeated = ids.where("n > 1").select("__key")
+    one = F.min(F.struct(*docs.columns)).alias("one")
+    several = left.join(repeated, "__key", "left_semi").groupBy("__key").agg(one).select("one.*")
+    return left.join(repeated, "__key", "left_anti").select(*docs.columns).unionByName(several)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

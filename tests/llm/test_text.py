@@ -185,6 +185,17 @@ def test_pipeline_stages(spark):
     assert pieces.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= packing.CAPACITY
 
 
+def test_pipeline_judges_rows_that_repeat_an_id(spark):
+    words = [f"word{k}" for k in range(120)]
+    base, near, other = " ".join(words), " ".join([*words[:119], "end"]), " ".join(reversed(words))
+    rows = [(1, base, "en", "s1", 1), (2, near, "en", "s2", 1), (2, other, "en", "s2", 1)]
+    rows += [(3, "alone " * 9, "en", "s3", 1)] * 2 + [(4, base, "en", "s4", 1), (5, None, "en", "s5", 1), (6, "", "en", "s6", 1)]
+    rows += [(7, "twice " * 9, "en", "s8", 1), (7, "twice " * 9, "en", "s7", 1), (None, near, "en", "s9", 1)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    found = corpus_pipeline.near_duplicate_stage(spark, docs, TABLES).collect()
+    assert sorted(tuple(r) for r in found) == [rows[0], rows[2], rows[3], rows[6], rows[7], rows[9]]
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:
