@@ -45,7 +45,8 @@ def patterns(histogram: np.ndarray, capacity: int) -> np.ndarray:
     """Rows of four lengths, descending, zero for none, that fill a sequence up to a little waste.
 
     The lengths are such that occur.  All fitting pairs are listed; of the triples and quadruples
-    those with second and third lengths spread evenly over what fits.
+    those with second and third lengths spread evenly over what fits.  Lengths below a quarter of the
+    capacity only come after a longer one: if there are no others, best fit does all the work.
     """
     there = np.flatnonzero(histogram)
     out = []
@@ -64,6 +65,14 @@ def patterns(histogram: np.ndarray, capacity: int) -> np.ndarray:
                 d = c - third
                 if 0 < d <= third and histogram[b] and histogram[third] and histogram[d]:
                     out.append(np.array([[a, b, third, d]]))
+    for a in there[(there * 4 >= capacity) & (there * 3 < capacity)]:  # four of them at least
+        room = capacity - a
+        for b in np.unique(np.linspace(-(-room // 3), a, SECOND_LENGTHS).astype(int)):
+            rest = room - b
+            for third in np.unique(np.linspace(-(-rest // 2), min(b, rest), SECOND_LENGTHS).astype(int)):
+                d = rest - third
+                if 0 < d <= third <= b and histogram[b] and histogram[third] and histogram[d]:
+                    out.append(np.array([[a, b, third, d]]))
     return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 4), int)
 
 

@@ -121,6 +121,13 @@ def test_packing_is_gapless_and_whole(spark, library, capacity):
     assert len(sequences) <= 1.1 * total / capacity + 2
 
 
+def test_short_pieces_go_by_patterns_of_four():
+    assert len(packing.patterns(np.bincount([256] * 8, minlength=1024), 1024)) == 1
+    histogram = np.zeros(1024, np.int64)
+    histogram[200:341] = np.random.default_rng(1).integers(0, 2000, 141)
+    assert packing.plan(histogram, 1024).sequences <= 1.06 * (histogram * np.arange(1024)).sum() / 1024
+
+
 def test_plan_is_near_the_bound_for_any_amount():
     rng = np.random.default_rng(1)
     for histogram in (rng.integers(0, 50, 1024), rng.integers(0, 5_000_000, 1024), np.eye(1024, dtype=int)[600] * 10**9,
