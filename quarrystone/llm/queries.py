@@ -5,7 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, linededup, ngram_join, packing, pieces, quality, quotes, token_files, topk, vector_join
+from . import (
+    filter_audit,
+    langid,
+    linededup,
+    ngram_join,
+    packing,
+    pieces,
+    quality,
+    quotes,
+    token_files,
+    topk,
+    vector_join,
+    whitening,
+)
 from .common import table
 from .registry import ORACLES, QUERIES, query
 
@@ -65,3 +78,13 @@ def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quotation_links")
 def op4_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link_quotations(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_filter_audit", filter_audit.SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
