@@ -18,6 +18,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
 from collections.abc import Iterator, Mapping
@@ -27,51 +28,67 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ref, require
+from ..plans.scratch import written
+from .common import ref, require, slices
 
 MIN_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 100, 80, 10
 MOST_FILTERS = 5
-_SPACE = " \t\n\x0b\f\r"
 REPEATED = "E"
 LABELS = ("all", "good", "toxic")
+_CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
+_SYMBOLS = b"#$%&*|"
+
+
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the filters ask of each text."""
+    for batch in batches:
+        for some in slices(batch, 2):
+            found: list[list] = [[], [], [], [], [], []]
+            for text in some.column(2).to_pylist():
+                data = (text or "").encode()
+                words = data.split()  # at blanks and the control characters from tab to carriage return
+                found[0].append(len(words))
+                found[1].append(len(set(words)))
+                found[2].append(len(data) - len(data.translate(None, _CAPITALS)))
+                found[3].append(len(text or ""))
+                found[4].append(len(data) - len(data.translate(None, _SYMBOLS)))
+                found[5].append(hashlib.sha256(data).digest())
+            counts = [pa.array(f, pa.int64()) for f in found[:5]]
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), some.column(1), *counts, pa.array(found[5], pa.binary())],
+                ["doc", "part", "words", "distinct", "capitals", "points", "symbols", "hash"],
+            )
+
+
+def text_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang") -> DataFrame:
+    """doc, part, and of each whole text: words, distinct words, capitals A-Z, code points, symbols and a 256-bit hash."""
+    require(docs, id_col, text_col, part_col)
+    part = F.coalesce(ref(part_col).cast("string"), F.lit(""))
+    rows = docs.select(ref(id_col).alias("doc"), part.alias("part"), ref(text_col).alias("text"))
+    kind = rows.schema["doc"].dataType.simpleString()
+    counts = ", ".join(f"{c} bigint" for c in ("words", "distinct", "capitals", "points", "symbols"))
+    return rows.mapInArrow(_measured, f"doc {kind}, part string, {counts}, hash binary")
 
 
-def text_filters(text: Column) -> dict[str, Column]:
-    """The conditions under which the text alone fails, by letter."""
-    bare = F.trim(text, F.lit(_SPACE))
-    words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
-    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
+def text_filters() -> dict[str, Column]:
+    """The conditions on the measures under which the text alone fails, by letter."""
     return {
-        "A": F.size(words) < MIN_WORDS,
-        "B": 100 * F.size(F.array_distinct(words)) < DISTINCT_PERCENT * F.size(words),
-        "C": 100 * capitals.cast("bigint") > CAPITAL_PERCENT * F.length(text).cast("bigint"),
-        "D": text.rlike("[#$%&*|]"),
+        "A": F.col("words") < MIN_WORDS,
+        "B": 100 * F.col("distinct") < DISTINCT_PERCENT * F.col("words"),
+        "C": 100 * F.col("capitals") > CAPITAL_PERCENT * F.col("points"),
+        "D": F.col("symbols") > 0,
     }
 
 
-def failures(
-    docs: DataFrame,
-    filters: Mapping[str, Column] | None = None,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    part_col: str = "lang",
-) -> DataFrame:
+def failures(measures: DataFrame, filters: Mapping[str, Column] | None = None) -> DataFrame:
     """doc, part and mask: bit k is set when the document fails the k-th filter; the last filter is the repeated text."""
-    require(docs, id_col, text_col, part_col)
-    text = F.coalesce(ref(text_col), F.lit(""))
-    filters = text_filters(text) if filters is None else filters
+    filters = text_filters() if filters is None else filters
     if not 1 <= len(filters) < MOST_FILTERS:
         raise ValueError(f"Between one and {MOST_FILTERS - 1} filters besides the repeated text")
-    bits = [F.when(fails, 1 << k).otherwise(0) for k, fails in enumerate(filters.values())]
-    mask = bits[0]
-    for bit in bits[1:]:
-        mask = mask.bitwiseOR(bit)
-    rows = docs.select(
-        ref(id_col).alias("doc"),
-        F.coalesce(ref(part_col).cast("string"), F.lit("")).alias("part"),
-        mask.alias("mask"),
-        F.unhex(F.sha2(text, 256)).alias("hash"),
-    )
+    mask = F.lit(0)
+    for k, fails in enumerate(filters.values()):
+        mask = mask.bitwiseOR(F.when(fails, 1 << k).otherwise(0))
+    rows = measures.select("doc", "part", mask.alias("mask"), "hash")
     ids = rows.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     shared = ids.where("least < most").select("hash", "least")
     again = F.when(F.col("doc") > F.col("least"), 1 << len(filters)).otherwise(0)
@@ -202,9 +219,9 @@ def filter_audit(
 ) -> DataFrame:
     """All orders of the given filters (by letter) and of the repeated text; see the module's text.
 
-    ``labels`` has the id, quality (1: good) and toxic (1: toxic).
+    ``filters`` are conditions on the columns of ``text_measures``; ``labels`` has the id, quality (1: good) and toxic (1).
     """
-    failed = failures(docs, filters, id_col, text_col, part_col)
+    failed = failures(written(text_measures(docs, id_col, text_col, part_col)), filters)
     names = "".join("ABCD" if filters is None else filters) + REPEATED
     if len(set(names)) < len(names) or len(names) > MOST_FILTERS:
         raise ValueError(f"Filters need one letter each, other than {REPEATED}")
