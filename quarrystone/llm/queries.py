@@ -14,6 +14,7 @@ from . import (
     pieces,
     quality,
     quotes,
+    substring,
     token_files,
     topk,
     vector_join,
@@ -88,3 +89,8 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_whitening")
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_substring_repeats")
+def op13_substring_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.kept_digests(table(spark, sf_dir, "documents"))
