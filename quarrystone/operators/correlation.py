@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import number, numeric_columns, require, rounded
 from ..functions.moments import pearson
-from ..plans.ranks import average_ranks, concordance
+from ..plans.inversions import concordant, dense_ranks
+from ..plans.ranks import average_ranks
 from ..plans.scratch import written
 
 METHODS = ("pearson", "spearman", "kendall")
@@ -38,7 +39,7 @@ def correlate_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str
     table = df.select(*[number(df, c).alias(slots[c]) for c in names])
     coded = [(slots[a], slots[b]) for a, b in pairs]
     if method == "kendall":
-        found = [_kendall(table, a, b) for a, b in coded]
+        found = _kendall(table, coded)
     elif method == "spearman":
         found = _spearman(table, coded)
     else:
@@ -168,30 +169,31 @@ def _ranked(table: DataFrame, names: Sequence[str]) -> DataFrame:
     return joined.select(*[F.col(f"{c}_r").alias(c) for c in names])
 
 
-def _kendall(table: DataFrame, a: str, b: str) -> DataFrame:
-    """tau-b from pair counts over the distinct (x, y) cells."""
-    both = table.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    cells = both.groupBy(F.col(a).alias("x"), F.col(b).alias("y")).agg(F.count("*").alias("n"))
-
-    def tied(groups: DataFrame):
-        n = F.col("n").cast("double")
-        return groups.agg(F.coalesce(F.sum(n * (n - 1) / 2), F.lit(0.0))).scalar()
-
-    counted = cells.agg(F.count("*").alias("cells"), F.sum("n").alias("rows")).first()
-    total = float(counted["rows"] or 0)
-    every = F.lit(total * (total - 1) / 2)
-    ties_x = tied(cells.groupBy("x").agg(F.sum("n").alias("n")))
-    ties_y = tied(cells.groupBy("y").agg(F.sum("n").alias("n")))
-    pairs = concordance(cells, counted["cells"]).select(
-        "concordant", every.alias("every"), ties_x.alias("tx"), ties_y.alias("ty"), tied(cells).alias("txy")
-    )
+def _kendall(table: DataFrame, pairs) -> list[DataFrame]:
+    """tau-b from pair counts over the distinct (x, y) cells, all column pairs in the same jobs."""
+    if not pairs:
+        return []
+    sides = [F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y")) for i, (a, b) in enumerate(pairs)]
+    both = table.select(F.inline(F.array(*sides))).where("x is not null and y is not null")
+    counted = written(both.groupBy("pair", "x", "y").agg(F.count("*").alias("n")))
+    ranks = written(dense_ranks(counted.select("pair", F.col("y").alias("value"))))
+    ranked = counted.join(ranks.withColumnRenamed("value", "y"), ["pair", "y"]).select("pair", "x", "rank", "n")
+    distinct = (ranks.agg(F.max("rank")).first()[0] or 0) + 1
+    rising = concordant(written(ranked), distinct)
+
+    def tied(name: str, *keys: str) -> DataFrame:
+        groups = counted.groupBy("pair", *keys).agg(F.sum("n").cast("double").alias("n"))
+        return groups.groupBy("pair").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias(name))
+
+    sums = tied("every")
+    for part in (tied("tx", "x"), tied("ty", "y"), tied("txy", "x", "y"), rising):
+        sums = sums.join(part, "pair")
     either = F.col("every") - F.col("tx") - F.col("ty") + F.col("txy")
     spread = F.sqrt(F.col("every") - F.col("tx")) * F.sqrt(F.col("every") - F.col("ty"))
-    return pairs.select(
-        F.lit(a).alias("a"),
-        F.lit(b).alias("b"),
-        F.try_divide(2 * F.col("concordant") - either, spread).alias("correlation"),
-    )
+    found = sums.select("pair", F.try_divide(2 * F.col("concordant") - either, spread).alias("r"))
+    listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(pairs)])
+    every = table.sparkSession.range(1).select(F.inline(listed))  # a pair without complete rows has no sums
+    return [every.join(found, F.col("i") == F.col("pair"), "left").select("a", "b", F.col("r").alias("correlation"))]
 
 
 def correlation_matrix(

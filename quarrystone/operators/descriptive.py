@@ -74,11 +74,13 @@ def pivot_summary(
     ``column_values`` fixes the output columns and keeps the plan lazy; without it one
     job lists them.  Several pivot columns are joined with ``_``; headings that then coincide raise.
     """
-    cells = pivot_cells(df, index=index, columns=columns, values=values, aggfunc=aggfunc, order_by=order_by)
-    rows = as_list(index)
+    rows, key = as_list(index), ref("pivot_key")
+    cells = _combined(df, rows, as_list(columns), values, aggfunc, order_by)
     if len(as_list(columns)) > 1:
         cells = written(cells)
-        shared = cells.groupBy(*[ref(k) for k in rows], "pivot_key").count().where("count > 1").first()
+        parts = ref("pivot_parts")
+        spread = cells.groupBy(key).agg(F.min(parts).alias("a"), F.max(parts).alias("b"))
+        shared = spread.where("a <> b").first()
         if shared:
             raise ValueError(f"Several combinations of {as_list(columns)} share the heading {shared['pivot_key']!r}")
     groups = cells.groupBy(*[ref(k) for k in rows])
@@ -96,14 +98,22 @@ def pivot_cells(
     order_by: Sequence[str] = (),
 ) -> DataFrame:
     """The pivot in long form (index, ``pivot_key``, ``cell``), for any number of columns."""
+    rows = as_list(index)
+    cells = _combined(df, rows, as_list(columns), values, aggfunc, order_by)
+    return cells.select(*[ref(k) for k in rows], "pivot_key", "cell")
+
+
+def _combined(df: DataFrame, index, columns, values: str, aggfunc: Aggregate, order_by: Sequence[str]) -> DataFrame:
+    """One row per combination of index and columns: index, ``pivot_key``, ``cell`` and ``pivot_parts``.
+
+    Grouped by the columns, not by the heading: two combinations may share one.  ``pivot_parts`` tells them apart.
+    """
     rows, across = require(df, index), require(df, columns)
     keyed = df
     for k in [*rows, *across]:
         keyed = keyed.where(~is_missing(df, k))
-    # Grouped by the columns, not by the heading: two combinations may share one.
     keys = list(dict.fromkeys([*rows, *across]))
     cells = grouped(keyed, keys, [(values, aggfunc, "cell")], order_by).where(F.col("cell").isNotNull())
     key = ref(across[0]) if len(across) == 1 else F.concat_ws("_", *[ref(c) for c in across])
-    return cells.select(*[ref(k) for k in rows], key.alias("pivot_key"), "cell")
-
-
+    parts = F.array(*[ref(c).cast("string") for c in across])
+    return cells.select(*[ref(k) for k in rows], key.alias("pivot_key"), "cell", parts.alias("pivot_parts"))

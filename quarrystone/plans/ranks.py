@@ -1,25 +1,11 @@
-"""Average ranks and concordant pairs over distributed value histograms."""
+"""Average ranks over distributed value histograms."""
 
 from __future__ import annotations
 
-import math
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import running_total
-from .scratch import written
-
-# Executors need no copy of the package to run the block kernel.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Distinct (x, y) cells one task counts pairs in.
-BLOCK_CELLS = 500_000
 
 
 def average_ranks(df: DataFrame, column: str, native: int | None = None) -> DataFrame:
@@ -27,94 +13,3 @@ def average_ranks(df: DataFrame, column: str, native: int | None = None) -> Data
     histogram = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
     ranked = running_total(histogram, ["value"], "n", "upto", native_rows=native)
     return ranked.select("value", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
-
-
-def concordant_pairs(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """Weight of the pairs in which the larger x comes with the larger y.
-
-    Divide and conquer over the bits of the dense rank of x: a pair is counted at
-    the one bit that separates its two ranks.
-    """
-    if len(x) < 2:
-        return 0.0
-    rx = np.unique(x, return_inverse=True)[1]
-    ry = np.unique(y, return_inverse=True)[1]
-    by_y = np.argsort(ry, kind="stable")
-    rx, ry, weight = rx[by_y], ry[by_y], weight[by_y].astype(float)
-    at = np.arange(len(rx))
-    total = 0.0
-    for bit in range(int(rx.max()).bit_length()):
-        order = np.argsort(rx >> (bit + 1), kind="stable")
-        half, level, w = rx[order], ry[order], weight[order]
-        group, upper = half >> (bit + 1), ((half >> bit) & 1).astype(bool)
-        lower_weight = np.where(upper, 0.0, w)
-        ahead = np.cumsum(lower_weight) - lower_weight
-        fresh = np.r_[True, group[1:] != group[:-1]]
-        group_start = np.maximum.accumulate(np.where(fresh, at, 0))
-        run_start = np.maximum.accumulate(np.where(fresh | np.r_[True, level[1:] != level[:-1]], at, 0))
-        total += float(np.sum((w * (ahead[run_start] - ahead[group_start]))[upper]))
-    return total
-
-
-def _count_block(block: pd.DataFrame) -> pd.DataFrame:
-    found = concordant_pairs(block["x"].to_numpy(), block["y"].to_numpy(), block["n"].to_numpy())
-    return pd.DataFrame({"pairs": [found]})
-
-
-def _splits(cells: DataFrame, column: str, blocks: int) -> list[float]:
-    """Cut points that give about equal blocks; a value that fills a block stands alone."""
-    wanted = [i / blocks for i in range(1, blocks)]
-    cuts = cells.approxQuantile(column, wanted, 1 / (4 * blocks))
-    alone = [math.nextafter(a, math.inf) for a, b in zip(cuts, cuts[1:]) if a == b]
-    return [-math.inf, *sorted({*cuts, *alone}), math.inf]
-
-
-def concordance(cells: DataFrame, n_cells: int, block_cells: int | None = None) -> DataFrame:
-    """One row ``concordant``: concordant pair weight over distinct cells ``x, y, n``.
-
-    Both axes are cut into blocks.  Pairs that differ in both blocks come from
-    running sums over the grid of block counts.  Pairs inside an x block or a
-    y block are counted there, less those inside both, which were counted twice.
-    A block with one distinct value has no pairs, so hot values cost nothing.
-    """
-    size = block_cells or BLOCK_CELLS
-    spark = cells.sparkSession
-    blocks = math.ceil(n_cells / size)
-    if blocks <= 1:
-        one = cells.groupBy().applyInPandas(_count_block, "pairs double")
-        return one.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("concordant"))
-
-    xs, ys = _splits(cells, "x", blocks), _splits(cells, "y", blocks)
-    cutter = Bucketizer(splitsArray=[xs, ys], inputCols=["x", "y"], outputCols=["bx", "by"])
-    cut = written(cutter.transform(cells).select("x", "y", "n", F.col("bx").cast("long"), F.col("by").cast("long")))
-
-    def inside(keys: list[str], axes: list[str]) -> DataFrame:
-        spread = cut.groupBy(*keys).agg(*[(F.min(a) < F.max(a)).alias(f"s_{a}") for a in axes])
-        live = spread.where(" and ".join(f"s_{a}" for a in axes)).select(*keys)
-        counted = cut.join(live, keys, "left_semi").groupBy(*keys).applyInPandas(_count_block, "pairs double")
-        return counted.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs"))
-
-    across, down = len(xs) - 1, len(ys) - 1
-    filled = cut.groupBy("bx", "by").agg(F.sum("n").cast("double").alias("n"))
-    grid = (
-        spark.range(across * down)
-        .select((F.col("id") / down).cast("long").alias("bx"), (F.col("id") % down).alias("by"))
-        .join(filled, ["bx", "by"], "left")
-        .na.fill(0.0, ["n"])
-    )
-    earlier = (Window.unboundedPreceding, -1)
-    in_row = F.coalesce(F.sum("n").over(Window.partitionBy("bx").orderBy("by").rowsBetween(*earlier)), F.lit(0.0))
-    below = F.coalesce(F.sum("left").over(Window.partitionBy("by").orderBy("bx").rowsBetween(*earlier)), F.lit(0.0))
-    crossing = (
-        grid.withColumn("left", in_row)
-        .withColumn("smaller", below)
-        .agg(F.sum(F.col("n") * F.col("smaller")).alias("pairs"))
-    )
-    return crossing.select(
-        (
-            F.col("pairs")
-            + inside(["bx"], ["x"]).scalar()
-            + inside(["by"], ["y"]).scalar()
-            - inside(["bx", "by"], ["x", "y"]).scalar()
-        ).alias("concordant")
-    )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarrystone.operators import correlation, timeseries
-from quarrystone.plans import ordering, quantiles, ranks
+from quarrystone.plans import inversions, ordering, quantiles, ranks
 
 
 @pytest.fixture(scope="module")
@@ -107,23 +107,65 @@ def test_average_ranks(skewed, native):
     assert got == expected
 
 
-@pytest.mark.parametrize("block_cells", [10_000, 200, 37])
-def test_concordant_pairs_with_hot_values(skewed, block_cells):
-    frame, df = skewed
-    sample = frame.dropna()
-    x, y = sample["x"].to_numpy(), sample["y"].to_numpy()
-    expected = int(((x[:, None] < x[None]) & (y[:, None] < y[None])).sum())
-    cells = df.where("x is not null").groupBy("x", "y").agg(F.count("*").alias("n"))
-    assert ranks.concordance(cells, cells.count(), block_cells).first()["concordant"] == expected
+def _rising(x, y, w):
+    """The weight of concordant pairs, row by row."""
+    order = np.lexsort((-y, x))
+    y, w, total = y[order], w[order], 0.0
+    for j in range(len(y)):
+        total += w[j] * w[:j][y[:j] < y[j]].sum()
+    return total
 
 
-def test_concordant_pairs_kernel_with_weights():
-    x, y, w = np.array([1.0, 1, 2, 3]), np.array([1.0, 2, 2, 3]), np.array([2, 1, 3, 5])
-    expected = sum(
-        w[i] * w[j] for i in range(4) for j in range(4) if x[i] < x[j] and y[i] < y[j]
-    )
-    assert ranks.concordant_pairs(x, y, w) == expected
-    assert ranks.concordant_pairs(x[:1], y[:1], w[:1]) == 0.0
+def _cells(spark, x, y, w):
+    frame = pd.DataFrame({"pair": 0, "x": x, "y": y, "n": w})
+    frame["rank"] = np.unique(frame["y"], return_inverse=True)[1]
+    return spark.createDataFrame(frame[["pair", "x", "rank", "n"]]), int(frame["rank"].max()) + 1
+
+
+@pytest.mark.parametrize("tasks,bits", [(1, 12), (7, 12), (50, 12), (7, 3), (50, 2)])
+def test_concordant_pairs_in_any_number_of_tasks(spark, tasks, bits):
+    rng = np.random.default_rng(tasks + bits)
+    x, y = rng.integers(0, 40, 3000).astype(float), rng.normal(0, 1, 3000).round(2 if bits > 2 else 1)
+    x[:1000] = 7.0  # a hot value
+    x, y = np.unique(np.stack([x, y]), axis=1)
+    w = rng.integers(1, 9, len(x))
+    cells, distinct = _cells(spark, x, y, w)
+    got = inversions.concordant(cells, distinct, tasks=tasks, bits=bits).first()["concordant"]
+    assert got == _rising(x, y, w)
+
+
+@pytest.mark.parametrize("tasks", [1, 7, 50])
+def test_concordant_pairs_of_many_cells(spark, tasks):
+    rng = np.random.default_rng(3)
+    x, y = rng.permutation(100_000).astype(float), rng.permutation(100_000).astype(float)
+    cells, distinct = _cells(spark, x, y, np.ones(100_000, int))
+    order, total = y[np.argsort(x)].astype(int), 0
+    for first in range(0, 100_000, 2000):
+        block = order[first : first + 2000]
+        total += int((np.searchsorted(np.sort(order[:first]), block)).sum())
+        total += int(np.triu(block[:, None] < block[None], 1).sum())
+    assert inversions.concordant(cells, distinct, tasks=tasks).first()["concordant"] == total
+
+
+def test_no_round_outgrows_its_tasks(spark, monkeypatch):
+    """Later rounds hold the totals of the outer groups only, however many there are."""
+    monkeypatch.setattr(inversions, "TASK_ROWS", 400)
+    rng = np.random.default_rng(9)
+    x, y = np.unique(rng.integers(0, 300, (2, 20_000)), axis=1).astype(float)
+    cells, distinct = _cells(spark, x, y, np.ones(len(x), int))
+    assert inversions.concordant(cells, distinct, bits=5).first()["concordant"] == _rising(x, y, np.ones(len(x)))
+
+
+def test_rising_pairs_kernel():
+    run, digit, w = np.array([0, 0, 0, 1, 1]), np.array([1, 0, 2, 0, 3]), np.array([2.0, 1, 3, 5, 7])
+    assert inversions.rising_pairs(run, digit, w, 2).tolist() == [0, 0, 3, 0, 5]
+    assert inversions.rising_pairs(run[:0], digit[:0], w[:0]).tolist() == []
+
+
+def test_dense_ranks(spark):
+    rows = [(0, 2.5), (0, 1.0), (0, 2.5), (1, 7.0), (0, 9.0)]
+    got = inversions.dense_ranks(spark.createDataFrame(rows, "pair int, value double")).collect()
+    assert {tuple(r) for r in got} == {(0, 1.0, 0), (0, 2.5, 1), (0, 9.0, 2), (1, 7.0, 0)}
 
 
 @pytest.mark.parametrize("method", ["pearson", "spearman"])
@@ -145,3 +187,13 @@ def test_kendall_matches_the_definition(skewed):
     expected = (sx * sy).sum() / np.sqrt((sx != 0).sum() * (sy != 0).sum())
     got = correlation.correlate_pairs(df, [("x", "y")], "kendall").first()["correlation"]
     assert got == pytest.approx(expected)
+
+
+def test_kendall_of_pairs_without_rows_or_spread(spark):
+    rows = [(1.0, 5.0, None), (2.0, 5.0, None), (3.0, 5.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = correlation.correlate_pairs(df, [("a", "b"), ("a", "c"), ("a", "a")], "kendall").collect()
+    assert {(r[0], r[1]): r[2] for r in got} == {
+        ("a", "b"): None, ("a", "c"): None, ("a", "a"): pytest.approx(1.0)
+    }
+    assert [r[2] for r in correlation.correlate_pairs(df.limit(0), [("a", "b")], "kendall").collect()] == [None]
