@@ -52,69 +52,135 @@ def consume(
     available_now: bool = True,
     checkpoint: str | None = None,
 ) -> int:
-    """Call ``handler`` with batches of exactly ``batch_size`` rows; return the rows handled.
+    """Call ``handler`` with one batch of exactly ``batch_size`` rows after another; return the rows handled.
 
-    An epoch of the stream rarely holds a multiple of ``batch_size``, so what is left of
-    it is written down and put in front of the next epoch; the last remainder is handed
-    over when the stream ends.  ``order_by`` orders rows within an epoch (an offset or an
-    event id).  With ``max_batches`` the query is stopped after that many.  A replayed
-    epoch repeats its batches, so a handler should write idempotently.
+    Each call is at least one job.  For many batches, or a handler that works on them alike, see
+    :func:`consume_together`, which also says how order, failures and a ``checkpoint`` are dealt with.
+    """
+
+    def one_by_one(batches: DataFrame, numbers: range) -> None:
+        for number in numbers:
+            handler(batches.where(F.col("batch_id") == number).drop("batch_id"))
+
+    return _consume(stream, one_by_one, order_by, batch_size, max_batches, available_now, checkpoint)
+
+
+def consume_together(
+    stream: DataFrame,
+    handler: Handler,
+    *,
+    order_by: Sequence[str],
+    batch_size: int = 100,
+    max_batches: int | None = None,
+    available_now: bool = True,
+    checkpoint: str | None = None,
+) -> int:
+    """Call ``handler`` once an epoch with all its whole batches; return the rows handled.
+
+    The table that is handed over has the rows' ``batch_id``; batches have exactly ``batch_size`` rows and are
+    numbered from 0 through the whole stream, so the number of jobs does not depend on how many there are.  An epoch
+    rarely holds a multiple of ``batch_size``: what is left is written down and comes in front of the next epoch; the last
+    remainder is handed over when the stream ends.  ``order_by`` orders rows within an epoch (an offset or an event
+    id), by a distributed sort.  With ``max_batches`` the query is stopped after that many.
 
-    A later call with the same ``checkpoint`` folder carries on where this one stopped: at the
-    offsets of the last whole epoch, with the rows that were read but not handled in front.
+    The state after each epoch is how many batches were handed over and the remainder.  A later call with the same
+    ``checkpoint`` folder carries on there.  An epoch that was cut short is replayed with the same batch ids and
+    rows, so a handler that writes by batch id, as :func:`write_batches` does, keeps each batch once.
     """
+    clash = {"batch_id", "__position"} & set(stream.columns)
+    if clash:
+        raise ValueError(f"The stream has columns of its own named {sorted(clash)}")
+    return _consume(stream, lambda rows, _: handler(rows), order_by, batch_size, max_batches, available_now, checkpoint)
+
+
+def write_batches(batches: DataFrame, path: str) -> None:
+    """Write batches to a folder for each ``batch_id``; a batch that is handed over again replaces itself."""
+    writer = batches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch_id").parquet(path)
+
+
+def each_batch(function: Callable, schema: str) -> Callable[[DataFrame], DataFrame]:
+    """A function from one batch to one batch, both pandas frames, applied to all batches in the executors."""
+    return lambda batches: batches.groupBy("batch_id").applyInPandas(function, schema)
+
+
+def _consume(stream, deliver, order_by, batch_size, max_batches, available_now, checkpoint) -> int:
     _check(batch_size, max_batches)
     spark, order = stream.sparkSession, require(stream, order_by)
     folder = checkpoint.rstrip("/") if checkpoint is not None else scratch_folder(spark)
     kept = T.StructType([*stream.schema.fields, T.StructField("__position", T.LongType())])
-    finished = {"rows": 0, "batches": 0, "stop": False}
-
-    def full() -> bool:
-        return max_batches is not None and finished["batches"] >= max_batches
-
-    def hand_over(placed: DataFrame, first: int, rows: int) -> None:
-        inside = F.col("__position").between(first, first + rows - 1)
-        handler(placed.where(inside).drop("__position"))
-        finished["rows"] += rows
-        finished["batches"] += 1
+    done = {"rows": 0, "stop": False, "most": None}
 
-    def remainder(number: int | None) -> DataFrame:
+    def state(before: int | None = None) -> tuple[int | None, int, int]:
+        """The last whole epoch, the batches handed over until then and the rows left over."""
+        number = _latest(spark, f"{folder}/left", before, "_STATE")
         if number is None:
-            return spark.createDataFrame([], kept)
-        return spark.read.schema(kept).parquet(f"{folder}/left/{number}")
-
-    def handle(placed: DataFrame, number: int, whole_only: bool) -> None:
-        """Hand over batches and write what stays behind as the remainder after this epoch."""
-        first, total = 0, placed.count()
-        while not full() and total - first >= (batch_size if whole_only else 1):
-            rows = min(batch_size, total - first)
-            hand_over(placed, first, rows)
-            first += rows
-        rest = placed.where(F.col("__position") >= first).withColumn("__position", F.col("__position") - first)
+            return None, 0, 0
+        batches, rest = _noted(spark, f"{folder}/left/{number}/_STATE").split()
+        return number, int(batches), int(rest)
+
+    def hand_over(placed: DataFrame, batches: int, rows: int, number: int, whole_only: bool) -> None:
+        """Deliver batches, then write the remainder and, last of all, the state."""
+        several = rows // batch_size if whole_only else -(-rows // batch_size)
+        if done["most"] is not None:
+            several = min(several, done["most"] - batches)
+        end = min(several * batch_size, rows)
+        if several > 0:
+            at = F.floor(F.col("__position") / batch_size).cast("bigint") + batches
+            inside = placed.where(F.col("__position") < end).withColumn("batch_id", at)
+            deliver(inside.drop("__position"), range(batches, batches + several))
+            done["rows"] += end
+        done["stop"] = done["most"] is not None and batches + several >= done["most"]
+        rest = placed.where(F.col("__position") >= end).withColumn("__position", F.col("__position") - end)
         rest.write.mode("overwrite").parquet(f"{folder}/left/{number}")
+        _note(spark, f"{folder}/left/{number}/_STATE", f"{batches + several} {rows - end}")
 
     def epoch(batch: DataFrame, epoch_id: int) -> None:
-        carried = remainder(_latest(spark, f"{folder}/left", epoch_id))
+        last, batches, rest = state(epoch_id)
         fresh = numbered(batch, order, "__position")
-        behind = F.col("__position") + carried.count()
-        handle(written(carried.unionByName(fresh.withColumn("__position", behind))), epoch_id, True)
-        finished["stop"] = full()
-
+        placed = fresh.withColumn("__position", F.col("__position") + rest).select(*kept.names)
+        rows = rest + fresh.count()
+        if rest:
+            placed = spark.read.schema(kept).parquet(f"{folder}/left/{last}").unionByName(placed)
+        hand_over(placed, batches, rows, epoch_id, True)
+
+    if max_batches is not None:  # counted from where the checkpoint stands
+        done["most"] = state()[1] + max_batches
     writer = stream.writeStream.foreachBatch(epoch).option("checkpointLocation", f"{folder}/offsets")
     if available_now:
         writer = writer.trigger(availableNow=True)
-    _finish(writer.start(), lambda: finished["stop"])
-    last = _latest(spark, f"{folder}/left")
-    if last is not None and not full():
-        handle(written(remainder(last)), last, False)
-    return finished["rows"]
+    _finish(writer.start(), lambda: done["stop"])
+    last, batches, rest = state()
+    if rest and not done["stop"]:
+        left = written(spark.read.schema(kept).parquet(f"{folder}/left/{last}"))
+        hand_over(left, batches, rest, last, False)
+    return done["rows"]
+
+
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _note(spark: SparkSession, path: str, text: str) -> None:
+    where, files = _files(spark, path)
+    out = files.create(where, True)
+    out.writeUTF(text)
+    out.close()
+
+
+def _noted(spark: SparkSession, path: str) -> str:
+    where, files = _files(spark, path)
+    source = files.open(where)
+    text = source.readUTF()
+    source.close()
+    return text
 
 
-def _latest(spark: SparkSession, folder: str, before: int | None = None) -> int | None:
+def _latest(spark: SparkSession, folder: str, before: int | None = None, mark: str = "_SUCCESS") -> int | None:
     """The largest epoch number (below ``before``) that something complete is written for."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    pattern = fs.Path(f"{folder}/*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    pattern, files = _files(spark, f"{folder}/*/{mark}")
+    found = files.globStatus(pattern) or []
     numbers = [int(f.getPath().getParent().getName()) for f in found]
     return max([n for n in numbers if before is None or n < before], default=None)
 

@@ -160,3 +160,12 @@ def test_decomposition_refuses_short_gappy_or_negative_series(spark):
         timeseries.seasonal_decompose(
             short.withColumn("v", F.col("v") - 5), value="v", order_by="t", period=4, model="multiplicative"
         )
+
+
+def test_pivot_headings_that_coincide_on_different_rows(spark):
+    rows = [("r1", "a_b", "c", 1.0), ("r2", "a", "b_c", 10.0)]
+    df = spark.createDataFrame(rows, "r string, p string, q string, v double")
+    with pytest.raises(ValueError, match="a_b_c"):
+        descriptive.pivot_summary(df, index="r", columns=["p", "q"], values="v")
+    wide = descriptive.pivot_summary(df, index="r", columns="p", values="v").collect()
+    assert [tuple(r) for r in wide] == [("r1", 0.0, 1.0), ("r2", 10.0, 0.0)]

@@ -74,6 +74,71 @@ def test_max_batches_ends_an_endless_stream(spark):
     assert (total, sizes) == (30, [10, 10, 10])
 
 
+def test_all_batches_of_an_epoch_in_one_call(spark, zone, tmp_path):
+    calls, target = [], str(tmp_path / "kept")
+
+    def handler(rows):
+        calls.append(1)
+        batches.write_batches(rows.select("batch_id", "event_id"), target)
+
+    total = batches.consume_together(zone(230, 45, per=1).load(spark), handler, order_by=["event_id"], batch_size=50)
+    kept = spark.read.parquet(target).groupBy("batch_id").agg(F.count("*"), F.min("event_id"), F.max("event_id"))
+    assert total == 275 and len(calls) == 3  # two epochs and the last remainder
+    assert sorted(map(tuple, kept.collect())) == [
+        (0, 50, 0, 49), (1, 50, 50, 99), (2, 50, 100, 149), (3, 50, 150, 199), (4, 50, 200, 249), (5, 25, 250, 274)
+    ]
+    with pytest.raises(ValueError, match="batch_id"):
+        batches.consume_together(zone(1).load(spark).withColumn("batch_id", F.lit(1)), handler, order_by=["event_id"])
+
+
+def test_jobs_do_not_grow_with_the_batches(spark, zone):
+    group, jobs = spark.sparkContext.statusTracker(), []
+    stream = zone(240).load(spark)
+    for size in (120, 2):
+        seen = set()
+
+        def handler(rows, seen=seen):
+            rows.groupBy("batch_id").count().collect()
+            seen.add(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+
+        batches.consume_together(stream, handler, order_by=["event_id"], batch_size=size)
+        jobs.append(sum(len(group.getJobIdsForGroup(g)) for g in seen))
+    assert jobs[0] > 0 and jobs[1] <= jobs[0] + 1
+
+
+def test_a_killed_stream_keeps_each_batch_once(spark, zone, tmp_path):
+    target, state, calls = str(tmp_path / "kept"), str(tmp_path / "state"), []
+
+    def handler(rows):
+        batches.write_batches(rows.select("batch_id", "event_id"), target)
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("killed after its batches were written")
+
+    options = dict(order_by=["event_id"], batch_size=20, checkpoint=state)
+    stream = zone(50, 45, 30, per=1).load(spark)
+    with pytest.raises(Exception, match="killed"):
+        batches.consume_together(stream, handler, **options)
+    batches.consume_together(stream, handler, **options)
+    kept = spark.read.parquet(target)
+    assert sorted(r.event_id for r in kept.collect()) == list(range(125))
+    assert {r.batch_id: r["count"] for r in kept.groupBy("batch_id").count().collect()} == {
+        **{k: 20 for k in range(6)}, 6: 5
+    }
+    assert batches.consume_together(stream, handler, **options) == 0
+
+
+def test_each_batch_runs_in_the_executors(spark, zone):
+    found = []
+    spread = batches.each_batch(
+        lambda pdf: pdf.groupby("batch_id", as_index=False).agg(total=("sales", "sum")), "batch_id bigint, total double"
+    )
+    batches.consume_together(
+        zone(25).load(spark), lambda rows: found.extend(map(tuple, spread(rows).collect())), order_by=["event_id"], batch_size=10
+    )
+    assert sorted(found) == [(0, 45.0), (1, 145.0), (2, 110.0)]
+
+
 def test_handler_failures_surface(spark, zone):
     def broken(batch):
         raise RuntimeError("no room")

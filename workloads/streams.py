@@ -45,19 +45,17 @@ def micro_batches_bounded(spark, sf):
        FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS p FROM events) GROUP BY 1""",
 )
 def stream_consume(spark, sf):
-    target, seen = scratch_folder(spark), []
+    target = scratch_folder(spark)
 
-    def keep(batch):
-        number = len(seen)
-        seen.append(number)
-        row = batch.agg(
+    def keep(rows):
+        sizes = rows.groupBy("batch_id").agg(
             F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
         )
-        numbered = row.select(F.lit(number).cast("long").alias("batch_id"), "*")
-        numbered.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        batches.write_batches(sizes, target)
 
-    batches.consume(events_stream(spark, sf), keep, order_by=["event_id"], batch_size=2500)
-    return spark.read.parquet(*[f"{target}/batch={n}" for n in seen])
+    batches.consume_together(events_stream(spark, sf), keep, order_by=["event_id"], batch_size=2500)
+    kept = spark.read.option("basePath", target).parquet(target)
+    return kept.select(F.col("batch_id").cast("long").alias("batch_id"), "n", "first_id", "last_id")
 
 
 @query("stream_snapshot", "SELECT CAST(least(count(*), 1000) AS BIGINT) AS n FROM events")
@@ -66,6 +64,13 @@ def stream_snapshot(spark, sf):
     return snapshot.agg(F.count_distinct("event_id").alias("n"))
 
 
+@query("stream_snapshot_rows", "SELECT event_id, user_id, event_type, round_even(value, 6) AS value FROM events")
+def stream_snapshot_rows(spark, sf):
+    """A limit beyond the stream's end: every message, compared row by row."""
+    snapshot = batches.stream_to_dataframe(events_stream(spark, sf), limit=10**9)
+    return rounded(snapshot.select("event_id", "user_id", "event_type", "value"), ["value"], 6)
+
+
 @query(
     "stream_totals",
     "SELECT event_type, round_even(sum(value), 2) AS total FROM events GROUP BY event_type",
