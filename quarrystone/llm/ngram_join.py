@@ -7,8 +7,7 @@ recursively: the path to a bucket chooses one or two positions, 1/threshold on a
 go to one child bucket for each of them and its token.  Buckets of up to ``SMALL`` sets are compared
 by brute force on their samples, larger ones are split again.  All runs draw from the same samples, so a pair
 at the threshold whose samples happen to agree less is weak in every run.  Runs are therefore repeated until what
-they miss, averaged over the agreements that may come, is below 1 - recall at the depth that was needed; sets from
-deeper buckets get more runs.
+they miss, averaged over the agreements that may come, is below 1 - recall at the deepest level.
 
 What may be similar is then joined into groups, and every pair inside a group is decided exactly
 on the full sets, in cells: a large group is cut into blocks by a hash, and each pair of blocks is one cell, so no
@@ -27,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +42,10 @@ THRESHOLD, RECALL = 0.8, 0.999
 POSITIONS = 64
 # Largest bucket that is compared by brute force, and levels after which a bucket counts as one group.
 SMALL, MAX_DEPTH = 96, 4
-# Levels that the first round of runs allows for.
-PLANNED_DEPTH = 3
 # A pair whose samples agree on fewer positions than this share has next to no chance (5 standard deviations).
 SAMPLE_SHARE = 0.55
-# Drawn agreements that the miss is averaged over, and the most runs that are considered.
-AGREEMENTS, MAX_RUNS = 20_000, 64
+# Drawn agreements that the miss is averaged over, so many at a time, and the most runs that are considered.
+AGREEMENTS, DRAWN_ROWS, MAX_RUNS = 20_000, 500, 64
 # A block of a group holds about so many documents or shingles.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 1 << 20
 TEXT_BYTES = 1 << 20
@@ -57,31 +55,27 @@ _FACTOR = (_rng.integers(0, 1 << 31, POSITIONS, dtype=np.int64) * 2 + 1).astype(
 _SHIFT = _rng.integers(0, 1 << 32, POSITIONS, dtype=np.int64).astype(np.uint32)
 
 
-def survival(depth: int, threshold: float) -> float:
-    """The chance that a pair at the threshold shares a bucket after so many levels of one run."""
-    s = 1.0
-    for _ in range(depth):
-        s = 1 - (1 - threshold * s) * (1 - (1 - threshold) * s)
-    return s
-
-
 def missed(depth: int, threshold: float, most: int) -> np.ndarray:
     """The chance that a pair at the threshold shares no bucket after so many levels, by 1 to ``most`` runs.
 
     Averaged over drawn agreements of the samples.  The first positions of each run are known; those of
     deeper levels depend on the tokens, so a pair meets them with its own share of agreement.
     """
-    agree = np.random.default_rng(23).random((AGREEMENTS, POSITIONS)) < threshold
-    share, s = agree.mean(1), 1.0
-    for _ in range(depth - 1):
-        s = 1 - (1 - share * s) * (1 - (1 / THRESHOLD - 1) * share * s)
+    draw, total = np.random.default_rng(23), np.zeros(most)
     first, second, both = _positions(np.arange(most, dtype=np.uint64))
-    lost = (1 - agree[:, first] * np.reshape(s, (-1, 1))) * (1 - both * agree[:, second] * np.reshape(s, (-1, 1)))
-    lost = np.cumprod(lost, axis=1)
-    lost[agree.sum(1) < math.ceil(SAMPLE_SHARE * POSITIONS)] = 1  # met, but not taken for alike
-    return lost.mean(0)
-
-
+    for _ in range(AGREEMENTS // DRAWN_ROWS):
+        agree = draw.random((DRAWN_ROWS, POSITIONS)) < threshold
+        share, s = agree.mean(1), 1.0
+        for _ in range(depth - 1):
+            s = 1 - (1 - share * s) * (1 - (1 / THRESHOLD - 1) * share * s)
+        s = np.reshape(s, (-1, 1))
+        lost = np.cumprod((1 - agree[:, first] * s) * (1 - both * agree[:, second] * s), axis=1)
+        lost[agree.sum(1) < math.ceil(SAMPLE_SHARE * POSITIONS)] = 1  # met, but not taken for alike
+        total += lost.sum(0)
+    return total / AGREEMENTS
+
+
+@lru_cache
 def runs_needed(depth: int, threshold: float, recall: float) -> int:
     enough = np.flatnonzero(missed(depth, threshold, MAX_RUNS) <= 1 - recall)
     if not len(enough):
@@ -177,29 +171,27 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(ids[root[linked]])], ["a", "b"])
 
 
-def _candidates(reps: DataFrame, runs: range, depth: int) -> tuple[list[DataFrame], DataFrame | None]:
-    """Links between sets that may be similar, and the ids that were still in large buckets at ``depth``."""
+def _candidates(reps: DataFrame, runs: range) -> DataFrame:
+    """Links between sets that may be similar; each level's are written, so no plan spans two levels."""
     samples = reps.select("id", "sample")
     rows = samples.mapInArrow(_start(runs), "bucket bigint, id bigint")
-    links, deep = [], None
+    links = []
     for level in range(1, MAX_DEPTH + 1):
         rows = written(rows)
         sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
         sized = written(rows.join(sizes, "bucket"))
         small = sized.where(F.col("n") <= SMALL).select("bucket", "id").join(samples, "id")
         ordered = small.select("bucket", "id", "sample").repartition("bucket").sortWithinPartitions("bucket")
-        links.append(ordered.mapInArrow(_compare, "a bigint, b bigint"))
+        links.append(written(ordered.mapInArrow(_compare, "a bigint, b bigint")))
         large = sized.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
-        if level == depth:
-            deep = large.select("id").distinct()
         if level == MAX_DEPTH:
             links.append(large.select(F.col("id").alias("a"), F.col("least").alias("b")))
         else:
             chosen = large.select("bucket", "id").join(samples, "id").select("bucket", "id", "sample")
             rows = chosen.mapInArrow(_split, "bucket bigint, id bigint")
-    return links, deep
+    return reduce(DataFrame.union, links)
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,14 +301,7 @@ def similar_documents(
             "id", "size", "f1", "sample", "copies"
         )
     )
-    first = range(runs_needed(PLANNED_DEPTH, threshold, recall))
-    links, deep = _candidates(reps, first, PLANNED_DEPTH)
-    if deep is not None:
-        more = range(first.stop, runs_needed(MAX_DEPTH, threshold, recall))
-        links += _candidates(written(reps.join(deep, "id", "left_semi")), more, 0)[0]
-    candidates = links[0]
-    for some in links[1:]:
-        candidates = candidates.union(some)
+    candidates = _candidates(reps, range(runs_needed(MAX_DEPTH, threshold, recall)))
     groups = written(components(candidates).withColumnRenamed("node", "id"))
     wanted = groups.join(reps.select("id", "f1"), "id").select("id", "f1")
     mine = texts.join(wanted.select("id"), "id", "left_semi").mapInArrow(_with_sets, "id bigint, f1 bigint, set binary")

@@ -71,13 +71,6 @@ def test_ngram_join(spark, monkeypatch, small, block):
     assert all(r.kept == (r.doc_id == r.class_id) for r in found)
 
 
-def test_runs_reach_the_recall():
-    for depth in (1, 3, 5):
-        missed = (1 - ngram_join.survival(depth, 0.8)) ** ngram_join.runs_needed(depth, 0.8, 0.999)
-        assert missed <= 0.001
-    assert ngram_join.survival(1, 0.8) == pytest.approx(0.84)
-
-
 @pytest.mark.parametrize("depth", [1, 2, 3, 4])
 def test_planted_pairs_are_found_at_every_depth(depth):
     pairs, rng = 20_000, np.random.default_rng(depth)
