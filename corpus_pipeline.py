@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrystone.functions.columns import unused_name
 from quarrystone.llm import langid, linededup, ngram_join, packing, quality
 from quarrystone.llm.common import table
 from quarrystone.plans.scratch import written
@@ -30,25 +31,32 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines, short ones too, go from all documents but their home."""
-    return linededup.remove_boilerplate(docs, min_words=1).select(*docs.columns)
+    """Boilerplate lines go from all documents but their home."""
+    held = {c: unused_name(docs, f"held_{c}") for c in ("n_lines", "n_removed") if c in docs.columns}
+    plain = linededup.remove_boilerplate(docs.withColumnsRenamed(held)).drop("n_lines", "n_removed")
+    return plain.withColumnsRenamed({v: k for k, v in held.items()}).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of similar ones stays, the one with the smallest id.
 
-    Rows that repeat an id are judged each by its own text; of rows with the same id and text one stays.
+    Rows that repeat an id, or have none, are judged each by its own text; of rows with the same id and text one stays.
     """
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    groups = ngram_join.similar_documents(keyed, id_col="__key").select(F.col("doc_id").alias("__key"), "class_id")
-    ids = keyed.groupBy("__key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
-    least = F.min(F.struct(F.col("id").isNull(), "id", "__key")).alias("least")
-    first = groups.join(ids, "__key").groupBy("class_id").agg(least).select("least.__key")
-    left = keyed.join(groups.select("__key").join(first, "__key", "left_anti"), "__key", "left_anti")
-    repeated = ids.where("n > 1").select("__key")
+    repeated = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+    if repeated.isEmpty():
+        groups = ngram_join.similar_documents(docs)
+        return docs.join(written(groups.where("not kept").select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+    # A number of its own for each id and text; written, so that it stays the same.
+    key, id_, hash_ = (unused_name(docs, n) for n in ("row_key", "row_id", "row_hash"))
+    same = docs.select(F.col("doc_id").alias(id_), F.sha2("text", 256).alias(hash_)).distinct()
+    numbers = written(same.withColumn(key, F.monotonically_increasing_id()))
+    own = F.col("doc_id").eqNullSafe(F.col(id_)) & F.sha2("text", 256).eqNullSafe(F.col(hash_))
+    keyed = docs.join(numbers, own).select(*docs.columns, key)
+    groups = ngram_join.similar_documents(keyed, id_col=key).select(F.col("doc_id").alias(key), "class_id")
+    least = F.min(F.struct(F.col(id_).isNull(), id_, key)).alias("least")
+    first = written(groups.join(numbers, key).groupBy("class_id").agg(least).select(f"least.{key}"))
     one = F.min(F.struct(*docs.columns)).alias("one")
-    several = left.join(repeated, "__key", "left_semi").groupBy("__key").agg(one).select("one.*")
-    return left.join(repeated, "__key", "left_anti").select(*docs.columns).unionByName(several)
+    return keyed.join(first, key, "left_semi").groupBy(key).agg(one).select("one.*").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
