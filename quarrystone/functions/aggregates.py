@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.partial import UserAggregate, two_phase
 from ..plans.quantiles import exact_quantiles
-from .columns import exact_sum, number, ref, require, require_numeric, value
+from .columns import attach, exact_sum, number, ref, require, require_numeric, value
 from .moments import skew
 
-Aggregate = str | Callable[[Column], Column]
+Aggregate = str | Callable[[Column], Column] | UserAggregate
 
 
 def _at_end(df: DataFrame, name: str, order_by: Sequence[str], pick) -> Column:
@@ -43,6 +44,8 @@ EMPTY = {"sum": 0, "count": 0, "size": 0, "nunique": 0, "prod": 1}
 
 
 def aggregate_name(how: Aggregate) -> str:
+    if isinstance(how, UserAggregate):
+        return how.name
     return how if isinstance(how, str) else getattr(how, "__name__", "custom").strip("<>")
 
 
@@ -54,11 +57,19 @@ def grouped(
 ) -> DataFrame:
     """Group by ``keys`` (missing is a group) and compute ``(column, aggregate, alias)`` triples.
 
-    An aggregate is a name, or a function from a Column to an aggregate Column, so
-    grouped-aggregate pandas UDFs work too.  Medians take the exact-quantile plan, with
-    the other aggregates in the same pass; without a median it is one aggregation.
+    An aggregate is a name, a :class:`UserAggregate` (Python code in two phases, for groups of any size), or a function
+    from a Column to an aggregate Column, so grouped-aggregate pandas UDFs work too, which take each group into one
+    task.  Medians take the exact-quantile plan, with the other aggregates in the same pass; without a median or
+    a user aggregate it is one aggregation.
     """
     require(df, [*keys, *[c for c, _, _ in outputs]])
+    own = [o for o in outputs if isinstance(o[1], UserAggregate)]
+    if own:
+        found, rest = two_phase(df, keys, own), [o for o in outputs if not isinstance(o[1], UserAggregate)]
+        if not rest:
+            return found
+        both = attach(grouped(df, keys, rest, order_by), found, keys)
+        return both.select(*[ref(k) for k in keys], *[ref(alias) for _, _, alias in outputs])
     medians = {}
     expressions = {}
     for column, how, alias in outputs:

@@ -1,4 +1,4 @@
-"""Bias-corrected moments and division-safe correlation."""
+"""Bias-corrected moments."""
 
 from __future__ import annotations
 
@@ -20,14 +20,3 @@ def kurtosis(column: Column) -> Column:
     population = F.coalesce(F.try_divide(F.kurtosis(column), F.lit(1.0)), F.lit(0.0))
     corrected = F.try_divide((n - 1) * ((n + 1) * population + 6), (n - 2) * (n - 3))
     return F.when(n >= 4, F.when(F.stddev_pop(column) == 0, 0.0).otherwise(corrected))
-
-
-def pearson(a: Column, b: Column) -> Column:
-    """Pearson's r over the rows that have both values; missing when either side is constant.
-
-    ``corr`` would raise on a constant column under ANSI rules, so the ratio is
-    taken with ``try_divide``.
-    """
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

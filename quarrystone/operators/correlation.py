@@ -12,14 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number, numeric_columns, require, rounded
-from ..functions.moments import pearson
-from ..plans.inversions import concordant, dense_ranks
-from ..plans.ranks import average_ranks
+from ..plans.inversions import concordant, value_places
+from ..plans.ranks import column_ranks
 from ..plans.scratch import written
 
 METHODS = ("pearson", "spearman", "kendall")
-# Column pairs one aggregate carries in generated code; more pairs go through matrices.
-PAIRS_PER_PASS = 40
 
 
 def _check(method: str) -> None:
@@ -56,23 +53,14 @@ def correlate_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str
 
 
 def _pearson(table: DataFrame, pairs) -> list[DataFrame]:
-    if len(pairs) > PAIRS_PER_PASS:
-        return [_cross_products(table, pairs)]
-    wide = table.agg(*[pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return [wide.select(F.inline(F.array(*rows)))] if rows else []
-
-
-def _cross_products(table: DataFrame, pairs) -> DataFrame:
     """Pearson's r of many pairs from central moments of each pair's own complete rows.
 
     A task takes the columns without gaps in a batch through one matrix product and the
     other pairs one by one, adds batches up and gives one row per pair.  Values are
     shifted by one of their own first, so that a constant column has no spread at all.
     """
+    if not pairs:
+        return []
     names = list(dict.fromkeys(c for pair in pairs for c in pair))
     at = {c: i for i, c in enumerate(names)}
     left, right = np.array([at[a] for a, _ in pairs]), np.array([at[b] for _, b in pairs])
@@ -135,7 +123,7 @@ def _cross_products(table: DataFrame, pairs) -> DataFrame:
     # A pair without one complete row is in no part.
     listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (a, b) in enumerate(pairs)])
     every = table.sparkSession.range(1).select(F.inline(listed))
-    return every.join(found, F.col("i") == F.col("p"), "left").select("a", "b", F.col("r").alias("correlation"))
+    return [every.join(found, F.col("i") == F.col("p"), "left").select("a", "b", F.col("r").alias("correlation"))]
 
 
 def _spearman(table: DataFrame, pairs) -> list[DataFrame]:
@@ -159,13 +147,13 @@ def _spearman(table: DataFrame, pairs) -> list[DataFrame]:
 def _ranked(table: DataFrame, names: Sequence[str]) -> DataFrame:
     """Replace each column by its mean ranks.
 
-    The rank tables are written, so the planner broadcasts the short ones and shuffles
-    for the long ones.
+    The ranks of all columns are one written table, so the planner broadcasts short ones and shuffles
+    for long ones.
     """
-    joined = table
-    for c in names:
-        ranks = written(average_ranks(table.select(c), c)).select(F.col("value").alias(f"{c}_v"), F.col("rank").alias(f"{c}_r"))
-        joined = joined.join(ranks, F.col(c) == F.col(f"{c}_v"))
+    ranks, joined = written(column_ranks(table, names)), table
+    for i, c in enumerate(names):
+        own = ranks.where(F.col("column") == i).select(F.col("value").alias(f"{c}_v"), F.col("rank").alias(f"{c}_r"))
+        joined = joined.join(own, F.col(c) == F.col(f"{c}_v"))
     return joined.select(*[F.col(f"{c}_r").alias(c) for c in names])
 
 
@@ -176,10 +164,9 @@ def _kendall(table: DataFrame, pairs) -> list[DataFrame]:
     sides = [F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y")) for i, (a, b) in enumerate(pairs)]
     both = table.select(F.inline(F.array(*sides))).where("x is not null and y is not null")
     counted = written(both.groupBy("pair", "x", "y").agg(F.count("*").alias("n")))
-    ranks = written(dense_ranks(counted.select("pair", F.col("y").alias("value"))))
-    ranked = counted.join(ranks.withColumnRenamed("value", "y"), ["pair", "y"]).select("pair", "x", "rank", "n")
-    distinct = (ranks.agg(F.max("rank")).first()[0] or 0) + 1
-    rising = concordant(written(ranked), distinct)
+    places = value_places(counted.select("pair", F.col("y").alias("value")))
+    ranked = counted.join(places.withColumnRenamed("value", "y"), ["pair", "y"]).select("pair", "x", "rank", "n")
+    rising = concordant(written(ranked), places.count())
 
     def tied(name: str, *keys: str) -> DataFrame:
         groups = counted.groupBy("pair", *keys).agg(F.sum("n").cast("double").alias("n"))

@@ -20,9 +20,12 @@ from ..functions.columns import (
     value,
 )
 from ..functions.moments import kurtosis, skew
+from ..plans.leaders import leaders
 from ..plans.quantiles import exact_quantiles
 from .correlation import top_correlations
 
+# Spark keeps a rank filter below the exchange for so many rows a group.
+RANKED_BELOW = 1_000
 # Bytes one value of a fixed-width type takes in memory.
 FIXED_WIDTH = {
     T.BooleanType: 1,
@@ -138,7 +141,7 @@ def categorical_summary(df: DataFrame, *, top_n: int = 5) -> DataFrame:
     """Per text column ``n_unique, top_value, top_freq, top_values`` (and ``count``).
 
     ``top_values`` lists the most frequent values with their counts, most frequent
-    first and then by value.  An empty column gives 0 and an empty list.
+    first and then by value, however many are asked for.  An empty column gives 0 and an empty list.
     """
     names = text_columns(df)
     entry = "array<struct<value:string,count:bigint>>"
@@ -148,12 +151,14 @@ def categorical_summary(df: DataFrame, *, top_n: int = 5) -> DataFrame:
     cells = [F.struct(F.lit(i).alias("position"), ref(c).alias("value")) for i, c in enumerate(names)]
     pairs = df.select(F.inline(F.array(*cells))).where("value is not null")
     counts = pairs.groupBy("position", "value").agg(F.count("*").alias("n"))
-    # The rank filter is pushed below the exchange, so a task ships top_n rows per column.
-    ranking = Window.partitionBy("position").orderBy(F.desc("n"), "value")
-    leaders = counts.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= max(top_n, 1))
-    tops = leaders.groupBy("position").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "value", "n"))).alias("ranked")
-    )
+    if top_n <= RANKED_BELOW:
+        # The rank filter is pushed below the exchange, so a task ships top_n rows per column.
+        ranking = Window.partitionBy("position").orderBy(F.desc("n"), "value")
+        first = counts.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= max(top_n, 1))
+    else:
+        first = leaders(counts, top_n)
+    entries = F.collect_list(F.struct((-F.col("n")).alias("lead"), "value", "n"))
+    tops = first.groupBy("position").agg(F.sort_array(entries).alias("ranked"))
     sizes = counts.groupBy("position").agg(F.count("*").alias("n_unique"), F.sum("n").alias("count"))
     spine = df.sparkSession.createDataFrame(list(enumerate(names)), "position int, column string")
     listed = F.transform("ranked", lambda r: F.struct(r["value"].alias("value"), r["n"].alias("count")))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.aggregates import EMPTY, Aggregate, grouped
 from ..functions.columns import attach, number, ref, require, require_numeric
-from ..plans.ordering import framed, numbered
+from ..plans.frames import frame_means
 from ..plans.scratch import written
 
 
@@ -101,31 +101,18 @@ def moving_average(
     order_by: str | Sequence[str],
     window: int = 3,
     partition_by: str | Sequence[str] = (),
-    few_rows: bool = False,
-    block_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<value>_ma<window>``, the trailing mean over ``window`` rows.
 
-    Missing until the window is full and wherever it holds a missing value.  Rows are
-    numbered in a distributed sort and averaged block by block, so neither one long
-    series nor one dominant ``partition_by`` key ends up in one task.  ``few_rows=True``
-    is for bounded results such as a calendar trend, which one task sorts.
+    Missing until the window is full and wherever it holds a missing value.  Rows are sorted
+    once; tasks exchange only the rows at their ends, so neither one long
+    series nor one dominant ``partition_by`` key ends up in one task.
     """
     if window < 1:
         raise ValueError("window must be at least 1")
     require_numeric(df, value)
     times, series = require(df, order_by), require(df, partition_by)
-    name, x = f"{value}_ma{window}", number(df, value)
-
-    def build(spec) -> dict[str, Column]:
-        frame = spec.rowsBetween(-(window - 1), 0)
-        return {name: F.when(F.count(x).over(frame) == window, F.avg(x).over(frame))}
-
-    if few_rows:
-        spec = Window.partitionBy(*[ref(c) for c in series]).orderBy(*[ref(c) for c in times])
-        return df.withColumns(build(spec))
-    table = numbered(df, [*series, *times], "__position")
-    return framed(table, "__position", series, window - 1, 0, build, block_rows).drop("__position")
+    return frame_means(df, number(df, value), series, times, [1.0] * window, window - 1, f"{value}_ma{window}")
 
 
 def seasonal_decompose(
@@ -136,7 +123,6 @@ def seasonal_decompose(
     period: int = 12,
     model: str = "additive",
     partition_by: str | Sequence[str] = (),
-    block_rows: int | None = None,
 ) -> DataFrame:
     """Split each series into ``observed, trend, seasonal, resid``.
 
@@ -167,20 +153,9 @@ def seasonal_decompose(
         raise ValueError("A multiplicative model needs positive values")
 
     half = period // 2
-
-    def build(spec) -> dict[str, Column]:
-        def mean(first: int, last: int) -> Column:
-            return F.avg("observed").over(spec.rowsBetween(first, last))
-
-        if period % 2:
-            centre = mean(-half, half)
-        else:
-            centre = (mean(-half, half - 1) + mean(1 - half, half)) / 2
-        full = F.count("observed").over(spec.rowsBetween(-half, half)) == 2 * half + 1
-        return {"trend": F.when(full, centre)}
-
-    positioned = numbered(table, [*series, *times], "__position")
-    trended = framed(positioned, "__position", series, half, half, build, block_rows)
+    ends = [1.0] if period % 2 else [0.5]
+    weights = [*ends, *[1.0] * (2 * half - 1), *ends]
+    trended = frame_means(table, F.col("observed"), series, times, weights, half, "trend", "__position")
     # Positions are consecutive within a series, so the remainder is a phase up to a shift.
     trended = trended.withColumn("__phase", F.col("__position") % period)
 

@@ -1,7 +1,7 @@
 """Concordant pairs by distributed counting over digits of the rank.
 
-A pair of cells is concordant when the one with the larger x has the larger y.  The dense rank of y is read
-as digits of ``DIGIT_BITS`` bits: two ranks first differ at exactly one digit, so at each level the pairs are
+A pair of cells is concordant when the one with the larger x has the larger y.  The place of y among the distinct values is
+read as digits of ``DIGIT_BITS`` bits: two ranks first differ at exactly one digit, so at each level the pairs are
 those of equal higher digits and a rising digit, in the order of x.  All levels (three for 2**36 distinct values) are
 rows of one table, sorted once by level, higher digits and x.
 
@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import running_total
+from .ordering import numbered
 from .scratch import written
 
 # Executors need no copy of the package to run the kernel.
@@ -129,7 +129,7 @@ def concordant(
         found.append(stored.where("digit < 0"))
         edges = stored.where("digit >= 0")
         across = edges.groupBy("key").agg(F.min("task").alias("a"), F.max("task").alias("b")).where("a < b")
-        rows = edges.join(written(across.select("key")), "key", "left_semi").select("key", "digit", "n", F.col("task").alias("x"))
+        rows = edges.join(across.select("key"), "key", "left_semi").select("key", "digit", "n", F.col("task").alias("x"))
         size = rows.count()
     if not found:
         return cells.sparkSession.createDataFrame([], "pair int, concordant double")
@@ -140,8 +140,6 @@ def concordant(
     return every.groupBy(pair.alias("pair")).agg(F.sum("n").alias("concordant"))
 
 
-def dense_ranks(values: DataFrame, native: int | None = None) -> DataFrame:
-    """``pair, value, rank``: the 0-based dense rank of each distinct value among its pair's values."""
-    distinct = values.select("pair", "value").distinct().withColumn("one", F.lit(1))
-    ranked = running_total(distinct, ["value"], "one", "upto", ["pair"], native)
-    return ranked.select("pair", "value", (F.col("upto") - 1).alias("rank"))
+def value_places(values: DataFrame) -> DataFrame:
+    """``pair, value, rank``: whole numbers in the order of the values of each pair, below the number of rows."""
+    return numbered(values.select("pair", "value").distinct(), ["pair", "value"], "rank")

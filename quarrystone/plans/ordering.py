@@ -1,10 +1,10 @@
-"""Global row numbers and framed windows without a single-task sort."""
+"""Global row numbers and running totals without a single-task sort."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +13,6 @@ from .scratch import written
 
 # monotonically_increasing_id keeps the partition above this bit.
 _PARTITION_BIT = 33
-# Rows one task sorts inside a block of a framed window.
-BLOCK_ROWS = 500_000
 
 
 def _spread(df: DataFrame) -> Column:
@@ -32,12 +30,18 @@ def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """
     require(df, order_by)
     slot = f"{name}__slot"
+    stored = written(dealt_in_order(df, order_by, slot))
+    return with_positions(stored, stored, slot, name).drop(slot)
+
+
+def dealt_in_order(df: DataFrame, order_by: Sequence[str], slot: str) -> DataFrame:
+    """The rows range-partitioned and sorted, with their partition and place in it in one number."""
     keys = [*[ref(c) for c in order_by], _spread(df)]
-    stored = written(
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(slot, F.monotonically_increasing_id())
-    )
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(slot, F.monotonically_increasing_id())
+
+
+def with_positions(df: DataFrame, stored: DataFrame, slot: str, name: str) -> DataFrame:
+    """Places in the whole order from slots; ``stored`` is the written table that all slots are in."""
     part = F.shiftright(slot, _PARTITION_BIT).cast("int")
     sizes = dict(stored.groupBy(part.alias("part")).count().collect())
     offsets, total = [], 0
@@ -48,7 +52,7 @@ def numbered(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     table = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
     within = F.col(slot).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1))
     start = F.get(table, part) if offsets else F.lit(0)
-    return stored.withColumn(name, start + within).drop(slot)
+    return df.withColumn(name, start + within)
 
 
 def running_total(
@@ -82,29 +86,3 @@ def running_total(
     within = F.sum(weight).over(Window.partitionBy(part, *keys).orderBy(*times).rowsBetween(*until))
     joined = attach(stored.withColumn("__within", within), offsets, [part, *partition_by])
     return joined.withColumn(name, F.col("__offset") + F.col("__within")).drop(part, "__offset", "__within")
-
-
-def framed(
-    df: DataFrame,
-    position: str,
-    partition_by: Sequence[str],
-    before: int,
-    after: int,
-    build: Callable[[WindowSpec], dict[str, Column]],
-    block_rows: int | None = None,
-) -> DataFrame:
-    """Evaluate row-frame windows over numbered rows, block by block.
-
-    ``position`` comes from :func:`numbered` over ``partition_by`` plus the time
-    order.  Rows are cut into blocks of consecutive positions, and the few rows a
-    neighbouring frame reaches into are copied to that block as well.  No task
-    sees more than a block and its rim, however long or skewed a series is.
-    ``build`` gets the ordered window (without a frame) and returns new columns.
-    """
-    size = max(block_rows or BLOCK_ROWS, 1)
-    first = F.greatest(F.floor((F.col(position) - after) / size), F.lit(0))
-    last = F.floor((F.col(position) + before) / size)
-    copies = df.withColumn("__block", F.explode(F.sequence(first, last)))
-    window = Window.partitionBy("__block", *[ref(c) for c in partition_by]).orderBy(position)
-    own = F.col("__block") == F.floor(F.col(position) / size)
-    return copies.withColumns(build(window)).where(own).drop("__block")

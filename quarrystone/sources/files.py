@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import ref, require
 from ..plans.scratch import written
+from .records import read_records
 
 # The texts a CSV reader of the Python stack takes for missing.
 MISSING_TEXTS = (
@@ -108,8 +109,8 @@ def load_csv(
     ``header`` is the number of the header line (lines above it are skipped) or ``None``
     for files without one, whose columns are named 0, 1, 2...  The usual missing texts
     become NULL.  Types are inferred in one pass unless ``schema`` is given.  Quoted
-    newlines need ``multi_line``, which reads each file in one task.  A row with fewer fields
-    than the header ends in missing values, one with more raises when it is read.
+    newlines need ``multi_line``; large files are read in many tasks then too, twice, as :mod:`.records`
+    says.  A row with fewer fields than the header ends in missing values, one with more raises when it is read.
     ``nrows`` takes the first rows of the files in the order of their names.
     """
     validate_exists(spark, path)
@@ -156,13 +157,47 @@ def _checked(rows: DataFrame, sep: str, width: int, needs_sep: bool) -> DataFram
     return rows.where(passes).drop("__bad")
 
 
+def _first_record(spark: SparkSession, path: str, encoding: str, skip: int, sep: str) -> list[str]:
+    """The fields of the first record after ``skip`` lines of the first file."""
+    reader = spark.read.option("encoding", encoding).option("lineSep", "\n")
+    lines = SNIFF_LINES
+    while True:
+        head = [r.value for r in reader.text(path).limit(skip + lines).collect()]
+        record, quotes = [], 0
+        for line in head[skip:]:
+            record.append(line.removesuffix("\r"))
+            quotes += line.count('"')
+            if quotes % 2 == 0:
+                return next(csv.reader(["\n".join(record)], delimiter=sep), [])
+        if len(head) < skip + lines:
+            raise ValueError(f"No whole record after line {skip} of {path}")
+        lines *= 2
+
+
+def _read_records(spark, path, sep, encoding, header) -> DataFrame:
+    """Rows of records that may hold line ends."""
+    first = _first_record(spark, path, encoding, header or 0, sep)
+    names = [str(i) for i in range(len(first))] if header is None else first
+    records = read_records(spark, path, encoding=encoding, skip=header or 0).where(F.length("value") > 0)
+    plain = [f"c{i}" for i in range(len(names))]
+    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in plain), {"sep": sep, "quote": '"', "escape": '"'})
+    rows = records.select("split", "line", parsed.alias("r"), F.col("value").alias("__bad"))
+    if header is not None:  # every file's own header must be the first one's
+        is_head = (F.col("split") == 0) & (F.col("line") == header)
+        same = F.array(*[F.col(f"r.{c}") for c in plain]) == F.array(*map(F.lit, names))
+        other = F.raise_error(F.concat(F.lit("A file has another header: "), F.substring("__bad", 1, 200))).cast("boolean")
+        rows = rows.where(F.when(~is_head, True).when(same, False).otherwise(other))
+    return _checked(rows.select("r.*", "__bad"), sep, len(names), False).toDF(*names)
+
+
 def _read_delimited(spark, path, sep, encoding, header, multi_line, needs_sep=False) -> DataFrame:
+    if multi_line and (header is None or header >= 0):
+        return _read_records(spark, path, sep, encoding, header)
     reader = (
         spark.read.option("sep", sep)
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "__bad")
         # With pruning a row is only as wide as the columns read, and none is too long.

@@ -93,7 +93,7 @@ def test_monthly_trend_and_moving_average(timeseries_df):
     trend = timeseries.trend_over_time(timeseries_df, date_column="order_date", value="sales", freq="MS")
     rows = trend.collect()
     assert len(rows) == 12 and rows[0]["order_date"] == datetime.datetime(2023, 1, 1)
-    smooth = timeseries.moving_average(trend, value="sales", order_by="order_date", few_rows=True)
+    smooth = timeseries.moving_average(trend, value="sales", order_by="order_date")
     got = [r["sales_ma3"] for r in smooth.orderBy("order_date").collect()]
     assert got[:2] == [None, None] and got[2] == pytest.approx(110.0)
 

@@ -64,9 +64,7 @@ def test_correlation_matrix_and_top_pairs(clean_df):
     }
 
 
-@pytest.mark.parametrize("pairs_per_pass", [40, 0])
-def test_constant_column_has_no_correlation(spark, pairs_per_pass, monkeypatch):
-    monkeypatch.setattr(correlation, "PAIRS_PER_PASS", pairs_per_pass)
+def test_constant_column_has_no_correlation(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0), (1.0, 3.0)], "a double, b double")
     for method in correlation.METHODS:
         rows = correlation.correlation_matrix(df, method=method).collect()
@@ -80,3 +78,20 @@ def test_summary_report(clean_df):
     report = exploration.summary_report(clean_df)
     assert set(report) == {"overview", "numeric_summary", "categorical_summary", "correlations"}
     assert report["correlations"].count() == 3
+
+
+@pytest.mark.parametrize("top_n", [1, 7, 40, 500])
+def test_leaders_of_any_number(spark, monkeypatch, top_n):
+    monkeypatch.setattr(exploration, "RANKED_BELOW", 0)
+    rows = [(f"a{i % 50}", f"b{i}" if i % 3 else "hot") for i in range(300)] + [("a7", None)] * 9 + [(None, None)]
+    df = spark.createDataFrame(rows, "a string, b string").repartition(5)
+    found = {r["column"]: r["top_values"] for r in exploration.categorical_summary(df, top_n=top_n).collect()}
+    for i, c in enumerate("ab"):
+        counts = {}
+        for row in rows:
+            if row[i] is not None:
+                counts[row[i]] = counts.get(row[i], 0) + 1
+        expected = sorted(counts.items(), key=lambda e: (-e[1], e[0]))[:top_n]
+        assert [tuple(e) for e in found[c]] == expected
+    empty = exploration.categorical_summary(df.where("b = 'none'"), top_n=top_n).collect()
+    assert [(r.n_unique, r.top_values) for r in empty] == [(0, []), (0, [])]

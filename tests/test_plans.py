@@ -76,27 +76,65 @@ def test_running_total_per_hot_key(skewed, native_rows):
     assert np.allclose(got["upto"], expected)
 
 
-@pytest.mark.parametrize("block_rows", [None, 7, 100])
+@pytest.fixture
+def ranges(spark):
+    """As many range partitions as asked for, however short."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+
+    def use(count):
+        spark.conf.set(names[0], str(count))
+        spark.conf.set(names[1], "false")
+
+    yield use
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("count,window", [(1, 5), (4, 5), (4, 1), (40, 5), (40, 150), (120, 9)])
 @pytest.mark.parametrize("series", [[], ["key"]])
-def test_moving_average_over_blocks(skewed, block_rows, series):
+def test_moving_average_over_rims(skewed, ranges, count, window, series):
     frame, df = skewed
-    out = timeseries.moving_average(df, value="x", order_by="id", window=5, partition_by=series, block_rows=block_rows)
-    got = out.toPandas().sort_values([*series, "id"])["x_ma5"].astype(float)
+    ranges(count)
+    frame, df = frame.iloc[:900], df.where("id < 900")
+    out = timeseries.moving_average(df, value="x", order_by="id", window=window, partition_by=series)
+    assert out.columns == [*df.columns, f"x_ma{window}"]
+    got = out.toPandas().sort_values([*series, "id"])[f"x_ma{window}"].astype(float)
     ordered = frame.sort_values([*series, "id"])
     rolling = ordered.groupby("key")["x"] if series else ordered["x"]
     assert len(got) == len(frame)
-    assert np.allclose(got, rolling.rolling(5).mean(), equal_nan=True)
+    assert np.allclose(got, rolling.rolling(window).mean(), equal_nan=True)
+
+
+def test_moving_average_sorts_once(skewed):
+    """The rows are dealt once; what comes after reads the written table."""
+    _, df = skewed
+    out = timeseries.moving_average(df, value="x", order_by="id", window=5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan
+    assert timeseries.moving_average(df.limit(0), value="x", order_by="id").collect() == []
+    again = timeseries.moving_average(out, value="x", order_by="id", window=5)
+    assert again.columns == out.columns
 
 
-def test_decomposition_over_blocks_equals_one_block(skewed):
+@pytest.mark.parametrize("period,model", [(12, "additive"), (7, "additive"), (5, "multiplicative")])
+def test_decomposition_in_many_partitions_equals_one(skewed, ranges, period, model):
     _, df = skewed
-    one = timeseries.seasonal_decompose(df, value="y", order_by="id", period=12, partition_by="key").toPandas()
-    cut = timeseries.seasonal_decompose(
-        df, value="y", order_by="id", period=12, partition_by="key", block_rows=31
-    ).toPandas()
+    df = df.where("id < 1200").withColumn("y", F.col("y") + 1)
+    tables = []
+    for count in (1, 50):
+        ranges(count)
+        parts = timeseries.seasonal_decompose(df, value="y", order_by="id", period=period, partition_by="key", model=model)
+        tables.append(parts.toPandas().sort_values("id"))
     columns = ["trend", "seasonal", "resid"]
-    a, b = (t.sort_values("id")[columns].astype(float).to_numpy() for t in (one, cut))
+    a, b = (t[columns].astype(float).to_numpy() for t in tables)
     assert np.allclose(a, b, equal_nan=True)
+    one = tables[1][tables[1]["key"] == "hot"]
+    weights = np.r_[0.5, np.ones(period - 1), 0.5] if period % 2 == 0 else np.ones(period)
+    plain = np.convolve(one["observed"], weights / weights.sum(), "valid")
+    half = period // 2
+    assert np.allclose(one["trend"].astype(float).to_numpy()[half:-half], plain)
+    assert one["trend"].isna().sum() == 2 * half
 
 
 @pytest.mark.parametrize("native", [None, 5])
@@ -107,6 +145,14 @@ def test_average_ranks(skewed, native):
     assert got == expected
 
 
+def test_column_ranks(skewed):
+    frame, df = skewed
+    got = {(r["column"], r["value"]): r["rank"] for r in ranks.column_ranks(df, ["x", "y"]).collect()}
+    for i, c in enumerate(("x", "y")):
+        expected = dict(zip(frame[c].dropna(), frame[c].rank().dropna()))
+        assert {v: r for (k, v), r in got.items() if k == i} == expected
+
+
 def _rising(x, y, w):
     """The weight of concordant pairs, row by row."""
     order = np.lexsort((-y, x))
@@ -162,16 +208,14 @@ def test_rising_pairs_kernel():
     assert inversions.rising_pairs(run[:0], digit[:0], w[:0]).tolist() == []
 
 
-def test_dense_ranks(spark):
+def test_places_of_values(spark):
     rows = [(0, 2.5), (0, 1.0), (0, 2.5), (1, 7.0), (0, 9.0)]
-    got = inversions.dense_ranks(spark.createDataFrame(rows, "pair int, value double")).collect()
-    assert {tuple(r) for r in got} == {(0, 1.0, 0), (0, 2.5, 1), (0, 9.0, 2), (1, 7.0, 0)}
+    got = inversions.value_places(spark.createDataFrame(rows, "pair int, value double")).collect()
+    assert {tuple(r) for r in got} == {(0, 1.0, 0), (0, 2.5, 1), (0, 9.0, 2), (1, 7.0, 3)}
 
 
 @pytest.mark.parametrize("method", ["pearson", "spearman"])
-@pytest.mark.parametrize("pairs_per_pass", [40, 0])
-def test_correlation_uses_pairwise_complete_rows(skewed, method, pairs_per_pass, monkeypatch):
-    monkeypatch.setattr(correlation, "PAIRS_PER_PASS", pairs_per_pass)
+def test_correlation_uses_pairwise_complete_rows(skewed, method):
     frame, df = skewed
     columns = ["id", "x", "y"]
     matrix = correlation.correlation_matrix(df.select(*columns), method=method, digits=None)

@@ -119,21 +119,30 @@ def test_pearson_is_one_formula(spark, monkeypatch, offset):
         return {(r[0], r[1]): r[2] for r in correlation.correlate_pairs(df, pairs).collect()}
 
     few = found()
-    monkeypatch.setattr(correlation, "PAIRS_PER_PASS", 0)
-    many = found()
-    for pair in pairs:
-        assert (few[pair] is None) == (many[pair] is None), pair
-        if few[pair] is not None:
-            assert many[pair] == pytest.approx(few[pair], abs=1e-7)
+    columns = {c: np.array([np.nan if r[k] is None else r[k] for r in rows]) for k, c in enumerate("xycz")}
+    for a, b in [("x", "y"), ("x", "z"), ("y", "z")]:
+        both = ~np.isnan(columns[a]) & ~np.isnan(columns[b])
+        assert few[a, b] == pytest.approx(np.corrcoef(columns[a][both], columns[b][both])[0, 1], abs=1e-7)
     assert few["x", "c"] is None and few["c", "c"] is None
 
 
+def test_one_pearson_formula_at_every_width(spark):
+    """A pair's correlation does not depend on how many other pairs there are."""
+    rng = np.random.default_rng(12)
+    values = rng.normal(0, 1, (2000, 10)) + 1e9
+    df = spark.createDataFrame([tuple(map(float, r)) for r in values], ", ".join(f"c{k} double" for k in range(10)))
+    alone = correlation.correlate_pairs(df.repartition(3), [("c0", "c1")]).first()[2]
+    pairs = [(f"c{a}", f"c{b}") for a in range(10) for b in range(a + 1, 10)]
+    wide = {(r[0], r[1]): r[2] for r in correlation.correlate_pairs(df.repartition(3), pairs).collect()}
+    assert wide["c0", "c1"] == pytest.approx(alone, abs=1e-12)
+    assert alone == pytest.approx(np.corrcoef(values[:, 0] - 1e9, values[:, 1] - 1e9)[0, 1], abs=1e-9)
+
+
 def test_columns_that_vary_little_beside_a_gap(spark, monkeypatch):
     rows = [(1.0, 1.0), (2.0, 2.0), (3.0, 1.0), (4.0, 3.0), (1e12, None)]
     df = spark.createDataFrame(rows, "x double, y double")
-    few = correlation.correlate_pairs(df, [("x", "y")]).first()[2]
-    monkeypatch.setattr(correlation, "PAIRS_PER_PASS", 0)
-    assert correlation.correlate_pairs(df, [("x", "y")]).first()[2] == pytest.approx(few, abs=1e-12)
+    expected = np.corrcoef([1.0, 2, 3, 4], [1.0, 2, 1, 3])[0, 1]
+    assert correlation.correlate_pairs(df, [("x", "y")]).first()[2] == pytest.approx(expected, abs=1e-12)
 
 
 def test_a_confusion_matrix_of_many_classes(spark):

@@ -1,7 +1,9 @@
 """Descriptive queries."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from quarrystone.functions.aggregates import UserAggregate
 from quarrystone.operators import descriptive
 
 from .cleansing import GAPPY, gappy
@@ -151,3 +153,27 @@ def top_n(spark, sf):
 def bottom_n(spark, sf):
     orders = gappy(spark, sf).select("o_orderkey", "price")
     return descriptive.top_n(orders, by="price", n=25, ascending=True, order_by=["o_orderkey"])
+
+
+def _mean_of(name, forth, back):
+    """The mean of transformed values, transformed back, from a state of count and sum."""
+    return UserAggregate(
+        name,
+        lambda: (0, 0.0),
+        lambda state, values: (state[0] + len(values), state[1] + float(forth(values).sum())),
+        lambda a, b: (a[0] + b[0], a[1] + b[1]),
+        lambda state: float(back(state[1] / state[0])) if state[0] else None,
+    )
+
+
+@query(
+    "aggregate_own",
+    f"""SELECT status, round_even(exp(avg(ln(price))), 2) AS price_geometric,
+               round_even(count(price) / sum(1 / price), 2) AS price_harmonic, count(price) AS price_count
+        FROM ({GAPPY}) GROUP BY status""",
+)
+def aggregate_own(spark, sf):
+    """Aggregates in Python next to a named one; the largest status has half of all rows."""
+    means = [_mean_of("geometric", np.log, np.exp), _mean_of("harmonic", lambda v: 1 / v, lambda m: 1 / m), "count"]
+    result = descriptive.aggregate(gappy(spark, sf), group_by="status", metrics={"price": means})
+    return rounded(result, ["price_geometric", "price_harmonic"], 2)

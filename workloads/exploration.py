@@ -72,6 +72,20 @@ def categorical_summary(spark, sf):
     return summary.withColumn("top_values", F.concat_ws(",", listed))
 
 
+MANY = """
+    SELECT '{c}' AS "column", v AS value, n AS count FROM (
+        SELECT *, row_number() OVER (ORDER BY n DESC, v) AS r FROM (
+            SELECT {c}::VARCHAR AS v, count(*) AS n FROM lineitem GROUP BY 1)) WHERE r <= 1500"""
+
+
+@query("categorical_leaders", " UNION ALL ".join(MANY.format(c=c) for c in ("l_partkey", "l_orderkey", "l_suppkey")))
+def categorical_leaders(spark, sf):
+    """More leading values than a rank filter keeps below the exchange."""
+    keys = table(spark, sf, "lineitem").select(*[F.col(c).cast("string") for c in ("l_partkey", "l_orderkey", "l_suppkey")])
+    summary = exploration.categorical_summary(keys, top_n=1500)
+    return summary.select("column", F.inline("top_values"))
+
+
 @query("value_counts", f"SELECT priority, count(*) AS count FROM ({GAPPY}) GROUP BY priority")
 def value_counts(spark, sf):
     return exploration.value_counts(gappy(spark, sf), "priority")
@@ -96,3 +110,31 @@ def value_counts_proportion(spark, sf):
 def unique_counts(spark, sf):
     lines = table(spark, sf, "lineitem")
     return exploration.unique_counts(lines, ["l_orderkey", "l_partkey", "l_returnflag", "l_extendedprice"])
+
+
+REPORT = """
+    WITH t AS (SELECT p_size, p_retailprice, p_brand FROM part)
+    SELECT 'overview' AS section, 'n_rows' AS item, count(*)::DOUBLE AS value FROM t
+    UNION ALL SELECT 'overview', 'n_duplicated_rows', (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM t)))::DOUBLE FROM t
+    UNION ALL SELECT 'numeric', 'p_size', round_even(avg(p_size), 4) FROM t
+    UNION ALL SELECT 'numeric', 'p_retailprice', round_even(avg(p_retailprice), 4) FROM t
+    UNION ALL SELECT 'categorical', 'p_brand', count(DISTINCT p_brand)::DOUBLE FROM t
+    UNION ALL SELECT 'correlations', 'p_size,p_retailprice', r FROM (
+        SELECT round_even(corr(p_size, p_retailprice), 4) AS r FROM t) WHERE abs(r) >= 0.5"""
+
+
+@query("summary_report", REPORT)
+def summary_report(spark, sf):
+    """A row or more from each section of the bundle."""
+    report = exploration.summary_report(table(spark, sf, "part").select("p_size", "p_retailprice", "p_brand"))
+
+    def rows(section, item, value):
+        return report[{"numeric": "numeric_summary", "categorical": "categorical_summary"}.get(section, section)].select(
+            F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value")
+        )
+
+    counts = [rows("overview", F.lit(c), F.col(c)) for c in ("n_rows", "n_duplicated_rows")]
+    numbers = rows("numeric", F.col("column"), F.col("mean"))
+    texts = rows("categorical", F.col("column"), F.col("n_unique"))
+    pairs = rows("correlations", F.concat_ws(",", "feature_1", "feature_2"), F.col("correlation"))
+    return counts[0].unionByName(counts[1]).unionByName(numbers).unionByName(texts).unionByName(pairs)

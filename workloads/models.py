@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarrystone.operators import modeling, splitting
+from quarrystone.operators import charts, correlation, modeling, prescriptive, splitting
 from quarrystone.plans.scratch import scratch_folder
 
 from .registry import query, rounded, table
@@ -193,6 +193,39 @@ def feature_importance(spark, sf):
     return rounded(modeling.get_feature_importance(_price_line(spark, sf)), ["importance"], 4)
 
 
+@query(
+    "top_importances",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round_even(abs(corr({c}, l_extendedprice)), 6) AS importance FROM lineitem"
+        for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+    )
+    + " ORDER BY importance DESC, feature LIMIT 3",
+)
+def top_importances(spark, sf):
+    """The three features that a univariate model of the price leans on most."""
+    lines = table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice")
+    strengths = correlation.correlation_with_target(lines, "l_extendedprice")
+    found = charts.top_importances(strengths.select("feature", F.abs("correlation").alias("importance")), top_n=3)
+    return rounded(found, ["importance"], 6)
+
+
+PRICED = LINE_FIT + """
+    SELECT v::DOUBLE AS l_quantity, count(*) AS n, round_even(avg(a * v + b), 4) AS prediction
+    FROM p CROSS JOIN m CROSS JOIN (SELECT unnest([10, 25, 40]) AS v) WHERE test GROUP BY v"""
+
+
+@query("scenario_model", PRICED)
+def scenario_model(spark, sf):
+    """What a fitted model predicts for every test row if its quantity were another."""
+    result = _price_line(spark, sf)
+    base = result["predictions"].select(*KEY, "l_quantity", "l_extendedprice")
+    sweep = prescriptive.scenario_analysis(
+        result["pipeline"], base, variable="l_quantity", values=[10.0, 25.0, 40.0], allow_many=True
+    )
+    groups = sweep.groupBy("l_quantity").agg(F.count("*").alias("n"), F.avg("prediction").alias("prediction"))
+    return rounded(groups, ["prediction"], 4)
+
+
 # A target that is a rule on two features is met exactly on rows the model has not seen.
 STEPS = "CASE WHEN l_linenumber > 3 THEN 10.0 ELSE 20.0 END + CASE WHEN l_returnflag = 'R' THEN 5.0 ELSE 0.0 END"
 STEPS_FIT = f"""

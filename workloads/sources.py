@@ -1,7 +1,10 @@
 """Round trips through scratch files."""
 
+from pyspark.sql import functions as F
+
 from quarrystone.plans.scratch import scratch_folder
 from quarrystone.sources import files
+from quarrystone.streaming import batches, readers
 
 from .registry import query, table
 
@@ -51,3 +54,99 @@ def load_parquet(spark, sf):
 @query("load_auto", "SELECT * FROM supplier")
 def load_auto(spark, sf):
     return files.load_auto(spark, f"{sf}/supplier.parquet")
+
+
+@query("load_csv_first_rows", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 500")
+def load_csv_first_rows(spark, sf):
+    """The limit reaches the scan; the files hold the rows in order."""
+    path = scratch_folder(spark)
+    _customers(spark, sf).repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey").write.option(
+        "header", True
+    ).csv(path)
+    return files.load_csv(spark, path, nrows=500)
+
+
+# Rows in one JSON document of the orients that are not lines.
+DOCUMENT_ROWS = 2000
+CELLS = ("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+
+
+def _documents(spark, sf, build):
+    """A folder with one JSON document per file, built from the rows of each by ``build``."""
+    path = scratch_folder(spark)
+    doc = F.floor(F.col("c_custkey") / DOCUMENT_ROWS)
+    rows = F.array_sort(F.collect_list(F.struct("c_custkey", "c_name", "c_acctbal", "c_mktsegment"))).alias("r")
+    made = _customers(spark, sf).groupBy(doc.alias("doc")).agg(rows).select("doc", build(F.col("r")).alias("value"))
+    made.repartition("doc").write.partitionBy("doc").text(path)
+    return f"{path}/doc=*"
+
+
+def _strings(row):
+    return F.array(*[row[c].cast("string") for c in CELLS])
+
+
+def _by_name(row):
+    return F.map_from_arrays(F.array(*map(F.lit, CELLS)), _strings(row))
+
+
+@query("load_json_records", CUSTOMER)
+def load_json_records(spark, sf):
+    return files.load_json(spark, _documents(spark, sf, F.to_json)).select(*CELLS)
+
+
+@query("load_json_split", CUSTOMER)
+def load_json_split(spark, sf):
+    def build(rows):
+        index = F.transform(rows, lambda r: r["c_custkey"])
+        return F.to_json(F.struct(
+            F.array(*map(F.lit, CELLS)).alias("columns"), index.alias("index"), F.transform(rows, _strings).alias("data")
+        ))
+
+    return _typed(files.load_json(spark, _documents(spark, sf, build), orient="split"))
+
+
+@query("load_json_index", CUSTOMER)
+def load_json_index(spark, sf):
+    def build(rows):
+        return F.to_json(F.map_from_arrays(F.transform(rows, lambda r: r["c_custkey"].cast("string")), F.transform(rows, _by_name)))
+
+    return _typed(files.load_json(spark, _documents(spark, sf, build), orient="index"))
+
+
+@query("load_json_columns", CUSTOMER)
+def load_json_columns(spark, sf):
+    def build(rows):
+        keys = F.transform(rows, lambda r: r["c_custkey"].cast("string"))
+        columns = [F.map_from_arrays(keys, rows[c].cast("array<string>")) for c in CELLS]
+        return F.to_json(F.map_from_arrays(F.array(*map(F.lit, CELLS)), F.array(*columns)))
+
+    return _typed(files.load_json(spark, _documents(spark, sf, build), orient="columns"))
+
+
+@query("load_json_values", CUSTOMER)
+def load_json_values(spark, sf):
+    found = files.load_json(spark, _documents(spark, sf, lambda rows: F.to_json(F.transform(rows, _strings))), orient="values")
+    return _typed(found.toDF(*CELLS))
+
+
+@query("load_json_table", CUSTOMER)
+def load_json_table(spark, sf):
+    def build(rows):
+        fields = F.array(*[F.struct(F.lit(c).alias("name"), F.lit("string").alias("type")) for c in CELLS])
+        return F.to_json(F.struct(F.struct(fields.alias("fields")).alias("schema"), F.transform(rows, _by_name).alias("data")))
+
+    return _typed(files.load_json(spark, _documents(spark, sf, build), orient="table"))
+
+
+def _typed(df):
+    """The columns of the table; whole numbers are read as bigint."""
+    return df.select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double"), "c_mktsegment")
+
+
+@query("landing_zone", "SELECT event_id, user_id, event_type, value FROM events")
+def landing_zone(spark, sf):
+    """Messages that arrive as JSON files, read as a stream of a few files at a time."""
+    path, schema = scratch_folder(spark), "event_id bigint, user_id bigint, event_type string, value double"
+    table(spark, sf, "events").select("event_id", "user_id", "event_type", "value").repartition(6).write.json(path)
+    reader = readers.LandingZoneReader(path, schema, max_files_per_trigger=2)
+    return batches.stream_to_dataframe(reader.load(spark), limit=10**9)

@@ -105,7 +105,7 @@ def trend_smoothed(spark, sf):
         table(spark, sf, "orders"), date_column="o_orderdate", value="o_totalprice", freq="ME"
     )
     smooth = timeseries.moving_average(
-        trend, value="o_totalprice", window=3, order_by="o_orderdate", few_rows=True
+        trend, value="o_totalprice", window=3, order_by="o_orderdate"
     )
     return rounded(rounded(smooth, ["o_totalprice"], 2), ["o_totalprice_ma3"], 4)
 
@@ -188,5 +188,5 @@ def project_flow(spark, sf):
     clean = handle_missing(written(clean), strategy="median")
     clean = cap_outliers_iqr(clean, "total_price", factor=0.4)
     trend = timeseries.trend_over_time(clean, date_column="order_date", value="total_price", freq="ME")
-    smooth = timeseries.moving_average(trend, value="total_price", order_by="order_date", few_rows=True)
+    smooth = timeseries.moving_average(trend, value="total_price", order_by="order_date")
     return rounded(smooth, ["total_price", "total_price_ma3"], 4)
