@@ -6,15 +6,14 @@ threshold get an exact distinct count; clear cases do not.  A boilerplate line g
 document but its home, the document with the smallest id that holds it, so that no passage is lost
 altogether.
 
-Lines are compared trimmed of blanks and in lower case.  Lines of fewer than ``min_words`` words, told apart
-by blanks, stay.  With ``min_words=1``, as in the pipeline, spread alone decides: every line counts that is not
+Lines are compared trimmed of blanks and in lower case.  Spread alone decides: every line counts that is not
 white space only, however short and in any script.  A line repeated inside documents of a few sites only is no
 boilerplate.
 
 Defined results: a null text comes back null with 0 lines, an empty text has one empty line; a null site
 is one site of its own; rows that repeat a document id are cleaned each, by the same lines; a document
 whose lines all go has an empty text; an empty table gives no rows; other columns are kept by
-``remove_boilerplate`` and ignored by the query.  The added columns must not exist already (ValueError).
+``remove_boilerplate`` and ignored by the query, and those named n_lines or n_removed are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +24,9 @@ from pyspark.sql import functions as F
 from ..plans.scratch import written
 from .common import ref, require
 
-MIN_SITES, MIN_WORDS = 10, 5
+MIN_SITES = 10
+# A character that is not a blank or a control character from tab to carriage return.
+_VISIBLE = r"[^\x09-\x0D\x20]"
 # 2**LG_K buckets a sketch: a standard error of 3.3 %, so the band below is over ten of them wide.
 LG_K = 10
 NEAR = (0.6, 1.4)
@@ -37,7 +38,7 @@ WITH lines AS (
                  generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
 ), boilerplate AS (
     SELECT norm, min(doc_id) AS home FROM lines
-    WHERE length(norm) - length(replace(norm, ' ', '')) >= {MIN_WORDS - 1}
+    WHERE regexp_matches(norm, '{_VISIBLE}')
     GROUP BY norm HAVING count(DISTINCT source) >= {MIN_SITES}
 )
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE home IS NULL OR home = doc_id), '') AS text,
@@ -51,28 +52,22 @@ def _norm(line: Column) -> Column:
     return F.lower(F.trim(line))
 
 
-def _long_enough(norm: Column, min_words: int) -> Column:
-    if min_words <= 1:
-        return norm.rlike(r"(?U)\S")
-    return F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) >= min_words - 1
-
-
-def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int) -> DataFrame:
-    """doc_id, site, hash of each line that is long enough."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
+    """doc, site and hash of each line with something in it."""
     parts = docs.select(
         ref(id_col).alias("doc"),
         F.coalesce(ref(site_col).cast("string"), F.lit("")).alias("site"),
         F.explode(F.split(ref(text_col), "\n")).alias("line"),
     )
-    norm = parts.select("doc", "site", _norm(F.col("line")).alias("norm"))
-    return norm.where(_long_enough(F.col("norm"), min_words)).select("doc", "site", F.xxhash64("norm").alias("hash"))
+    norm = parts.select("doc", "site", _norm(F.col("line")).alias("norm")).where(F.col("norm").rlike(_VISIBLE))
+    return norm.select("doc", "site", F.xxhash64("norm").alias("hash"))
 
 
 def boilerplate(
-    docs: DataFrame, id_col: str, text_col: str, site_col: str, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS
+    docs: DataFrame, id_col: str, text_col: str, site_col: str, min_sites: int = MIN_SITES
 ) -> DataFrame:
     """hash and home of the lines on at least ``min_sites`` sites; written, so it is worked out once."""
-    lines = _lines(docs, id_col, text_col, site_col, min_words)
+    lines = _lines(docs, id_col, text_col, site_col)
     spread = lines.groupBy("hash").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), F.min("doc").alias("home"))
     wide = written(
         spread.select("hash", "home", F.hll_sketch_estimate("sketch").alias("sites")).where(
@@ -94,25 +89,28 @@ def remove_boilerplate(
     text_col: str = "text",
     site_col: str = "source",
     min_sites: int = MIN_SITES,
-    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """The documents with cleaned text, and n_lines and n_removed beside it."""
     require(docs, id_col, text_col, site_col)
-    clash = {"n_lines", "n_removed"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"Columns exist already: {sorted(clash)}")
-    found = boilerplate(docs, id_col, text_col, site_col, min_sites, min_words)
-    hits = _lines(docs, id_col, text_col, site_col, min_words).select("doc", "hash").join(found, "hash")
-    drop = (
-        hits.where(F.col("doc") != F.col("home")).groupBy("doc").agg(F.collect_set("hash").alias("__drop"))
-    ).withColumnRenamed("doc", "__doc")
-    joined = docs.join(drop, ref(id_col) == F.col("__doc"), "left")
-    parts = F.split(ref(text_col), "\n")
-    goes = lambda line: _long_enough(_norm(line), min_words) & F.array_contains(
-        F.col("__drop"), F.xxhash64(_norm(line))
+    found = boilerplate(docs, id_col, text_col, site_col, min_sites)
+    hits = _lines(docs, id_col, text_col, site_col).select("doc", "hash").join(found, "hash")
+    gone = hits.where(F.col("doc") != F.col("home")).groupBy("doc").agg(F.collect_set("hash").alias("gone"))
+    # The table's own columns travel under numbers, so that no name of theirs can clash.
+    rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_removed")]
+    slots = {c: f"c{k}" for k, c in enumerate(rest)}
+    own = docs.select(ref(text_col).alias("text"), *[ref(c).alias(slots[c]) for c in rest])
+    joined = own.join(gone, F.col(slots[id_col]) == F.col("doc"), "left")
+    parts = F.split("text", "\n")
+    goes = lambda line: _norm(line).rlike(_VISIBLE) & F.array_contains("gone", F.xxhash64(_norm(line)))
+    kept = F.when(F.col("gone").isNull(), parts).otherwise(F.filter(parts, lambda line: ~goes(line)))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))
+    n_kept = F.when(F.col("text").isNull(), 0).otherwise(F.size(kept))
+    cleaned = joined.select(
+        F.array_join(kept, "\n").alias("text"),
+        n_lines.alias("n_lines"),
+        (n_lines - n_kept).alias("n_removed"),
+        *slots.values(),
     )
-    kept = F.when(F.col("__drop").isNull(), parts).otherwise(F.filter(parts, lambda line: ~goes(line)))
-    n_lines = F.when(ref(text_col).isNull(), 0).otherwise(F.size(parts))
-    n_kept = F.when(ref(text_col).isNull(), 0).otherwise(F.size(kept))
-    columns = [F.array_join(kept, "\n").alias(c) if c == text_col else ref(c) for c in docs.columns]
-    return joined.select(*columns, n_lines.alias("n_lines"), (n_lines - n_kept).alias("n_removed"))
+    columns = {text_col: F.col("text"), **{c: F.col(slots[c]) for c in rest}}
+    own_columns = [columns[c].alias(c) for c in docs.columns if c in columns]
+    return cleaned.select(*own_columns, F.col("n_lines").alias("n_lines"), F.col("n_removed").alias("n_removed"))

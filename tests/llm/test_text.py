@@ -90,7 +90,7 @@ def _plain_lines(rows, min_sites):
     for i, text, site in rows:
         for line in (text or "").split("\n") if text is not None else []:
             norm = line.strip(" ").lower()
-            if norm.count(" ") >= 4:
+            if norm.strip("\t\n\v\f\r "):
                 sites.setdefault(norm, set()).add(site or "")
                 homes[norm] = min(homes.get(norm, i), i)
     out = []
@@ -114,8 +114,20 @@ def test_boilerplate_lines(spark):
     assert got == _plain_lines(rows, linededup.MIN_SITES)
     none = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert linededup.remove_boilerplate(none).collect() == []
-    with pytest.raises(ValueError):
-        linededup.remove_boilerplate(none.withColumn("n_lines", F.lit(1)))
+    clash = spark.createDataFrame(rows[:220], "doc_id bigint, text string, source string")
+    for name in ("n_lines", "n_removed", "doc", "gone", "hash", "c0", "__doc", "__drop"):
+        clash = clash.withColumn(name, F.lit("x"))
+    again = sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in linededup.remove_boilerplate(clash).collect()), key=str)
+    assert again == _plain_lines(rows[:220], linededup.MIN_SITES)
+
+
+def test_spread_alone_decides(spark):
+    lines = ["All rights reserved.", "home\tabout\tcontact", "版权所有不得转载", "-", "\t "]
+    rows = [(i, "\n".join([f"text {i}", *lines]), f"s{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in linededup.remove_boilerplate(docs).collect()}
+    assert got[0] == (rows[0][1], 0)
+    assert all(got[i] == (f"text {i}\n\t ", 4) for i in range(1, 20))
 
 
 def test_pipeline_lines_go_by_spread_alone(spark):
@@ -204,4 +216,4 @@ def test_pipeline_of_an_empty_table(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
