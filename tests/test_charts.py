@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from quarrystone.operators import charts
+from quarrystone.plans import kernels
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +82,31 @@ def test_bad_arguments(clean_df):
         charts.histogram_bins(clean_df, "region")
     with pytest.raises(ValueError, match="bins"):
         charts.histogram_bins(clean_df, "sales", bins=0)
+
+
+@pytest.mark.parametrize("held", [10_000, 1])
+def test_kernel_sums_of_many_batches(spark, monkeypatch, held):
+    monkeypatch.setattr(kernels, "HELD_GROUPS", held)
+    rng = np.random.default_rng(6)
+    values = np.r_[rng.normal(0, 1, 3000), rng.normal(40, 0.2, 500), [7.0] * 700]  # tight, far apart, one hot value
+    rows = [("a" if k % 2 else None, float(v)) for k, v in enumerate(values)] + [("b", 1.0), ("b", 1.0), ("c", 3.0), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    curve = charts.density_curve(df, "v", group_by=["k"], points=150, cut=1.0).toPandas()
+    assert set(curve["k"].unique()) == {"a", None}  # no spread, no curve
+    for key, own in (("a", values[1::2]), (None, values[0::2])):
+        got = curve[curve["k"].isna() if key is None else curve["k"] == key].sort_values("x")
+        h = own.std(ddof=1) * len(own) ** -0.2
+        x = np.linspace(own.min() - h, own.max() + h, 150)
+        plain = np.exp(-0.5 * ((x[:, None] - own) / h) ** 2).sum(1) / (len(own) * h * np.sqrt(2 * np.pi))
+        assert np.allclose(got["x"], x) and np.allclose(got["density"], plain, rtol=1e-12, atol=1e-15)
+    plan = charts.density_curve(df, "v", points=150)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1  # of the sums of a task, not of its values
+
+
+def test_kernel_sums_reach():
+    values = np.random.default_rng(1).uniform(0, 1000, 4000)
+    found = kernels.kernel_sums(values, -5.0, 5.1, 0.7, 200)
+    x = -5.0 + 5.1 * np.arange(200)
+    plain = np.exp(-0.5 * ((x[:, None] - values) / 0.7) ** 2).sum(1)
+    assert np.abs(found - plain).max() <= 4000 * 3e-16
+    assert kernels.kernel_sums(values[:0], 0.0, 1.0, 1.0, 3).tolist() == [0, 0, 0]
