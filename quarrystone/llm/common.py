@@ -113,3 +113,21 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if (label == before).all():
             break
     return label
+
+
+def dealt_join(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table of one row a key (bigint or binary) so that hot keys can be split.
+
+    After an aggregation over the same keys the plan would keep its partitions for the join, where adaptive execution
+    can't split a hot one.  Turned keys make the join deal both sides anew.
+    """
+    kinds, turned = dict(side.dtypes), {k: f"{k}__turned" for k in keys}
+
+    def turn(name: str, key: str) -> Column:
+        return F.concat(ref(name), F.lit(b"\0")) if kinds[key] == "binary" else ref(name).bitwiseXOR(0x5DEECE66D1234567)
+
+    dealt = side.select(*[turn(k, k).alias(turned[k]) for k in keys], *[ref(c) for c in side.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & (turn(k, k) == ref(turned[k]))
+    return rows.join(dealt, same, how).drop(*turned.values())

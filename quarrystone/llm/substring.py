@@ -12,7 +12,7 @@ occur once, most of them, go after one count.  An anchor is extended both ways t
   for each window and one join back.
 
 No pair of places is ever a row, and a passage that a third of all documents hold costs each of them one row a
-seed.  Both joins are on keys with a single row on one side, so hot keys split.  Repeats that overlap or touch are
+seed.  All joins are on keys with a single row on one side and deal both sides anew, so hot keys split.  Repeats that overlap or touch are
 merged into maximal ones.
 
 A window is a repeat when its words also start earlier: in a document with a smaller id, or further left in the same
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.scratch import written
-from .common import ref, require, slices, spans, text_bytes
+from .common import dealt_join, ref, require, slices, spans, text_bytes
 from .shingles import mixed
 
 LENGTH, SEED = 20, 8
@@ -175,7 +175,8 @@ def _later(rows: DataFrame, keys: list[str], place: str, shift: int) -> DataFram
     start = F.shiftright(place, shift) if shift else F.col(place)
     at = F.struct("doc", "f", start.alias("start"))
     least = rows.groupBy(*keys).agg(F.min(at).alias("least"), F.max(at).alias("most"))
-    return rows.join(least.where("least < most").select(*keys, "least"), keys).where(at > F.col("least"))
+    several = least.where("least < most").select(*keys, "least")
+    return dealt_join(rows, several, keys).where(at > F.col("least"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, rest: list[str] = ()) -> DataFrame:
@@ -194,13 +195,13 @@ def _repeats(docs: DataFrame, keyed: DataFrame, length: int, seed: int) -> DataF
     rows = keyed.mapInArrow(
         _places(length, seed, True), "anchor bigint, span bigint, doc bigint, f bigint, place bigint"
     )
-    seeded = written(rows.join(several, "anchor", "left_semi"))
+    seeded = written(dealt_join(rows, several, ["anchor"]))
     whole = _later(seeded, ["anchor", "span"], "place", _MANY).select("doc", "f", "place")
     # One member of each group of equal spans, for anchors that have several groups.
     first = seeded.groupBy("anchor", "span").agg(F.min(F.struct("doc", "f", "place")).alias("m"))
     groups = written(first.select("anchor", "m.*"))
     split = groups.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    lists = groups.join(split, "anchor", "left_semi").groupBy("doc", "f").agg(F.collect_list("place").alias("places"))
+    lists = dealt_join(groups, split, ["anchor"]).groupBy("doc", "f").agg(F.collect_list("place").alias("places"))
     held = keyed.join(lists, ["doc", "f"]).select("doc", "f", "text", "places")
     windows = held.mapInArrow(
         _windows(length, seed), "anchor bigint, window bigint, doc bigint, f bigint, start bigint"
