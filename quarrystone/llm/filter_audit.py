@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.scratch import written
-from .common import ref, require, slices
+from .common import dealt_join, ref, require, slices
 
 MIN_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT = 100, 80, 10
 MOST_FILTERS = 5
@@ -92,7 +92,7 @@ def failures(measures: DataFrame, filters: Mapping[str, Column] | None = None) -
     ids = rows.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     shared = ids.where("least < most").select("hash", "least")
     again = F.when(F.col("doc") > F.col("least"), 1 << len(filters)).otherwise(0)
-    return rows.join(shared, "hash", "left").select("doc", "part", F.col("mask").bitwiseOR(again).alias("mask"))
+    return dealt_join(rows, shared, ["hash"], "left").select("doc", "part", F.col("mask").bitwiseOR(again).alias("mask"))
 
 
 def survival_words(filters: int) -> np.ndarray:
