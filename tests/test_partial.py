@@ -56,7 +56,7 @@ def test_groups_of_any_size(hot, monkeypatch, held, slots):
 def test_no_task_takes_a_whole_group(hot):
     """A hot key leaves each task as one state; the merge sees states, not rows."""
     frame, df = hot
-    sizes = UserAggregate("sizes", list, lambda s, v: [*s, len(v)], lambda a, b: a + b, lambda s: float(max(s)))
+    sizes = UserAggregate("sizes", list, lambda s, v: [*s, len(v)], lambda a, b: a + b, lambda s: float(max(s, default=0)))
     steps = UserAggregate("steps", list, lambda s, v: [*s, len(v)], lambda a, b: a + b, lambda s: float(len(s)))
     rows = {r.k: r for r in descriptive.aggregate(df, group_by="k", metrics={"v": [sizes, steps]}).collect()}
     assert rows["hot"].v_steps >= 16 and rows["hot"].v_sizes < 400
@@ -75,7 +75,7 @@ def test_keys_of_several_types_and_none_at_all(hot):
 
 def test_trends_and_pivots_take_them(hot, spark):
     _, df = hot
-    dated = df.withColumn("day", F.expr("date_add(date'2024-01-01', n * 40)"))
+    dated = df.withColumn("day", F.expr("date_add(date'2024-01-01', cast(n * 40 as int))"))
     trend = timeseries.trend_over_time(dated, date_column="day", value="v", freq="MS", agg=SPAN).collect()
     assert len(trend) == 3 and all(r.v > 7 for r in trend)
     wide = descriptive.pivot_summary(df, index="k", columns="n", values="v", aggfunc=GEOMETRIC).collect()

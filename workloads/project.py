@@ -46,7 +46,7 @@ PROJECT = f"""
          shares AS (SELECT flag, round_even(100 * sum(sales) / sum(sum(sales)) OVER (), 2) AS pct FROM c GROUP BY flag)
     SELECT 'share' AS step, flag AS item, pct AS value FROM shares
     UNION ALL
-    SELECT 'trend', strftime(last_day(b), '%Y-%m-%d'), round_even(CASE WHEN count(v) OVER w = 3 THEN avg(v) OVER w END, 2)
+    SELECT 'trend', strftime(last_day(b), '%Y-%m-%d'), round_even(CASE WHEN count(v) OVER w = 3 THEN avg(v) OVER w END, 4)
     FROM trend WINDOW w AS (ORDER BY b ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
     UNION ALL
     """ + " UNION ALL ".join(
@@ -106,7 +106,7 @@ def demo_flow(spark, sf):
     )
     parts = [
         _long(shares, "share", F.col("flag"), F.col("pct_of_total")),
-        _long(trend, "trend", F.col("shipped").cast("date"), F.bround("sales_ma3", 2)),
+        _long(trend, "trend", F.col("shipped").cast("date"), F.bround("sales_ma3", 4)),
         _long(strengths, "correlation", F.col("feature"), F.bround("correlation", 6)),
         _long(test, "ttest", F.lit("t_statistic"), F.col("t_statistic")),
         *[_long(fitted["metrics"], "regression", F.lit(m), F.col(m)) for m in ("r2", "rmse")],
