@@ -7,7 +7,7 @@ from functools import reduce
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,9 +93,10 @@ def _pearson(table: DataFrame, pairs) -> list[DataFrame]:
     def moments(batches):
         total = np.zeros((6, len(left)))
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            new = batch_moments(batch.to_numpy(dtype=float))
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            new = batch_moments(np.stack(columns, axis=1).astype(float))
             n = np.maximum(total[0] + new[0], 1)
             apart, weight = new[1:3] - total[1:3], total[0] * new[0] / n
             between = [apart[0] * apart[0] * weight, apart[1] * apart[1] * weight, apart[0] * apart[1] * weight]
@@ -103,10 +104,12 @@ def _pearson(table: DataFrame, pairs) -> list[DataFrame]:
             total[3:] += new[3:] + between
             total[0] += new[0]
         some = np.flatnonzero(total[0])
-        yield pd.DataFrame({"p": some} | {c: total[k][some] for k, c in enumerate(sums)})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), *[pa.array(total[k][some]) for k in range(len(sums))]], ["p", *sums]
+        )
 
     sums = ("n", "mx", "my", "sxx", "syy", "sxy")
-    parts = table.select(*names).mapInPandas(moments, "p int, " + ", ".join(f"{c} double" for c in sums))
+    parts = table.select(*names).mapInArrow(moments, "p int, " + ", ".join(f"{c} double" for c in sums))
     # The parts of a pair are as many as there were tasks.
     pair = Window.partitionBy("p")
     apart = parts.withColumns({c: F.col(c) - F.min(c).over(pair) for c in ("mx", "my")})
@@ -193,12 +196,17 @@ def correlation_matrix(
     """
     _check(method)
     names = require(df, columns) if columns is not None else numeric_columns(df)
-    upper = correlate_pairs(df, list(combinations(names, 2)), method)
+    upper, own = list(combinations(names, 2)), [(c, c) for c in names]
     # On the diagonal every method gives 1, or nothing for a constant column.
-    own = correlate_pairs(df, [(c, c) for c in names], "pearson")
-    own = own.withColumn("correlation", F.when(F.col("correlation").isNotNull(), 1.0))
-    mirrored = upper.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
-    whole = upper.unionByName(mirrored).unionByName(own)
+    if method == "pearson":
+        found = correlate_pairs(df, upper + own)
+    else:
+        found = correlate_pairs(df, upper, method).unionByName(correlate_pairs(df, own))
+    same = F.col("feature_1") == F.col("feature_2")
+    r = F.when(same & F.col("correlation").isNotNull(), 1.0).otherwise(F.col("correlation")).alias("correlation")
+    ways = [F.struct(F.col(a).alias("feature_1"), F.col(b).alias("feature_2"), r)
+            for a, b in (("feature_1", "feature_2"), ("feature_2", "feature_1"))]
+    whole = found.select(F.inline(F.when(same, F.array(ways[0])).otherwise(F.array(*ways))))
     return whole if digits is None else whole.withColumn("correlation", rounded(F.col("correlation"), digits))
 
 
