@@ -24,6 +24,7 @@ from ..functions.columns import (
     unused_name,
     value,
 )
+from ..plans.distincts import distinct_counts
 from ..plans.ordering import numbered
 from ..plans.quantiles import exact_quantiles
 from ..plans.scratch import written
@@ -68,21 +69,29 @@ def missing_value_report(df: DataFrame) -> DataFrame:
 def quality_report(df: DataFrame, *, approx: bool = False) -> DataFrame:
     """Scorecard per column: ``dtype, non_null, n_missing, pct_missing, n_unique``.
 
-    ``approx=True`` replaces the exact distinct counts by HyperLogLog sketches, one
-    pass without the row expansion that several exact distinct counts need.
+    ``approx=True`` replaces the exact distinct counts by HyperLogLog sketches.
     """
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    counts = _per_column(
-        df,
-        {
-            c: {
-                "non_null": F.count_if(~is_missing(df, c)),
-                "n_missing": F.count_if(is_missing(df, c)),
-                "n_unique": distinct(value(df, c)),
-            }
-            for c in df.columns
-        },
-    )
+    if approx:
+        counts = _per_column(
+            df,
+            {
+                c: {
+                    "non_null": F.count_if(~is_missing(df, c)),
+                    "n_missing": F.count_if(is_missing(df, c)),
+                    "n_unique": F.approx_count_distinct(value(df, c)),
+                }
+                for c in df.columns
+            },
+        )
+    else:
+        rows = [
+            F.struct(
+                F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"k{i}").alias("non_null"),
+                F.col(f"m{i}").alias("n_missing"), F.col(f"u{i}").alias("n_unique"),
+            )
+            for i, c in enumerate(df.columns)
+        ]
+        counts = distinct_counts(df, df.columns).select(F.inline(F.array(*rows)))
     share = F.try_divide(F.col("n_missing").cast("double"), F.col("n_missing") + F.col("non_null"))
     dtype = F.coalesce(*[F.when(F.col("column") == c, F.lit(t)) for c, t in df.dtypes])
     return counts.orderBy("position").select(

@@ -20,6 +20,7 @@ from ..functions.columns import (
     value,
 )
 from ..functions.moments import kurtosis, skew
+from ..plans.distincts import distinct_counts
 from ..plans.leaders import leaders
 from ..plans.quantiles import exact_quantiles
 from .correlation import top_correlations
@@ -199,8 +200,9 @@ def value_counts(df: DataFrame, column: str, *, normalize: bool = False, dropna:
 def unique_counts(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
     """One row with the number of distinct non-missing values of each column."""
     names = require(df, columns) if columns is not None else df.columns
-    distinct = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(*[distinct(value(df, c)).alias(c) for c in names])
+    if approx:
+        return df.agg(*[F.approx_count_distinct(value(df, c)).alias(c) for c in names])
+    return distinct_counts(df, names).select(*[F.col(f"u{i}").alias(c) for i, c in enumerate(names)])
 
 
 def summary_report(df: DataFrame) -> dict[str, DataFrame]:
