@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import ref, require
-from ..plans.scratch import written
+from ..plans.scratch import scratch_folder, written
+from .objects import read_objects
 from .records import read_records
 
 # The texts a CSV reader of the Python stack takes for missing.
@@ -293,7 +294,8 @@ def load_json(
 ) -> DataFrame:
     """JSON Lines (``lines=True``, splittable) or whole documents of a given ``orient``.
 
-    ``records`` (the default) is a list of objects.  ``columns``, ``index``, ``split``,
+    ``records`` (the default) is a list of objects, however long: it is cut into lines in many tasks, written to
+    the scratch folder and read from there.  ``columns``, ``index``, ``split``,
     ``values`` and ``table`` are read one document per file and unfolded into rows;
     ``columns`` and ``index`` keep their labels in a column ``index``.
     """
@@ -301,8 +303,9 @@ def load_json(
     if orient is not None and orient not in JSON_ORIENTS:
         raise ValueError(f"Unknown orient {orient!r}; choose one of {JSON_ORIENTS}")
     if lines or orient in (None, "records"):
-        reader = spark.read.option("encoding", encoding).option("multiLine", not lines)
-        table = (reader.schema(schema) if schema is not None else reader).json(path)
+        reader = spark.read.option("encoding", encoding) if lines else spark.read
+        reader = reader.schema(schema) if schema is not None else reader
+        table = reader.json(path if lines else _as_lines(spark, path, encoding))
     else:
         documents = spark.read.option("wholetext", True).option("encoding", encoding).text(path)
         table = _unfolded(documents, orient)
@@ -315,6 +318,14 @@ def load_json(
     )
 
 
+def _as_lines(spark: SparkSession, path: str, encoding: str) -> str:
+    """A folder with the objects of all documents, one a line."""
+    lines = scratch_folder(spark)
+    # A line end within an object is white space between its parts.
+    read_objects(spark, path, encoding=encoding).select(F.regexp_replace("value", r"[\r\n]+", " ")).write.text(lines)
+    return lines
+
+
 def _unfolded(documents: DataFrame, orient: str) -> DataFrame:
     """Rows of JSON documents that are not lists of records; values typed by inference."""
     text = F.col("value")
