@@ -119,8 +119,15 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=columns)
 
 
-def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """Every row of every sheet of every workbook under ``path``: the long form of an ingest."""
+def read_workbooks(spark: SparkSession, path: str | DataFrame) -> DataFrame:
+    """Every row of every sheet of every workbook under ``path``: the long form of an ingest.
+
+    Workbooks that already are in a table, such as attachments or downloads, are given as that table, with the columns
+    ``path`` (any name, one a workbook) and ``content``; rows without content are left out.
+    """
+    if isinstance(path, DataFrame):
+        require(path, ("path", "content"))
+        return path.select("path", "content").where("content is not null").mapInPandas(_parse, CELL_ROWS)
     validate_exists(spark, path)
     if str(path).lower().endswith(".xls"):
         raise ValueError("Legacy .xls workbooks are not supported; save them as .xlsx")
@@ -180,7 +187,7 @@ def _sheet_table(rows: DataFrame, header: int | None, usecols, parse_dates) -> D
 
 def load_excel(
     spark: SparkSession,
-    path: str,
+    path: str | DataFrame,
     *,
     sheet_name: str | int = 0,
     header: int | None = 0,
@@ -189,6 +196,8 @@ def load_excel(
 ) -> DataFrame:
     """One sheet, by name or 0-based place, of a workbook or of many, whose columns meet by name.
 
+    ``path`` may be a table of workbooks, as in :func:`read_workbooks`.
+
     ``usecols`` is a list of names or letters such as ``"A:C,F"``.
     """
     rows = written(read_workbooks(spark, path))
@@ -196,7 +205,7 @@ def load_excel(
     return _sheet_table(rows.where(F.col(key) == F.lit(sheet_name)), header, usecols, parse_dates)
 
 
-def load_excel_all_sheets(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def load_excel_all_sheets(spark: SparkSession, path: str | DataFrame) -> dict[str, DataFrame]:
     """Every sheet by name."""
     rows = written(read_workbooks(spark, path))
     sheets = rows.groupBy("sheet").agg(F.min("sheet_no").alias("place")).orderBy("place", "sheet").collect()

@@ -175,6 +175,15 @@ def test_excel_sheet(spark, workbook):
         excel.load_excel(spark, workbook, sheet_name="Missing")
 
 
+def test_excel_from_a_table(spark, workbook):
+    with open(workbook, "rb") as file:
+        books = spark.createDataFrame([("a", file.read()), ("b", None)], "path string, content binary")
+    assert excel.load_excel(spark, books).collect() == excel.load_excel(spark, workbook).collect()
+    assert set(excel.load_excel_all_sheets(spark, books)) == {"People", "Other"}
+    with pytest.raises(ValueError, match="content"):
+        excel.load_excel(spark, books.drop("content"))
+
+
 def test_excel_all_sheets_and_many_workbooks(spark, workbook, tmp_path):
     sheets = excel.load_excel_all_sheets(spark, workbook)
     assert list(sheets) == ["People", "Other"] and sheets["Other"].count() == 2

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarrystone.plans.scratch import scratch_folder
-from quarrystone.sources import files
+from quarrystone.sources import excel, files
 from quarrystone.streaming import batches, readers
 
 from .registry import query, table
@@ -143,6 +143,78 @@ def _typed(df):
     return df.select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double"), "c_mktsegment")
 
 
+# Rows in one workbook.
+WORKBOOK_ROWS = 5000
+
+
+def _workbooks(df, sheets):
+    """``path, content``: one workbook for each ``book``, a sheet for each of ``sheets`` (name: columns)."""
+
+    def build(key, rows):
+        import io
+        import zipfile
+        from xml.sax.saxutils import escape
+
+        import pandas as pd
+
+        def letters(place):
+            return chr(65 + place)
+
+        def cell(at, found):
+            if pd.isna(found):
+                return ""
+            if isinstance(found, str):
+                return f'<c r="{at}" t="inlineStr"><is><t>{escape(found)}</t></is></c>'
+            return f'<c r="{at}"><v>{found}</v></c>'
+
+        head = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+        links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+            listed = "".join(f'<sheet name="{n}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, 1))
+            book.writestr("xl/workbook.xml", f'<workbook {head} xmlns:r="{links}"><sheets>{listed}</sheets></workbook>')
+            targets = "".join(f'<Relationship Id="rId{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
+            book.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{targets}</Relationships>")
+            for i, names in enumerate(sheets.values(), 1):
+                lines = [names, *rows[names].itertuples(index=False)]
+                body = "".join(
+                    f'<row r="{r}">' + "".join(cell(f"{letters(c)}{r}", v) for c, v in enumerate(line)) + "</row>"
+                    for r, line in enumerate(lines, 1)
+                )
+                book.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {head}><sheetData>{body}</sheetData></worksheet>")
+        return pd.DataFrame({"path": [f"book{key[0]}.xlsx"], "content": [out.getvalue()]})
+
+    return df.groupBy("book").applyInPandas(build, "path string, content binary")
+
+
+def _customer_books(spark, sf):
+    book = F.floor(F.col("c_custkey") / WORKBOOK_ROWS).alias("book")
+    rows = table(spark, sf, "customer").select("*", book)
+    return _workbooks(rows, {"Customers": list(CELLS), "Nations": ["c_custkey", "c_nationkey"]})
+
+
+@query("load_excel", CUSTOMER)
+def load_excel(spark, sf):
+    return excel.load_excel(spark, _customer_books(spark, sf), sheet_name="Customers")
+
+
+@query("load_excel_columns", "SELECT c_custkey, c_acctbal FROM customer")
+def load_excel_columns(spark, sf):
+    """Columns by letter; the sheet by its place."""
+    return excel.load_excel(spark, _customer_books(spark, sf), usecols="A,C")
+
+
+@query(
+    "load_excel_all_sheets",
+    "SELECT c_custkey, c_acctbal, c_mktsegment, c_nationkey FROM customer",
+)
+def load_excel_all_sheets(spark, sf):
+    """Both sheets of all workbooks, put together again; whole numbers are read as bigint."""
+    sheets = excel.load_excel_all_sheets(spark, _customer_books(spark, sf))
+    both = sheets["Customers"].join(sheets["Nations"], "c_custkey")
+    return both.select("c_custkey", "c_acctbal", "c_mktsegment", F.col("c_nationkey").cast("int"))
+
+
 @query("landing_zone", "SELECT event_id, user_id, event_type, value FROM events")
 def landing_zone(spark, sf):
     """Messages that arrive as JSON files, read as a stream of a few files at a time."""
