@@ -154,6 +154,28 @@ def test_exact_top_k(spark, monkeypatch, block):
     assert {tuple(r) for r in topk.exact_top_k(df).collect()} == expected
 
 
+@pytest.mark.parametrize("block", [4096, 500])
+def test_groups_out_of_reach_are_left_out(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", block)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 16))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    x = centres[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 16)) * 0.03
+    x[:2000] = x[0]  # a third of all rows are copies of one
+    whole = np.floor(256 * x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(5)
+    found = topk.exact_top_k(df, evaluated=True).collect()
+    expected, scores = set(), whole[::50] @ whole.T
+    for q, row in zip(range(0, 6000, 50), scores):
+        row[q] = -np.inf
+        best = np.lexsort((np.arange(6000), -row))[:5]
+        expected |= {(q, k + 1, int(i), int(row[i])) for k, i in enumerate(best)}
+    assert {tuple(r)[:4] for r in found} == expected
+    # Of a copy's query the other copies are all candidates for a tie.
+    single = {r.query_id: r.evaluated for r in found if r.query_id >= 2000}
+    assert sum(single.values()) < 0.2 * 6000 * len(single)
+
+
 def test_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [0.5]), (50, [-1.0])], "vec_id bigint, embedding array<float>")
     found = sorted(tuple(r) for r in topk.exact_top_k(df).collect())
