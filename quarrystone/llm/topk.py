@@ -8,10 +8,10 @@ candidates in the order of their bounds and stops when the next bound exceeds it
 that could score as high is passed over, ties included.
 
 Candidates are grouped by their nearest pivot, and of each group the smallest and largest distance to every pivot is
-known.  A query first searches its own group; its k-th best score there goes with it, and other groups whose distances
-show that nothing in them can reach it never see the query.  Groups are cut into blocks by a hash of the id, the queries
-that come to a group likewise, and every pair of blocks is a cell in which each query keeps its k best; these few are
-ranked in a window.  No block grows with the data.
+known.  Small groups of close pivots are bundled.  A query first searches the bundle of its own group; its k-th best
+score there goes with it, and bundles of groups whose distances show that nothing in them can reach it never see the
+query.  Bundles are cut into blocks by a hash of the id, the queries that come to a bundle likewise, and every pair of
+blocks is a cell in which each query keeps its k best; these few are ranked in a window.  No block grows with the data.
 
 Defined results: queries are the rows whose id ``every`` divides; vectors that are null or hold null or
 non-finite components take no part; shorter vectors count as padded with zeros; rows with a null id take no
@@ -101,13 +101,27 @@ def _ranges(pivots: np.ndarray, width: int, most: float):
     return run
 
 
+def bundled(pivots: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """A number for each group: small groups with pivots close to each other share one, up to a block of rows."""
+    apart = squared_distances(pivots, pivots)
+    number, rows_in, at = 0, 0, 0
+    out, free = np.zeros(len(pivots), np.int64), np.ones(len(pivots), bool)
+    for _ in range(len(pivots)):
+        if rows_in and rows_in + members[at] > CANDIDATE_BLOCK:
+            number, rows_in = number + 1, 0
+        out[at], free[at] = number, False
+        rows_in += members[at]
+        at = int(np.where(free, apart[at], np.inf).argmin())
+    return out
+
+
 def _slack(offset: float) -> float:
     """More than rounding can add to a lower bound of a squared distance."""
     return 1e-6 * offset + 1e-3
 
 
-def _reached(pivots: np.ndarray, width: int, most: float, low: np.ndarray, high: np.ndarray):
-    """Each query with the groups, its own left out, that may hold a score as high as its k-th best so far."""
+def _reached(pivots: np.ndarray, width: int, most: float, low: np.ndarray, high: np.ndarray, bundle: np.ndarray):
+    """Each query with the bundles of groups, its own left out, that may hold a score as high as its k-th best so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,8 +132,8 @@ def _reached(pivots: np.ndarray, width: int, most: float, low: np.ndarray, high:
             for i in range(len(x)):
                 bound = np.maximum(np.maximum(low - to[i], to[i] - high).max(1), 0) ** 2
                 may = bound <= square[i] + most - 2 * least[i] + _slack(square[i] + most)
-                may[home[i]] = False
-                regions.append(np.flatnonzero(may).astype(np.int32))
+                other = np.unique(bundle[may])
+                regions.append(other[other != bundle[home[i]]].astype(np.int32))
             lists = pa.array(regions, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "regions"])
 
@@ -164,12 +178,13 @@ def _search(width: int, pivots: np.ndarray, most: float, k: int):
                 if not len(there) or not len(queries):
                     continue
                 own_x, own_ids = x[there], ids[there]
-                # The pivot table of the block, once for all its queries.
-                known = np.sqrt(squared_distances(_lifted(own_x, square[there], most), pivots))
-                to = np.sqrt(squared_distances(np.c_[x[queries], np.zeros(len(queries))], pivots))
+                # The pivot table of the block, once for all its queries; the slack covers single precision.
+                known = np.sqrt(squared_distances(_lifted(own_x, square[there], most), pivots)).astype(np.float32)
+                to = np.sqrt(squared_distances(np.c_[x[queries], np.zeros(len(queries))], pivots)).astype(np.float32)
                 found: list[tuple[list, list, list, list]] = []
                 for q, far in zip(queries, to):
-                    bounds = np.abs(known - far).max(1) ** 2
+                    gap = known - far
+                    bounds = np.abs(gap, out=gap).max(1).astype(np.float64) ** 2
                     offset = square[q] + most
                     place, score, done = nearest(x[q], ids[q], own_x, own_ids, bounds, offset, k, _slack(offset), least[q])
                     n = len(place)
@@ -221,11 +236,13 @@ def exact_top_k(
     for r in merged.collect():
         low[r.home, r.pivot], high[r.home, r.pivot] = r.low, r.high
         members[r.home] += r.n
-    blocks = -(-members // CANDIDATE_BLOCK)
+    bundle = bundled(pivots, members)
+    blocks = -(-np.bincount(bundle, members).astype(np.int64) // CANDIDATE_BLOCK)
+    bundle_of = F.get(F.array(*[F.lit(int(b)) for b in bundle]), F.col("home"))
 
     def searched(queries: DataFrame) -> DataFrame:
-        """The cells of queries (id, vector, square, least, region)."""
-        groups = np.zeros(len(pivots), np.int64)
+        """The cells of queries (id, vector, square, least, region), a region being a bundle."""
+        groups = np.zeros(len(blocks), np.int64)
         for r in queries.groupBy("region").count().collect():
             groups[r.region] = -(-r["count"] // QUERY_BLOCK)
         blocks_of, groups_of = (F.array(*[F.lit(int(v)) for v in side]) for side in (blocks, groups))
@@ -241,18 +258,18 @@ def exact_top_k(
             cell = (F.col("region").cast("bigint") * most_blocks + F.col("block")) * most_groups + F.col("group")
             return cut.select(cell.alias("cell"), F.lit(number).alias("side"), "id", "vector", "square", "least")
 
-        candidates = table.select("id", "vector", "square", F.lit(None).cast("double").alias("least"), F.col("home").alias("region"))
+        candidates = table.select("id", "vector", "square", F.lit(None).cast("double").alias("least"), bundle_of.alias("region"))
         both = cells(candidates, 0).unionByName(cells(queries, 1))
         return both.repartition("cell").sortWithinPartitions("cell", "side").mapInArrow(_search(width, pivots, most, k), kind)
 
     queries = table.where(F.col("id") % every == 0)
-    first = written(searched(queries.withColumn("least", F.lit(float("-inf"))).withColumn("region", F.col("home"))))
+    first = written(searched(queries.withColumn("least", F.lit(float("-inf"))).withColumn("region", bundle_of)))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     kth = first.where("vec_id is not null").withColumn("rank", place).where(F.col("rank") == k)
     told = queries.join(kth.select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("least")), "id", "left")
     told = told.select("id", "vector", "square", "home", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
     reach = told.mapInArrow(
-        _reached(pivots, width, most, low, high), schema + ", home int, least double, regions array<int>"
+        _reached(pivots, width, most, low, high, bundle), schema + ", home int, least double, regions array<int>"
     )
     spread = written(reach.select("id", "vector", "square", "least", F.explode("regions").alias("region")))
     found = first.unionByName(searched(spread))
