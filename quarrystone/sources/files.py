@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,8 @@ MISSING_TEXTS = (
 JSON_ORIENTS = ("records", "columns", "index", "split", "values", "table")
 # Lines looked at to find the delimiter of a text file.
 SNIFF_LINES = 50
+# Where a row stands in its file: the split it is read from and a number that rises within the split.
+PLACE = ("__split", "__line")
 
 
 def validate_exists(spark: SparkSession, path: str) -> str:
@@ -116,30 +119,67 @@ def load_csv(
     """
     validate_exists(spark, path)
 
-    def chosen(where: str) -> DataFrame:
-        raw = _read_delimited(spark, where, sep, encoding, header, multi_line)
+    def chosen(where: str, placed: bool = False) -> DataFrame:
+        raw = _read_delimited(spark, where, sep, encoding, header, multi_line, placed=placed)
         if usecols is None:
             return raw
-        wanted = set(require(raw, usecols))
+        wanted = {*require(raw, usecols), *(PLACE if placed else ())}
         return raw.select(*[ref(c) for c in raw.columns if c in wanted])
 
-    raw = chosen(path) if nrows is None else _first_rows(spark, path, chosen, nrows)
+    raw = chosen(path) if nrows is None else _first_rows(spark, path, chosen, nrows, not multi_line)
     return _typed(raw, spark, schema, parse_dates)
 
 
-def _first_rows(spark: SparkSession, path: str, read: Callable[[str], DataFrame], rows: int) -> DataFrame:
-    """The first rows, file by file and written once, so that types are those of the rows returned."""
+def _first_rows(
+    spark: SparkSession, path: str, read: Callable[[str, bool], DataFrame], rows: int, in_order: bool
+) -> DataFrame:
+    """The first rows, file by file and written once, so that types are those of the rows returned.
+
+    A limit takes rows of any task, so the splits of a file are counted and taken in their order.  If tasks read rows
+    ``in_order``, each stops after as many as are missing.
+    """
     if rows < 0:
         raise ValueError("nrows must not be negative")
     parts, missing = [], rows
     for file in sorted(spark.read.format("binaryFile").load(path).inputFiles()):
-        parts.append(written(read(file).limit(missing)))
-        missing -= parts[-1].count()
+        placed = read(file, True)
+        some = written(placed.mapInArrow(_heads(missing), placed.schema) if in_order else placed)
+        part, count = _first_of_file(some, missing)
+        parts.append(part.drop(*PLACE))
+        missing -= count
         if not missing:
             break
     return reduce(DataFrame.unionByName, parts)
 
 
+def _heads(rows: int):
+    """At most the first rows of every task, which then stops to read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = rows
+        for batch in batches:
+            yield batch.slice(0, left)
+            left -= min(left, batch.num_rows)
+            if not left:
+                return
+
+    return run
+
+
+def _first_of_file(placed: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """The first rows of one file by their places, and how many there are; the driver gets one count for each split."""
+    split, line = PLACE
+    upto = 0
+    for own in placed.groupBy(split).agg(F.count("*").alias("n")).orderBy(split).collect():
+        if upto + own.n > rows:
+            edge = placed.where(F.col(split) == own[split]).select(line).orderBy(line).limit(rows - upto)
+            last = edge.agg(F.max(line)).first()[0]
+            before = F.col(split) < own[split]
+            return placed.where(before if last is None else before | ((F.col(split) == own[split]) & (F.col(line) <= last))), rows
+        upto += own.n
+    return placed, upto
+
+
 def _checked(rows: DataFrame, sep: str, width: int, needs_sep: bool) -> DataFrame:
     """Raise on rows with more fields than names, or (``needs_sep``) with no separator at all.
 
@@ -175,7 +215,7 @@ def _first_record(spark: SparkSession, path: str, encoding: str, skip: int, sep:
         lines *= 2
 
 
-def _read_records(spark, path, sep, encoding, header) -> DataFrame:
+def _read_records(spark, path, sep, encoding, header, placed) -> DataFrame:
     """Rows of records that may hold line ends."""
     first = _first_record(spark, path, encoding, header or 0, sep)
     names = [str(i) for i in range(len(first))] if header is None else first
@@ -188,12 +228,15 @@ def _read_records(spark, path, sep, encoding, header) -> DataFrame:
         same = F.array(*[F.col(f"r.{c}") for c in plain]) == F.array(*map(F.lit, names))
         other = F.raise_error(F.concat(F.lit("A file has another header: "), F.substring("__bad", 1, 200))).cast("boolean")
         rows = rows.where(F.when(~is_head, True).when(same, False).otherwise(other))
-    return _checked(rows.select("r.*", "__bad"), sep, len(names), False).toDF(*names)
+    place = [F.col(c).alias(p) for c, p in zip(("split", "line"), PLACE)] if placed else []
+    checked = _checked(rows.select("r.*", *place, "__bad"), sep, len(names), False)
+    return checked.toDF(*names, *(PLACE if placed else ()))
 
 
-def _read_delimited(spark, path, sep, encoding, header, multi_line, needs_sep=False) -> DataFrame:
+def _read_delimited(spark, path, sep, encoding, header, multi_line, needs_sep=False, placed=False) -> DataFrame:
+    """All fields as text; with ``placed`` also the place of each row in its file."""
     if multi_line and (header is None or header >= 0):
-        return _read_records(spark, path, sep, encoding, header)
+        return _read_records(spark, path, sep, encoding, header, placed)
     reader = (
         spark.read.option("sep", sep)
         .option("encoding", encoding)
@@ -208,15 +251,20 @@ def _read_delimited(spark, path, sep, encoding, header, multi_line, needs_sep=Fa
     def with_bad(names: Sequence[str]) -> T.StructType:
         return T.StructType([T.StructField(n, T.StringType()) for n in [*names, "__bad"]])
 
+    def checked(names: Sequence[str]) -> DataFrame:
+        rows = reader.schema(with_bad(names)).csv(path)
+        if placed:
+            start = rows.metadataColumn("_metadata")["file_block_start"]
+            rows = rows.select("*", start.alias(PLACE[0]), F.monotonically_increasing_id().alias(PLACE[1]))
+        return _checked(rows, sep, len(names), needs_sep)
+
     if header is None:
         names = reader.csv(path).columns
-        plain = _checked(reader.schema(with_bad(names)).csv(path), sep, len(names), needs_sep)
-        return plain.toDF(*[str(i) for i in range(len(names))])
+        return checked(names).toDF(*[str(i) for i in range(len(names))], *(PLACE if placed else ()))
     if header == 0:
         # Every file's own header is compared with the first one's; another order or name raises.
         reader = reader.option("header", True).option("enforceSchema", False)
-        names = reader.csv(path).columns
-        return _checked(reader.schema(with_bad(names)).csv(path), sep, len(names), needs_sep)
+        return checked(reader.csv(path).columns)
     if header < 0:
         raise ValueError("header must be a line number or None")
     # Lines above the header are junk of any width, so the names come from a look at the
@@ -236,12 +284,15 @@ def _read_delimited(spark, path, sep, encoding, header, multi_line, needs_sep=Fa
             number = batch.groupby("file").cumcount() + batch["file"].map(passed).fillna(0)
             for file, count in batch["file"].value_counts().items():
                 passed[file] = passed.get(file, 0) + count
-            yield batch.loc[(batch["start"] > 0) | (number > header), ["value"]]
+            batch["number"] = number
+            yield batch.loc[(batch["start"] > 0) | (number > header), ["value", "start", "number"]]
 
     fields = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
     parsed = F.from_csv("value", fields, {"sep": sep, "quote": '"', "escape": '"'})
-    body = lines.mapInPandas(without_head, "value string").where(F.length("value") > 0)
-    rows = body.select(parsed.alias("r"), F.col("value").alias("__bad")).select("r.*", "__bad")
+    body = lines.mapInPandas(without_head, "value string, start bigint, number bigint").where(F.length("value") > 0)
+    place = [F.col(c).alias(p) for c, p in zip(("start", "number"), PLACE)] if placed else []
+    rows = body.select(parsed.alias("r"), *place, F.col("value").alias("__bad"))
+    rows = rows.select("r.*", *(PLACE if placed else ()), "__bad")
     return _checked(rows, sep, len(names), needs_sep)
 
 

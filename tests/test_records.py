@@ -87,3 +87,39 @@ def test_a_record_larger_than_many_splits(spark, tmp_path, small_splits):
     assert [r.value.split(",")[0] for r in found] == ["id", "1", "2", "3"]
     df = files.load_csv(spark, str(tmp_path / "long.csv"), multi_line=True)
     assert {r.id: r.text for r in df.collect()} == {1: "a", 2: long, 3: "b"}
+
+
+@pytest.mark.parametrize("nrows", [0, 1, 7, 50, 119, 120, 500])
+def test_first_records_reach_over_splits(spark, tmp_path, small_splits, nrows):
+    rows = _rows(3)
+    _write(tmp_path / "1.csv", rows[:70])
+    _write(tmp_path / "2.csv", rows[70:])
+    small_splits(90)
+    found = files.load_csv(spark, str(tmp_path), nrows=nrows, multi_line=True, schema="id string, text string, x string")
+    assert sorted((int(r.id), r.text) for r in found.collect()) == [(int(i), t) for i, t, _ in rows[:nrows]]
+
+
+@pytest.mark.parametrize("header, above", [(0, "id,x\n"), (None, ""), (2, "made by\nhand\nid,x\n")])
+@pytest.mark.parametrize("nrows", [3, 40, 400])
+def test_first_lines_of_several_splits(spark, tmp_path, small_splits, header, above, nrows):
+    for f in range(2):
+        (tmp_path / f"{f}.csv").write_text(above + "".join(f"{f * 100 + i},{'w' * (i % 9)}\n" for i in range(100)))
+    small_splits(100)
+    found = files.load_csv(spark, str(tmp_path), nrows=nrows, header=header)
+    assert sorted(r[0] for r in found.collect()) == list(range(min(nrows, 200)))
+    first = files.load_csv(spark, str(tmp_path), nrows=nrows, header=header, usecols=found.columns[:1])
+    assert first.columns == found.columns[:1]
+
+
+def test_first_lines_do_not_depend_on_the_order_rows_come_in(spark, tmp_path, monkeypatch):
+    """Over a network the rows of the last split may come first."""
+    (tmp_path / "1.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(50)))
+    read = files._read_delimited
+
+    def backwards(*args, **kwargs):
+        rows = read(*args, **kwargs)
+        return rows.orderBy(rows["id"].cast("int").desc())
+
+    monkeypatch.setattr(files, "_read_delimited", backwards)
+    monkeypatch.setattr(files, "_heads", lambda rows: lambda batches: batches, raising=False)
+    assert sorted(r.id for r in files.load_csv(spark, str(tmp_path), nrows=5).collect()) == [0, 1, 2, 3, 4]
