@@ -39,7 +39,9 @@ PIVOTS = 256
 PIVOT_SAMPLE = 2_000
 CANDIDATE_BLOCK, QUERY_BLOCK = 4_096, 512
 # Candidates evaluated at first; the number doubles as long as bounds allow, up to the most at once.
-FIRST, AT_ONCE = 32, 256
+FIRST, AT_ONCE = 32, 512
+# Pivots whose distances are compared at once.
+PIVOT_ROWS = 32
 
 
 def choose_pivots(points: np.ndarray, count: int) -> np.ndarray:
@@ -149,21 +151,51 @@ def nearest(
     ``bounds`` are lower bounds of squared distances, which are ``offset`` less two scores.  Scores below ``least`` may
     be left out.
     """
-    order = np.argsort(bounds, kind="stable")
+    return _in_order(query, own, x, ids, np.argsort(bounds, kind="stable"), bounds, offset, k, slack, least)
+
+
+def _in_order(
+    query: np.ndarray, own: int, x: np.ndarray, ids: np.ndarray, order: np.ndarray, bounds: np.ndarray, offset: float, k: int,
+    slack: float, least: float,
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """:func:`nearest` of candidates whose order is known."""
     place, score, done, step = np.zeros(0, np.int64), np.zeros(0), 0, FIRST
     while done < len(order):
         reach = max(least, score[-1] if len(score) == k else -np.inf)
-        if bounds[order[done]] > offset - 2 * reach + slack:
-            break
         some = order[done : done + step]
+        some = some[: np.searchsorted(bounds[some], offset - 2 * reach + slack, side="right")]
+        if not len(some):
+            break
         done, step = done + len(some), min(step * 2, AT_ONCE)
         some = some[ids[some] != own]
-        place, score = np.append(place, some), np.append(score, x[some] @ query)
+        found = x[some] @ query
+        may = found >= reach
+        place, score = np.append(place, some[may]), np.append(score, found[may])
         best = np.lexsort((ids[place], -score))[:k]
         place, score = place[best], score[best]
     return place, score, done
 
 
+def _coded(known: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Distances of candidates and queries to the pivots in equal steps, a row for each pivot, and the step's width."""
+    low, high = min(known.min(), to.min()), max(known.max(), to.max())
+    width = max((high - low) / 65_535, 1e-9)
+    known, to = (((d - low) / width).astype(np.uint16).T for d in (known, to))
+    return np.ascontiguousarray(known), np.ascontiguousarray(to), width
+
+
+def _gaps(known: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """The largest difference of each candidate from the query over all pivots, in steps; rounding takes one at most."""
+    gap = np.zeros(known.shape[1], known.dtype)
+    over, under = (np.empty((min(PIVOT_ROWS, len(known)), len(gap)), known.dtype) for _ in range(2))
+    for a in range(0, len(known), PIVOT_ROWS):
+        some, own = known[a : a + PIVOT_ROWS], far[a : a + PIVOT_ROWS, None]
+        n = len(some)
+        np.subtract(np.maximum(some, own, out=over[:n]), np.minimum(some, own, out=under[:n]), out=over[:n])
+        np.maximum(gap, over[:n].max(0), out=gap)
+    return gap
+
+
 def _search(width: int, pivots: np.ndarray, most: float, k: int):
     """The k best of every query in every cell, and in a row without id how many candidates it evaluated there."""
 
@@ -178,15 +210,20 @@ def _search(width: int, pivots: np.ndarray, most: float, k: int):
                 if not len(there) or not len(queries):
                     continue
                 own_x, own_ids = x[there], ids[there]
-                # The pivot table of the block, once for all its queries; the slack covers single precision.
-                known = np.sqrt(squared_distances(_lifted(own_x, square[there], most), pivots)).astype(np.float32)
-                to = np.sqrt(squared_distances(np.c_[x[queries], np.zeros(len(queries))], pivots)).astype(np.float32)
+                # The pivot table of the block, once for all its queries.
+                known = np.sqrt(squared_distances(_lifted(own_x, square[there], most), pivots))
+                to = np.sqrt(squared_distances(np.c_[x[queries], np.zeros(len(queries))], pivots))
+                known, to, unit = _coded(known, to)
                 found: list[tuple[list, list, list, list]] = []
-                for q, far in zip(queries, to):
-                    gap = known - far
-                    bounds = np.abs(gap, out=gap).max(1).astype(np.float64) ** 2
+                for q, far in zip(queries, to.T):
+                    gap = _gaps(known, far)
+                    bounds = (np.maximum(gap - 1.0, 0) * unit) ** 2
                     offset = square[q] + most
-                    place, score, done = nearest(x[q], ids[q], own_x, own_ids, bounds, offset, k, _slack(offset), least[q])
+                    # Whole numbers are sorted by their digits.
+                    order = np.argsort(gap, kind="stable")
+                    place, score, done = _in_order(
+                        x[q], ids[q], own_x, own_ids, order, bounds, offset, k, _slack(offset), least[q]
+                    )
                     n = len(place)
                     found.append((
                         [int(ids[q])] * (n + 1), [*own_ids[place].tolist(), None],

@@ -194,3 +194,18 @@ def test_bounds_stop_early():
     place, score, done = topk.nearest(x[5], 5, x, np.arange(4000), bounds, square[5] + square.max(), 5, 1.0)
     best = sorted((-(x[5] @ x[i]), i) for i in range(4000) if i != 5)[:5]
     assert [(-s, i) for s, i in zip(score, place)] == best and done < 4000
+
+
+def test_bounds_from_codes_stay_below_distances():
+    """Distances in 16-bit steps: no bound exceeds the true one, and the loss is two steps at most."""
+    rng = np.random.default_rng(1)
+    known, to = rng.normal(300, 40, (500, 70)), rng.normal(300, 40, (3, 70))
+    codes, own, unit = topk._coded(known, to)
+    assert codes.dtype == np.uint16 and codes.shape == (70, 500)
+    for far, plain in zip(own.T, to):
+        gap = topk._gaps(codes, far)
+        true = np.abs(known - plain).max(1)
+        bound = np.maximum(gap - 1.0, 0) * unit
+        assert (bound <= true + 1e-9).all() and (bound >= true - 2 * unit - 1e-9).all()
+    same = topk._coded(np.ones((4, 2)), np.ones((1, 2)))
+    assert not topk._gaps(same[0], same[1][:, 0]).any()
