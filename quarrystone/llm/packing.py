@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.scratch import written
-from .common import crc, ref, require, slices, spans
+from .common import crc, give_back, ref, require, slices, spans
 from .tokens import encoder
 
 CAPACITY = 1024
@@ -196,6 +196,7 @@ def _cut(path: str, end_id: int, capacity: int):
     """Pieces of each document; ``place`` numbers the pieces of one length within the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for some in slices(batch, 1):
@@ -226,6 +227,7 @@ def _cut(path: str, end_id: int, capacity: int):
                     ],
                     [c.split()[0] for c in PIECES.split(", ")],
                 )
+        give_back()
 
     return run
 

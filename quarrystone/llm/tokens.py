@@ -22,9 +22,13 @@ import pyarrow.compute as pc
 from .common import spans
 
 # Distinct words a task remembers before it starts over.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 # Words joined into one call of the library.
 CALL_WORDS = 8_192
+# Characters of the texts of one call; what the library returns for a token is many times its id.
+CALL_CHARS = 1 << 18
+# Ids gathered from the table at once.
+GATHERED = 1 << 18
 _BLANK = r"[\s\v\x{85}\p{Z}\x1c-\x1f]"
 
 
@@ -85,7 +89,14 @@ class Encoder(WordTable):
         self.odd = "|".join([f"{_BLANK} | {_BLANK}|^ | $", *map(re.escape, added)])
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        ids, first, chars = [], 0, 0
+        for i, text in enumerate(texts):
+            chars += len(text)
+            if chars >= CALL_CHARS or i == len(texts) - 1:
+                some = self.library.encode_batch_fast(texts[first : i + 1], add_special_tokens=False)
+                ids += [np.array(e.ids, np.uint32) for e in some]
+                first, chars = i + 1, 0
+        return ids
 
     def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """With a space in front of each."""
@@ -118,7 +129,12 @@ class Encoder(WordTable):
         counts = np.concatenate([self.counts, sizes])
         places[offsets[:-1]] = len(self.starts) + first.indices.to_numpy()
         until = np.concatenate([[0], np.cumsum(counts[places])])
-        return pool[spans(starts[places], counts[places])], until[offsets]
+        ids = np.empty(until[-1], np.uint32)
+        edges = np.searchsorted(until, np.arange(0, len(ids), GATHERED))
+        for a, b in zip(edges, [*edges[1:], len(places)]):
+            some = places[a:b]
+            ids[until[a] : until[b]] = pool[spans(starts[some], counts[some])]
+        return ids, until[offsets]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end and the offsets of each text; a null text has none."""

@@ -239,3 +239,29 @@ def test_markers_and_broken_bytes(spark, model):
         (1, "a b"), (1, "a b"), (2, ""), (3, "x" * 9)
     ]
     assert all(r.round_trip for r in pieces.piece_digests(docs, PIECES).collect())
+
+
+def test_calls_and_gathers_are_bounded(monkeypatch):
+    """A slice of any size goes to the library and through the table in small portions, with the same ids."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from quarrystone.llm import tokens
+
+    texts = ["plain words here " + "again and again" * (i % 5) + f" {i}" for i in range(60)] + ["two  blanks", "", None, " ", "x\n y"] * 9
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    expected = tokens.Encoder(path).encode(pa.array(texts, pa.string()))
+    monkeypatch.setattr(tokens, "CALL_CHARS", 40)
+    monkeypatch.setattr(tokens, "GATHERED", 7)
+    encoder = tokens.Encoder(path)
+    sizes, encode = [], encoder.library.encode_batch_fast
+
+    class Watched:
+        def encode_batch_fast(self, some, **kwargs):
+            sizes.append(sum(map(len, some)) - len(some[-1]))
+            return encode(some, **kwargs)
+
+    encoder.library = Watched()
+    ids, until = encoder.encode(pa.array(texts, pa.string()))
+    assert (ids == expected[0]).all() and (until == expected[1]).all()
+    assert len(sizes) > 5 and max(sizes) < 40
