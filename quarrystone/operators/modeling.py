@@ -47,6 +47,13 @@ LABEL = "label_index"
 # Tree depth unless the caller sets maxDepth; Spark's own limit is 30.
 FOREST = {"numTrees": 100, "maxDepth": 12}
 BOOSTED = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1}
+# Models that read the training rows many times; they learn from distinct rows and how often each occurs.
+TREES = ("random_forest", "gradient_boosting")
+# With these settings a row is not the same as its copies, so all rows are read.
+BY_ROW = ("weightCol", "subsamplingRate", "minInstancesPerNode", "validationIndicatorCol")
+WEIGHT = "__row_weight"
+# Rows of a forest that stand for the copies of one: each is drawn on its own for each tree.
+DRAWN = 1_000
 
 
 # ---------------------------------------------------------------- preparation
@@ -292,6 +299,22 @@ def cross_validate(
 # ---------------------------------------------------------------- training
 
 
+def _counted(train: DataFrame, preparation: Pipeline, target: str, model: str) -> DataFrame:
+    """The distinct training rows, as far as the model sees them, with ``__row_weight``: the copies each stands for.
+
+    Boosting sums over the rows, so that a weight is as good as copies.  A forest draws rows, so up to
+    ``DRAWN`` copies stay rows of their own and more share their weight evenly among so many.
+    """
+    seen = preparation.getStages()[0]
+    columns = list(dict.fromkeys([*seen.numeric, *seen.categorical, target]))
+    counted = train.groupBy(*[ref(c) for c in columns]).agg(F.count("*").cast("double").alias(WEIGHT))
+    if model == "random_forest":
+        kept = F.least(F.col(WEIGHT), F.lit(float(DRAWN)))
+        each = F.explode(F.sequence(F.lit(1), kept.cast("int"))).alias("__copy")
+        counted = counted.select(*[ref(c) for c in columns], (F.col(WEIGHT) / kept).alias(WEIGHT), each).drop("__copy")
+    return written(counted.repartition(train.sparkSession.sparkContext.defaultParallelism))
+
+
 def regressor(model: str, target: str, seed: int, params: Mapping | None = None) -> Estimator:
     columns = {"featuresCol": FEATURES, "labelCol": target}
     extra = dict(params or {})
@@ -346,10 +369,16 @@ def train_regressor(
     parts = split_features_target(df, target, drop=drop)
     train, test = train_test(df, test_size=test_size, random_state=random_state, key=key, order_hash=order_hash)
     train = written(train)  # every fitting stage scans it
-    stages = build_model_pipeline(
-        regressor(model, target, random_state, params), build_preprocessor(df, parts.features)
-    )
-    fitted = stages.fit(train)
+    estimator = regressor(model, target, random_state, params)
+    preparation = build_preprocessor(df, parts.features)
+    if model in TREES and not {*BY_ROW} & {*(params or {})}:
+        prepared = preparation.fit(train)
+        learned = estimator.copy({estimator.weightCol: WEIGHT}).fit(
+            prepared.transform(_counted(train, preparation, target, model))
+        )
+        fitted = PipelineModel([*prepared.stages, learned])
+    else:
+        fitted = build_model_pipeline(estimator, preparation).fit(train)
     predictions = fitted.transform(test)
     return {
         "pipeline": fitted,
@@ -384,11 +413,16 @@ def train_classifier(
     sizes = train.agg(F.count("*").alias("n"), F.count_distinct(ref(target)).alias("k")).first()
     indexer = StringIndexer(inputCol=target, outputCol=LABEL, stringOrderType="alphabetAsc").fit(df)
     estimator = classifier(model, sizes["n"], sizes["k"], random_state, params)
-    prepared = build_preprocessor(df, parts.features)
-    fitted = Pipeline(stages=[*prepared.getStages(), indexer, estimator]).fit(train)
+    preparation = build_preprocessor(df, parts.features)
+    prepared = preparation.fit(train)
+    if model in TREES and not {*BY_ROW} & {*(params or {})}:
+        rows, estimator = _counted(train, preparation, target, model), estimator.copy({estimator.weightCol: WEIGHT})
+    else:
+        rows = train
+    learned = estimator.fit(indexer.transform(prepared.transform(rows)))
     # New rows have no target, so the fitted pipeline leaves its indexer out.
     back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer.labels)
-    pipeline = PipelineModel([s for s in fitted.stages if s.uid != indexer.uid] + [back])
+    pipeline = PipelineModel([*prepared.stages, learned, back])
     predictions = pipeline.transform(test)
     return {
         "pipeline": pipeline,

@@ -184,3 +184,41 @@ def test_other_estimators_and_scenarios(regression_df):
     sweep = scenario_analysis(fitted, regression_df.limit(1), variable="x1", values=[30.0, 50.0, 70.0])
     got = [r["prediction"] for r in sweep.orderBy("x1").collect()]
     assert got == sorted(got) and got[0] < got[-1]
+
+
+def _copied(spark, copies):
+    """A few distinct rows, each many times, with keys of their own."""
+    kinds = spark.range(12).select(F.col("id").alias("kind"), (F.col("id") % 4).cast("double").alias("a"),
+                                   F.when(F.col("id") < 6, "low").otherwise("high").alias("b"))
+    rows = kinds.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("kind").cast("int") % 3 * copies + copies)))
+    return rows.select((F.col("kind") * 100_000 + F.col("copy")).alias("key"), "a", "b",
+                       (F.col("a") * 3 + F.when(F.col("b") == "low", 5.0).otherwise(0.0)).alias("y"))
+
+
+@pytest.mark.parametrize("model, most", [("gradient_boosting", 12), ("random_forest", 12 * 50)])
+def test_trees_learn_from_distinct_rows_and_their_number(spark, monkeypatch, model, most):
+    monkeypatch.setattr(modeling, "DRAWN", 50)
+    df, seen = _copied(spark, 100), []
+    counted = modeling._counted
+
+    def watched(*args):
+        seen.append(counted(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(modeling, "_counted", watched)
+    result = modeling.train_regressor(df, "y", model=model, drop=["key"], key="key", params=SMALL[model])
+    assert seen[0].count() <= most
+    train = df.count() - result["predictions"].count()
+    assert abs(seen[0].agg(F.sum(modeling.WEIGHT)).first()[0] - train) < 1e-6
+
+
+def test_boosting_on_counted_rows_is_boosting_on_all(spark):
+    df = _copied(spark, 20)
+    own = modeling.train_regressor(df, "y", model="gradient_boosting", drop=["key"], key="key", params={"maxIter": 5})
+    # A setting that reads all rows, at its default.
+    rows = modeling.train_regressor(
+        df, "y", model="gradient_boosting", drop=["key"], key="key", params={"maxIter": 5, "minInstancesPerNode": 1}
+    )
+    both = own["predictions"].select("key", F.col("prediction").alias("p")).join(rows["predictions"], "key")
+    assert both.count() == own["predictions"].count()
+    assert both.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-9
