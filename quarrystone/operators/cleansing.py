@@ -245,7 +245,8 @@ def handle_missing(
 
     ``drop_rows``, ``drop_cols`` (one counting pass decides the schema), ``mean`` and
     ``median`` (numeric columns, cast to double), ``mode`` (any type, smallest value on
-    ties) or ``constant`` with ``fill_value``.
+    ties) or ``constant`` with ``fill_value``.  Medians take several passes, and only
+    columns with gaps need one; a table that is costly to compute should be written first.
     """
     if strategy not in MISSING_STRATEGIES:
         raise ValueError(f"Unknown strategy: {strategy!r}; choose one of {MISSING_STRATEGIES}")
@@ -254,9 +255,7 @@ def handle_missing(
     if strategy == "drop_rows":
         return canonicalize(df).na.drop("any", subset=names)
     if strategy == "drop_cols":
-        gaps = df.agg(*[F.bool_or(is_missing(df, c)).alias(f"g{i}") for i, c in enumerate(names)])
-        found = gaps.first()
-        return canonicalize(df).drop(*[c for c, gap in zip(names, found) if gap])
+        return canonicalize(df).drop(*_with_gaps(df, names))
     if strategy == "constant":
         if fill_value is None:
             raise ValueError("A constant needs its fill_value")
@@ -265,17 +264,24 @@ def handle_missing(
         fills = _modes(df, names)
     else:
         numeric = [c for c in names if c in numeric_columns(df)]
-        fills = _centres(df, numeric, strategy)
+        fills = _centres(df, numeric if strategy == "mean" else _with_gaps(df, numeric), strategy)
 
     def filled(name: str) -> Column:
-        if name not in fills:
-            return value(df, name).alias(name)
-        column = number(df, name) if strategy in ("mean", "median") else value(df, name)
-        return F.coalesce(column, fills[name]).alias(name)
+        centred = strategy in ("mean", "median") and name in numeric
+        column = number(df, name) if centred else value(df, name)
+        return F.coalesce(column, fills[name]).alias(name) if name in fills else column.alias(name)
 
     return df.select(*[filled(c) for c in df.columns])
 
 
+def _with_gaps(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """The columns among ``names`` that hold a missing value, by one pass."""
+    if not names:
+        return []
+    found = df.agg(*[F.bool_or(is_missing(df, c)).alias(f"g{i}") for i, c in enumerate(names)]).first()
+    return [c for c, gap in zip(names, found) if gap]
+
+
 def _centres(df: DataFrame, names: Sequence[str], strategy: str) -> dict[str, Column]:
     """Mean or median of each column as a scalar subquery, all from one row."""
     if not names:

@@ -121,9 +121,10 @@ def _placed(df: DataFrame, weight: Column, names, seeded: Column, takes: DataFra
         return df.withColumn("__chosen", F.lit(0).cast("long"))
     bits = min(max(math.ceil(math.log2(max(size["n"] / BUCKET_ROWS, 1))), 0), 20)
     step = max((size["b"] - size["a"]) // (1 << bits), 1)
-    # Wide arithmetic: the hashes span more than a signed 64-bit difference holds.
-    above = seeded.cast("decimal(20,0)") - F.lit(size["a"]).cast("decimal(20,0)")
-    bucket = F.floor(above / F.lit(str(step)).cast("decimal(20,0)")).cast("long") if bits else F.lit(0)
+    # The hashes span more than a signed 64-bit difference holds.  As doubles they are rounded, but never change
+    # places, and buckets need no more than that.
+    above = seeded.cast("double") - F.lit(float(size["a"]))
+    bucket = F.floor(above / F.lit(float(step))) if bits else F.lit(0)
     groups = [ref(c) for c in classes]
     totals = df.groupBy(*groups, bucket.alias("__bucket")).agg(F.sum(weight).alias("__w"))
     # At most 2**20 bucket totals per class.

@@ -12,8 +12,8 @@ MIX, RANGE = 2654435761, 4294967296
 HASH_SQL = f"(o_orderkey * {MIX}) % {RANGE}"
 
 
-def _mixed(column: str):
-    return (F.col(column) * F.lit(MIX)) % F.lit(RANGE)
+def _mixed(column):
+    return ((F.col(column) if isinstance(column, str) else column) * F.lit(MIX)) % F.lit(RANGE)
 
 
 def _parts(pair):
